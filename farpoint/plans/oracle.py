@@ -80,3 +80,139 @@ SELECT CAST(CASE WHEN count(*) > 0 THEN
          // count(*) END AS BIGINT) AS avg_len
 FROM wc""",
 }
+
+# ---- points ------------------------------------------------------------------
+
+_PTS = "pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+
+_SAMPLE = f"""sample AS (
+  SELECT vec_id AS id FROM embeddings
+  ORDER BY md5(concat_ws(':', '{P.SAMPLE_SEED}', CAST(vec_id AS VARCHAR))), vec_id
+  LIMIT {P.SAMPLE_K})"""
+
+# farthest-first from the smallest id; stop when every point is a center's duplicate
+_FF = f"""ff(step, id, ids) AS (
+  SELECT 0, s.id, [s.id] FROM (SELECT min(id) AS id FROM pts) s
+  UNION ALL
+  SELECT ff.step + 1, nx.id, list_append(ff.ids, nx.id)
+  FROM ff, LATERAL (
+    SELECT p.id, min(list_distance(p.v, c.v)) AS md
+    FROM pts p, pts c
+    WHERE list_contains(ff.ids, c.id)
+    GROUP BY p.id
+    ORDER BY md DESC, p.id
+    LIMIT 1) nx
+  WHERE ff.step + 1 < {P.CENTERS_K} AND nx.md > 0
+),
+cen AS (SELECT ff.step, p.id, p.v FROM ff JOIN pts p ON p.id = ff.id)"""
+
+
+def _coreset(k: int, l_parts: int) -> str:
+    return f"""ppts AS (SELECT CAST(((id % {l_parts}) + {l_parts}) % {l_parts} AS INTEGER) AS part, id, v FROM pts),
+cs(part, step, id, ids) AS (
+  SELECT part, 0, min(id), [min(id)] FROM ppts GROUP BY part
+  UNION ALL
+  SELECT cs.part, cs.step + 1, nx.id, list_append(cs.ids, nx.id)
+  FROM cs, LATERAL (
+    SELECT p.id, min(list_distance(p.v, c.v)) AS md
+    FROM ppts p JOIN ppts c ON c.part = p.part
+    WHERE p.part = cs.part AND list_contains(cs.ids, c.id)
+    GROUP BY p.id
+    ORDER BY md DESC, p.id
+    LIMIT 1) nx
+  WHERE cs.step + 1 < {k} AND nx.md > 0
+)"""
+
+
+def _greedy(src: str, k: int) -> str:
+    """Greedy farthest pairs over the view ``src(id, v)``, picks in ``picks``."""
+    return f"""g(t, i, j, used) AS (
+  SELECT 0, NULL::BIGINT, NULL::BIGINT, []::BIGINT[]
+  UNION ALL
+  SELECT g.t + 1, b.i, b.j, list_concat(g.used, [b.i, b.j])
+  FROM g, LATERAL (
+    SELECT a.id AS i, c.id AS j
+    FROM {src} a JOIN {src} c ON a.id < c.id
+    WHERE NOT list_contains(g.used, a.id) AND NOT list_contains(g.used, c.id)
+    ORDER BY list_distance(a.v, c.v) DESC, i, j
+    LIMIT 1) b
+  WHERE g.t < {k // 2}
+),
+last_used AS (SELECT used FROM g ORDER BY t DESC LIMIT 1),
+picks AS (
+  SELECT 2 * t - 1 AS pick, i AS id FROM g WHERE t > 0
+  UNION ALL
+  SELECT 2 * t AS pick, j AS id FROM g WHERE t > 0
+  UNION ALL
+  SELECT {k} AS pick, min(s.id) AS id FROM {src} s, last_used u
+  WHERE {k % 2} = 1 AND NOT list_contains(u.used, s.id)
+  HAVING min(s.id) IS NOT NULL
+)"""
+
+
+ORACLE_SQL.update({
+    "point_parse": """
+SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS x0, CAST(p_retailprice AS DOUBLE) AS x1 FROM part""",
+
+    "max_pairwise_distance": f"""
+WITH {_PTS}
+SELECT round(coalesce(max(list_distance(a.v, b.v)), 0), 6) AS max_dist
+FROM pts a JOIN pts b ON a.id < b.id
+WHERE NOT isnan(list_distance(a.v, b.v))""",
+
+    "avg_pairwise_distance": f"""
+WITH {_PTS}
+SELECT round(avg(list_distance(a.v, b.v)), 6) AS avg_dist
+FROM pts a JOIN pts b ON a.id < b.id""",
+
+    "random_sample_k": f"WITH {_SAMPLE}\nSELECT id FROM sample",
+
+    "sample_complement": f"""
+WITH {_SAMPLE}
+SELECT vec_id AS id FROM embeddings WHERE vec_id NOT IN (SELECT id FROM sample)""",
+
+    "sample_max_distance": f"""
+WITH {_PTS}, {_SAMPLE}
+SELECT round(coalesce(max(list_distance(r.v, s.v)), 0), 6) AS max_dist
+FROM pts r, pts s
+WHERE s.id IN (SELECT id FROM sample) AND r.id NOT IN (SELECT id FROM sample)""",
+
+    "farthest_first_centers": f"""
+WITH RECURSIVE {_PTS}, {_FF}
+SELECT CAST(step AS INTEGER) AS step, CAST(id AS BIGINT) AS id FROM ff""",
+
+    "nearest_center": f"""
+WITH RECURSIVE {_PTS}, {_FF},
+ranked AS (
+  SELECT p.id, c.id AS center_id, list_distance(p.v, c.v) AS dist,
+         row_number() OVER (PARTITION BY p.id ORDER BY list_distance(p.v, c.v), c.step) AS rn
+  FROM pts p, cen c)
+SELECT id, center_id, round(dist, 6) AS dist FROM ranked WHERE rn = 1""",
+
+    "kcenter_max_distance": f"""
+WITH RECURSIVE {_PTS}, {_FF}
+SELECT round(coalesce(max(list_distance(a.v, b.v)), 0), 6) AS max_dist
+FROM cen a JOIN cen b ON a.id < b.id""",
+
+    "partition_coreset": f"""
+WITH RECURSIVE {_PTS}, {_coreset(P.DIVERSITY_K, P.DIVERSITY_L)}
+SELECT part, CAST(step AS INTEGER) AS step, CAST(id AS BIGINT) AS id FROM cs""",
+
+    "greedy_pairs": f"""
+WITH RECURSIVE {_PTS}, {_greedy("pts", P.GREEDY_K)}
+SELECT CAST(pick AS INTEGER) AS pick, CAST(id AS BIGINT) AS id FROM picks""",
+
+    "diversity_two_round": f"""
+WITH RECURSIVE {_PTS}, {_coreset(P.DIVERSITY_K, P.DIVERSITY_L)},
+core AS (SELECT p.id, p.v FROM pts p WHERE p.id IN (SELECT id FROM cs)),
+{_greedy("core", P.DIVERSITY_K)}
+SELECT CAST(pick AS INTEGER) AS pick, CAST(id AS BIGINT) AS id FROM picks""",
+
+    "diversity_score": f"""
+WITH RECURSIVE {_PTS}, {_coreset(P.DIVERSITY_K, P.DIVERSITY_L)},
+core AS (SELECT p.id, p.v FROM pts p WHERE p.id IN (SELECT id FROM cs)),
+{_greedy("core", P.DIVERSITY_K)},
+sol AS (SELECT p.id, p.v FROM pts p WHERE p.id IN (SELECT id FROM picks))
+SELECT round(avg(list_distance(a.v, b.v)), 6) AS avg_dist
+FROM sol a JOIN sol b ON a.id < b.id""",
+})

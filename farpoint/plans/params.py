@@ -7,3 +7,4 @@ SAMPLE_SEED = 1231829
 CENTERS_K = 6        # k for farthest-first / k-center
 DIVERSITY_K = 6      # k for the diversity queries
 DIVERSITY_L = 4      # L partitions for the coreset round
+GREEDY_K = 7         # k for greedy pairs on the whole point table (odd: exercises the extra pick)

@@ -12,10 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farpoint.operators import classes, text
+from farpoint.operators import centers, classes, diversity, pairwise, sampling, text
 from farpoint.plans import params as P
+from farpoint.functions.vectors import parse_vector
 from farpoint.sources.files import parse_class_records
-from farpoint.sources.tables import class_records_from, documents_from
+from farpoint.sources.tables import class_records_from, documents_from, load_table, points_from
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +85,81 @@ def q_avg_distinct_word_length(spark, sf_dir):
     return text.avg_distinct_word_length(documents_from(spark, sf_dir))
 
 
+# ---- points ----------------------------------------------------------------
+
+def _r6(df, *cols):
+    return df.select(*[F.round(F.col(c), 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _emb(spark, sf_dir):
+    return points_from(spark, sf_dir, "embeddings")
+
+
+def q_point_parse(spark, sf_dir):
+    # part rendered as the reference's "x,y" CSV lines, parsed back
+    part = load_table(spark, sf_dir, "part")
+    lines = part.select(F.col("p_partkey").alias("id"),
+                        F.concat_ws(",", F.col("p_size").cast("string"),
+                                    F.col("p_retailprice").cast("string")).alias("value"))
+    pts = lines.select("id", parse_vector(F.col("value")).alias("v"))
+    return pts.select("id", F.col("v")[0].alias("x0"), F.col("v")[1].alias("x1"))
+
+
+def q_max_pairwise_distance(spark, sf_dir):
+    return _r6(pairwise.max_pairwise_distance(_emb(spark, sf_dir)), "max_dist")
+
+
+def q_avg_pairwise_distance(spark, sf_dir):
+    return _r6(pairwise.avg_pairwise_distance(_emb(spark, sf_dir)), "avg_dist")
+
+
+def q_random_sample_k(spark, sf_dir):
+    return sampling.random_sample(_emb(spark, sf_dir), P.SAMPLE_K, P.SAMPLE_SEED).select("id")
+
+
+def q_sample_complement(spark, sf_dir):
+    pts = _emb(spark, sf_dir)
+    sample = sampling.random_sample(pts, P.SAMPLE_K, P.SAMPLE_SEED)
+    return sampling.sample_complement(pts, sample).select("id")
+
+
+def q_sample_max_distance(spark, sf_dir):
+    return _r6(sampling.sample_max_distance(_emb(spark, sf_dir), P.SAMPLE_K, P.SAMPLE_SEED),
+               "max_dist")
+
+
+def q_farthest_first_centers(spark, sf_dir):
+    return centers.farthest_first_centers(_emb(spark, sf_dir), P.CENTERS_K)
+
+
+def q_nearest_center(spark, sf_dir):
+    pts = _emb(spark, sf_dir)
+    cen = centers.farthest_first_centers(pts, P.CENTERS_K)
+    return _r6(centers.nearest_center(pts, cen), "dist")
+
+
+def q_kcenter_max_distance(spark, sf_dir):
+    return _r6(centers.kcenter_max_distance(_emb(spark, sf_dir), P.CENTERS_K), "max_dist")
+
+
+def q_partition_coreset(spark, sf_dir):
+    return diversity.partition_coreset(_emb(spark, sf_dir), P.DIVERSITY_K, P.DIVERSITY_L)
+
+
+def q_greedy_pairs(spark, sf_dir):
+    return diversity.greedy_pairs(_emb(spark, sf_dir), P.GREEDY_K)
+
+
+def q_diversity_two_round(spark, sf_dir):
+    return diversity.diversity_two_round(_emb(spark, sf_dir), P.DIVERSITY_K, P.DIVERSITY_L)
+
+
+def q_diversity_score(spark, sf_dir):
+    pts = _emb(spark, sf_dir)
+    sol = diversity.diversity_two_round(pts, P.DIVERSITY_K, P.DIVERSITY_L)
+    return _r6(diversity.diversity_score(pts, sol), "avg_dist")
+
+
 QUERIES: dict[str, Query] = {
     "class_count": q_class_count,
     "class_count_two_round": q_class_count_two_round,
@@ -99,4 +175,17 @@ QUERIES: dict[str, Query] = {
     "word_count_salted": q_word_count_salted,
     "distinct_words": q_distinct_words,
     "avg_distinct_word_length": q_avg_distinct_word_length,
+    "point_parse": q_point_parse,
+    "max_pairwise_distance": q_max_pairwise_distance,
+    "avg_pairwise_distance": q_avg_pairwise_distance,
+    "random_sample_k": q_random_sample_k,
+    "sample_complement": q_sample_complement,
+    "sample_max_distance": q_sample_max_distance,
+    "farthest_first_centers": q_farthest_first_centers,
+    "nearest_center": q_nearest_center,
+    "kcenter_max_distance": q_kcenter_max_distance,
+    "partition_coreset": q_partition_coreset,
+    "greedy_pairs": q_greedy_pairs,
+    "diversity_two_round": q_diversity_two_round,
+    "diversity_score": q_diversity_score,
 }
