@@ -4,9 +4,11 @@
 
 * column-to-column: higher-order ``zip_with`` + ``aggregate`` (works for any
   dimension, outside whole-stage codegen);
-* column-to-constant: an unrolled sum of squared differences against literal
-  coordinates, which stays inside whole-stage codegen; used by the iterative
-  operators, whose new center is a driver-side constant each step.
+* column-to-constant: the same form against an array literal.  The literal
+  is passed to the generated code as a reference, so a loop that changes the
+  center every step reuses one compiled plan; the unrolled alternative
+  (``unroll=True``) inlines each coordinate and pays a fresh compile per
+  new center, which only pays off for a single long scan.
 """
 
 from __future__ import annotations
@@ -35,11 +37,11 @@ def euclidean(a: Column | str, b: Column | str) -> Column:
     return F.sqrt(sqdist(a, b))
 
 
-def sqdist_to_const(v: Column | str, center: Sequence[float]) -> Column:
+def sqdist_to_const(v: Column | str, center: Sequence[float], unroll: bool = False) -> Column:
     """Squared distance from each row's vector to one constant vector."""
     v = _c(v)
     coords = [float(x) for x in center]
-    if len(coords) <= UNROLL_MAX_DIM:
+    if unroll and len(coords) <= UNROLL_MAX_DIM:
         total = None
         for i, x in enumerate(coords):
             d = v.getItem(i) - F.lit(x)
@@ -50,8 +52,8 @@ def sqdist_to_const(v: Column | str, center: Sequence[float]) -> Column:
     return sqdist(v, const)
 
 
-def dist_to_const(v: Column | str, center: Sequence[float]) -> Column:
-    return F.sqrt(sqdist_to_const(v, center))
+def dist_to_const(v: Column | str, center: Sequence[float], unroll: bool = False) -> Column:
+    return F.sqrt(sqdist_to_const(v, center, unroll))
 
 
 def parse_vector(text: Column | str) -> Column:

@@ -36,8 +36,10 @@ def _gram_sq(xa, na, xb, nb):
 
 
 def _tol(na, nb):
-    # absolute error bound of the Gram form, generously widened
-    return 1e-9 * (na.max(initial=0.0) + nb.max(initial=0.0) + 1.0)
+    # absolute error bound of the Gram form, generously widened (NaN rows ignored)
+    fa = na[np.isfinite(na)]
+    fb = nb[np.isfinite(nb)]
+    return 1e-9 * (fa.max(initial=0.0) + fb.max(initial=0.0) + 1.0)
 
 
 def _row_chunks(na_rows, nb_rows):
