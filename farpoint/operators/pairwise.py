@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from farpoint.operators import kernels as K
 
 DEFAULT_BLOCK_BYTES = 16 << 20
+# a tile costs rows^2 distance evaluations: cap rows per block so one task
+# stays around a second of numpy work whatever the dimension
+MAX_BLOCK_ROWS = 8192
 
 
 def size_and_dim(points: DataFrame) -> tuple[int, int]:
@@ -32,7 +35,7 @@ def size_and_dim(points: DataFrame) -> tuple[int, int]:
 
 
 def n_blocks(n: int, d: int, block_bytes: int = DEFAULT_BLOCK_BYTES) -> int:
-    rows = max(256, block_bytes // max(8, 8 * d))
+    rows = max(256, min(MAX_BLOCK_ROWS, block_bytes // max(8, 8 * d)))
     return max(1, math.ceil(n / rows))
 
 

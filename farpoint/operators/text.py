@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farpoint.functions.keys import salt_key
-from farpoint.functions.text import document_lines_expr, java_space_split, utf16_length
+from farpoint.functions.text import document_lines_expr, java_space_split, utf16_length  # noqa: F401
+from farpoint.operators.layout import spread
 
 
 def document_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(doc_id, line_no, line): one row per line of each text value."""
-    return docs.select("doc_id", F.posexplode(document_lines_expr(F.col(text_col)))
+    return spread(docs).select("doc_id", F.posexplode(document_lines_expr(F.col(text_col)))
                        .alias("line_no", "line"))
 
 

@@ -1,0 +1,10 @@
+"""The counting operators over file streams (Structured Streaming).
+
+The operators are plain DataFrame functions, so a streaming DataFrame from
+``readStream`` goes through the same code; these helpers only build the
+source and pick an output mode that the aggregation supports.
+"""
+
+from farpoint.streaming.counts import stream_class_count, stream_word_count
+
+__all__ = ["stream_class_count", "stream_word_count"]
