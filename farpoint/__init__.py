@@ -14,3 +14,21 @@ seeds.  Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value inside Spark closures.
+
+    The numpy kernels run in Python workers; shipping them with the task
+    means executors need numpy/pandas but not this package installed.
+    """
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle: rely on --py-files
+        pass
+
+
+_ship_by_value()

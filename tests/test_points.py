@@ -99,16 +99,31 @@ def test_max_and_avg_pairwise(spark, cloud, blocks):
     iu = np.triu_indices(len(cloud), 1)
     got = pairwise.max_pairwise_distance(pts, n_blocks_hint=blocks).first()[0]
     assert got == pytest.approx(d[iu].max(), abs=1e-9)
+    pruned = pairwise.max_pairwise_distance(pts, prune=True).first()[0]
+    assert pruned == pytest.approx(d[iu].max(), abs=1e-9)
     got = pairwise.avg_pairwise_distance(pts, n_blocks_hint=blocks).first()[0]
     assert got == pytest.approx(d[iu].mean(), abs=1e-9)
 
 
+def test_pruning_low_dimension(spark):
+    rng = np.random.default_rng(3)
+    arr = rng.uniform(size=(2000, 2))
+    pts = make_points(spark, arr)
+    lb, cand = pairwise.prune_for_diameter(pts)
+    kept = {r["id"] for r in cand.collect()}
+    d = np.sqrt(((arr[:, None, :] - arr[None, :, :]) ** 2).sum(-1))
+    i, j = np.unravel_index(np.argmax(d), d.shape)
+    assert len(kept) < 200 and {int(i), int(j)} <= kept
+    assert pairwise.max_pairwise_distance(pts, prune=True).first()[0] == pytest.approx(d.max(), abs=1e-12)
+
+
 def test_pairwise_degenerate(spark):
     one = make_points(spark, np.array([[1.0, 2.0]]))
     assert pairwise.max_pairwise_distance(one).first()[0] == 0.0
     assert pairwise.avg_pairwise_distance(one).first()[0] is None
     nan = make_points(spark, np.array([[0.0, 0.0], [3.0, 4.0], [np.nan, 1.0]]))
     assert pairwise.max_pairwise_distance(nan).first()[0] == pytest.approx(5.0)
+    assert pairwise.max_pairwise_distance(nan, prune=True).first()[0] == pytest.approx(5.0)
 
 
 @pytest.mark.parametrize("blocks", [1, 4])
