@@ -39,6 +39,9 @@ from farpoint.operators.pairwise import (
 from farpoint.session import ensure_checkpoint_dir
 
 MAX_GROUP_BYTES = 512 << 20
+# the greedy round holds its whole (parameter-bounded) input in one group
+# only below this size; above it the distributed step plan runs
+MAX_GREEDY_GROUP_BYTES = 64 << 20
 MAX_BROADCAST_PARTS = 1_000_000
 CHECKPOINT_EVERY = 8
 
@@ -135,16 +138,39 @@ def coreset_points(points: DataFrame, coreset: DataFrame) -> DataFrame:
     return points.select("id", "v").join(coreset.select("id").distinct(), "id", "left_semi")
 
 
-def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
+def _greedy_group_plan(pts: DataFrame, k: int) -> DataFrame:
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        picks = K.greedy_pairs(pdf["id"].to_numpy(np.int64), K.stack(pdf["v"]), k)
+        return pd.DataFrame({"pick": np.arange(1, len(picks) + 1, dtype=np.int32),
+                             "id": np.array(picks, dtype=np.int64)})
+
+    return pts.select(F.lit(0).alias("g"), "id", "v").groupBy("g") \
+        .applyInPandas(run, "pick int, id long")
+
+
+def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = CHECKPOINT_EVERY,
+                 plan: str = "auto", max_group_bytes: int = MAX_GREEDY_GROUP_BYTES) -> DataFrame:
     """``(pick, id)`` -- k/2 times the farthest pair of unused points
     (ties: smallest i, then j, i < j), then for odd k the smallest unused id.
-    When k >= n all points are returned in id order."""
+    When k >= n all points are returned in id order.
+
+    ``plan="auto"`` runs the whole set in one numpy group when it is at most
+    ``max_group_bytes`` (a coreset is bounded by k * L points), otherwise the
+    distributed step plan; both give the same picks.
+    """
     if k < 1:
         raise ValueError("k must be >= 1")
     spark = core.sparkSession
     pts = core.select("id", "v").persist()
-    n, _ = size_and_dim(pts)
+    n, dim = size_and_dim(pts)
     schema = "pick int, id long"
+    if plan == "auto":
+        plan = "group" if n * max(1, dim) * 8 <= max_group_bytes else "steps"
+    if plan == "group":
+        out = _greedy_group_plan(pts, k).persist()
+        out.count()
+        pts.unpersist()
+        return out
     if k >= n:
         ids = [r["id"] for r in pts.select("id").orderBy("id").collect()]  # n <= k rows
         pts.unpersist()
@@ -169,7 +195,9 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = CHECKPOINT_EVE
         alive = rest.select("id", "v")
         stale = rest.filter(hit).select("id", "v")
         fresh = rest.filter(~hit | F.col("partner").isNull())
-        redo = stale.join(farthest_partner_in(stale, alive), "id", "left")
+        n_alive = n - 2 * (t + 1)       # known: no counting job per step
+        redo = stale.join(farthest_partner_in(stale, alive, sizes=(n_alive, n_alive, dim)),
+                          "id", "left")
         nxt = fresh.unionByName(redo)
         if checkpoint_every and (t + 1) % checkpoint_every == 0:
             ensure_checkpoint_dir(spark)
@@ -178,6 +206,8 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = CHECKPOINT_EVE
             nxt = nxt.persist()
         cached.append(nxt)
         state = nxt
+        while len(cached) > 4:          # keep pts, the partner table and the last two states
+            cached.pop(2).unpersist()
     if k % 2 == 1:
         m = state.agg(F.min("id")).first()[0]
         if m is not None:

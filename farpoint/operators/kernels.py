@@ -170,3 +170,48 @@ def farthest_first(ids, x, k):
         picks.append((step, int(ids[j])))
         dist = np.fmin(dist, np.sqrt(exact_sq(x, np.broadcast_to(x[j], x.shape))))
     return picks
+
+
+def greedy_pairs(ids, x, k):
+    """Greedy farthest pairs of one bounded set: list of picked ids in order.
+
+    k // 2 times the farthest pair of unused points (ties: smallest i, then
+    j, with i < j), then for odd k the smallest unused id; all ids in order
+    when k >= n.  Partners are kept per point and recomputed only for points
+    whose partner was used, so memory stays at one chunk.
+    """
+    order = np.argsort(ids, kind="stable")
+    ids, x = ids[order], x[order]
+    n = len(ids)
+    if k >= n:
+        return [int(i) for i in ids]
+    pos = {int(v): i for i, v in enumerate(ids)}
+    partner = np.full(n, -1, dtype=np.int64)      # position of the partner
+    pd2 = np.full(n, -np.inf)
+    i_, p_, d_ = best_partner(x, ids, x, ids)
+    for a, b, d in zip(i_, p_, d_):
+        partner[pos[int(a)]], pd2[pos[int(a)]] = pos[int(b)], d
+    alive = np.ones(n, bool)
+    picks = []
+    for _ in range(k // 2):
+        cand = np.nonzero(alive & (partner >= 0))[0]
+        if len(cand) == 0:
+            break
+        lo = np.minimum(cand, partner[cand])
+        hi = np.maximum(cand, partner[cand])
+        o = np.lexsort((hi, lo, -pd2[cand]))       # d desc, then i, then j
+        a, b = int(lo[o[0]]), int(hi[o[0]])
+        picks += [int(ids[a]), int(ids[b])]
+        alive[a] = alive[b] = False
+        stale = np.nonzero(alive & ((partner == a) | (partner == b)))[0]
+        if len(stale):
+            live = np.nonzero(alive)[0]
+            i_, p_, d_ = best_partner(x[stale], ids[stale], x[live], ids[live])
+            partner[stale], pd2[stale] = -1, -np.inf
+            for ai, bi, d in zip(i_, p_, d_):
+                partner[pos[int(ai)]], pd2[pos[int(ai)]] = pos[int(bi)], d
+    if k % 2 == 1:
+        rest = np.nonzero(alive)[0]
+        if len(rest):
+            picks.append(int(ids[rest[0]]))
+    return picks

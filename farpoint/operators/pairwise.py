@@ -179,7 +179,8 @@ def farthest_partner(points: DataFrame, n_blocks_hint: int | None = None,
     b = _blocks_for(points, n_blocks_hint, block_bytes)
     per_tile = _self_tiles(points.select("id", "v"), b).groupBy("lo", "hi") \
         .applyInPandas(_tile_partner, "id long, partner long, d2 double")
-    return _reduce_partner(per_tile)
+    # one block: every id is in exactly one tile, nothing to reduce
+    return per_tile if b == 1 else _reduce_partner(per_tile)
 
 
 def _reduce_partner(per_tile: DataFrame) -> DataFrame:
@@ -216,12 +217,21 @@ def _cross_partner(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def farthest_partner_in(left: DataFrame, right: DataFrame,
-                        block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
+                        block_bytes: int = DEFAULT_BLOCK_BYTES,
+                        sizes: tuple[int, int, int] | None = None) -> DataFrame:
     """``(id, partner, d2)``: for each left point, its farthest right point
-    with a different id (ties: smallest id).  Bipartite tiles, no join."""
-    nl, d = size_and_dim(left)
-    nr, _ = size_and_dim(right)
+    with a different id (ties: smallest id).  Bipartite tiles, no join.
+
+    ``sizes = (n_left, n_right, dim)`` (upper bounds suffice) saves the two
+    counting jobs when the caller already knows them.
+    """
+    if sizes is None:
+        nl, d = size_and_dim(left)
+        nr, _ = size_and_dim(right)
+    else:
+        nl, nr, d = sizes
     bl, br = n_blocks(nl, d, block_bytes), n_blocks(nr, d, block_bytes)
     per_tile = _cross_tiles(left.select("id", "v"), right.select("id", "v"), bl, br) \
         .groupBy("a", "b").applyInPandas(_cross_partner, "id long, partner long, d2 double")
-    return _reduce_partner(per_tile)
+    # one right block: every left id is in exactly one tile
+    return per_tile if br == 1 else _reduce_partner(per_tile)

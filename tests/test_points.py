@@ -193,20 +193,24 @@ def test_coreset_plans_agree(spark, cloud, k, l_parts):
 
 
 @pytest.mark.parametrize("k", [1, 2, 5, 6, 12])
-def test_greedy_pairs(spark, cloud, k):
+@pytest.mark.parametrize("plan", ["steps", "group"])
+def test_greedy_pairs(spark, cloud, k, plan):
     sub = cloud[:40]
     pts = make_points(spark, sub)
-    got = [r["id"] for r in diversity.greedy_pairs(pts, k, checkpoint_every=2).orderBy("pick").collect()]
+    got = [r["id"] for r in diversity.greedy_pairs(pts, k, checkpoint_every=2, plan=plan)
+           .orderBy("pick").collect()]
     assert got == brute_greedy(sub, list(range(40)), k)
 
 
 def test_greedy_grid_ties_and_small_n(spark):
     grid = np.array([[x, y] for x in range(4) for y in range(4)], dtype=float)
     pts = make_points(spark, grid)
-    got = [r["id"] for r in diversity.greedy_pairs(pts, 7).orderBy("pick").collect()]
-    assert got == brute_greedy(grid, list(range(16)), 7)
-    three = make_points(spark, grid[:3])
-    assert [r["id"] for r in diversity.greedy_pairs(three, 5).orderBy("pick").collect()] == [0, 1, 2]
+    for plan in ("steps", "group"):
+        got = [r["id"] for r in diversity.greedy_pairs(pts, 7, plan=plan).orderBy("pick").collect()]
+        assert got == brute_greedy(grid, list(range(16)), 7)
+        three = make_points(spark, grid[:3])
+        assert [r["id"] for r in diversity.greedy_pairs(three, 5, plan=plan)
+                .orderBy("pick").collect()] == [0, 1, 2]
 
 
 def test_diversity_end_to_end(spark, cloud):
