@@ -54,7 +54,7 @@ def with_part(points: DataFrame, l_parts: int, part_col: str | None = None) -> D
     return points.select(part.alias("part"), "id", "v")
 
 
-def _coreset_group_plan(parted: DataFrame, k: int) -> DataFrame:
+def _coreset_group_plan(parted: DataFrame, k: int, l_parts: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         picks = K.farthest_first(pdf["id"].to_numpy(np.int64), K.stack(pdf["v"]), k)
         part = int(pdf["part"].iat[0])
@@ -63,7 +63,11 @@ def _coreset_group_plan(parted: DataFrame, k: int) -> DataFrame:
                              "id": [i for _, i in picks]}).astype(
             {"part": "int32", "step": "int32", "id": "int64"})
 
-    return parted.groupBy("part").applyInPandas(run, "part int, step int, id long")
+    # spread parts over tasks: AQE would pack these small-in-bytes but
+    # CPU-heavy groups into few tasks; an explicit count is never coalesced
+    n_parts = max(int(l_parts), parted.sparkSession.sparkContext.defaultParallelism)
+    return parted.repartition(n_parts, "part").groupBy("part") \
+        .applyInPandas(run, "part int, step int, id long")
 
 
 def _coreset_lockstep_plan(parted: DataFrame, k: int, checkpoint_every: int) -> DataFrame:
@@ -129,13 +133,17 @@ def partition_coreset(points: DataFrame, k: int, l_parts: int, part_col: str | N
         biggest = int(stats["n"] or 0) * 8 * max(1, int(stats["d"] or 0))
         plan = "group" if biggest <= max_group_bytes else "lockstep"
     if plan == "group":
-        return _coreset_group_plan(parted, k)
+        return _coreset_group_plan(parted, k, l_parts)
     return _coreset_lockstep_plan(parted, k, checkpoint_every)
 
 
 def coreset_points(points: DataFrame, coreset: DataFrame) -> DataFrame:
-    """Coreset rows with their vectors ``(id, v)`` (a semi join on id)."""
-    return points.select("id", "v").join(coreset.select("id").distinct(), "id", "left_semi")
+    """Coreset rows with their vectors ``(id, v)``.
+
+    The coreset holds at most k * L ids (a parameter bound), so it is
+    broadcast: the semi join is map-only and the points are not shuffled.
+    """
+    return points.select("id", "v").join(F.broadcast(coreset.select("id")), "id", "left_semi")
 
 
 def _greedy_group_plan(pts: DataFrame, k: int) -> DataFrame:

@@ -50,6 +50,17 @@ def _self_tiles(points: DataFrame, b: int) -> DataFrame:
                      "blk", "id", "v")
 
 
+def _by_tile(tiles: DataFrame, b: int, keys=("lo", "hi")) -> DataFrame:
+    """One shuffle partition per tile.
+
+    Tiles are CPU-heavy but small in bytes, so AQE would pack several into
+    one task; an explicit partition count is never coalesced, and the
+    following ``groupBy`` on the same keys reuses this partitioning.
+    """
+    n_tiles = b * (b + 1) // 2 if keys == ("lo", "hi") else b
+    return tiles.repartition(max(1, n_tiles), *keys)
+
+
 def _split_tile(pdf: pd.DataFrame):
     lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
     ids = pdf["id"].to_numpy(np.int64)
@@ -93,7 +104,7 @@ def _blocks_for(points: DataFrame, n_blocks_hint: int | None, block_bytes: int)
 
 def _tiled_max(points: DataFrame, n_blocks_hint: int | None, block_bytes: int) -> DataFrame:
     b = _blocks_for(points, n_blocks_hint, block_bytes)
-    per_tile = _self_tiles(points.select("id", "v"), b).groupBy("lo", "hi") \
+    per_tile = _by_tile(_self_tiles(points.select("id", "v"), b), b).groupBy("lo", "hi") \
         .applyInPandas(_tile_max, "m2 double")
     return per_tile.agg(F.sqrt(F.coalesce(F.max("m2"), F.lit(0.0))).alias("max_dist"))
 
@@ -164,7 +175,7 @@ def avg_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
     Equal to the reference's mean over ordered pairs; NULL for < 2 points.
     """
     b = _blocks_for(points, n_blocks_hint, block_bytes)
-    per_tile = _self_tiles(points.select("id", "v"), b).groupBy("lo", "hi") \
+    per_tile = _by_tile(_self_tiles(points.select("id", "v"), b), b).groupBy("lo", "hi") \
         .applyInPandas(_tile_sum, "s double, c long")
     agg = per_tile.agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
     return agg.select(F.when(F.col("c") > 0, F.col("s") / F.col("c")).alias("avg_dist"))
@@ -177,7 +188,7 @@ def farthest_partner(points: DataFrame, n_blocks_hint: int | None = None,
     Points without any partner (a one-point set) are absent.
     """
     b = _blocks_for(points, n_blocks_hint, block_bytes)
-    per_tile = _self_tiles(points.select("id", "v"), b).groupBy("lo", "hi") \
+    per_tile = _by_tile(_self_tiles(points.select("id", "v"), b), b).groupBy("lo", "hi") \
         .applyInPandas(_tile_partner, "id long, partner long, d2 double")
     # one block: every id is in exactly one tile, nothing to reduce
     return per_tile if b == 1 else _reduce_partner(per_tile)
@@ -231,7 +242,8 @@ def farthest_partner_in(left: DataFrame, right: DataFrame,
     else:
         nl, nr, d = sizes
     bl, br = n_blocks(nl, d, block_bytes), n_blocks(nr, d, block_bytes)
-    per_tile = _cross_tiles(left.select("id", "v"), right.select("id", "v"), bl, br) \
+    per_tile = _by_tile(_cross_tiles(left.select("id", "v"), right.select("id", "v"), bl, br),
+                        bl * br, keys=("a", "b")) \
         .groupBy("a", "b").applyInPandas(_cross_partner, "id long, partner long, d2 double")
     # one right block: every left id is in exactly one tile
     return per_tile if br == 1 else _reduce_partner(per_tile)
