@@ -34,14 +34,16 @@ def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = Non
         raise ValueError("k must be >= 1")
     spark = points.sparkSession
     pts = points.select("id", "v")
-    if start_id is None:
-        start_id = pts.agg(F.min("id")).first()[0]
     schema = "step int, id long"
-    if start_id is None:
-        return spark.createDataFrame([], schema)
-    first = pts.filter(F.col("id") == F.lit(start_id)).select("v").first()
-    if first is None:
-        raise ValueError(f"start id {start_id} not in the point set")
+    if start_id is None:              # smallest id: one top-1, no extra scan
+        first = pts.orderBy("id").limit(1).first()
+        if first is None:
+            return spark.createDataFrame([], schema)
+        start_id = first["id"]
+    else:
+        first = pts.filter(F.col("id") == F.lit(start_id)).first()
+        if first is None:
+            raise ValueError(f"start id {start_id} not in the point set")
     picks = [(0, int(start_id))]
     state = pts.select("id", "v", dist_to_const("v", first["v"]).alias("dist")).persist()
     cached = [state]
