@@ -1,7 +1,8 @@
 """Time the headline queries on local[$BENCH_CPUS] at $BENCH_SF_DIR.
 
 Prints one JSON line: {"metric", "value" (total seconds), "unit", "queries", "sf"}.
-Each query is run to completion with the no-op sink (no collect).  Before
+Each query is run to completion with the no-op sink (no collect), three
+times; the reported time is the median of the three.  Before
 timing, the same queries run once untimed on the smallest tables (sf0.001)
 when present: that starts the Python workers and lets the JVM compile the
 code paths, so the timings show steady-state cost, not JIT warm-up.
@@ -12,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -20,6 +22,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from farpoint.plans import QUERIES  # noqa: E402
 from farpoint.session import local_session  # noqa: E402
 
+REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+
 HEADLINE = [
     "class_count", "class_count_two_round", "most_frequent_class",
     "word_count", "word_count_salted", "doc_term_count", "distinct_words",
@@ -43,9 +47,12 @@ def main() -> None:
         QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(REPEAT):
+            t0 = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(runs), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_headline_query_seconds",

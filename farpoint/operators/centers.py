@@ -25,17 +25,25 @@ CHECKPOINT_EVERY = 8
 
 
 def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = None,
-                           checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
+                           checkpoint_every: int = CHECKPOINT_EVERY,
+                           seed: int | None = None) -> DataFrame:
     """D3: ``(step, id)`` of up to k centers, starting at ``start_id`` (default
-    the smallest id); each next center is the point farthest from the chosen
-    ones, ties to the smallest id.  Stops early when all remaining distances
-    are 0 (duplicates), so at most min(k, distinct points) centers."""
+    the smallest id, or with ``seed`` the seeded one-point sample X2); each
+    next center is the point farthest from the chosen ones, ties to the
+    smallest id.  Stops early when all remaining distances are 0
+    (duplicates), so at most min(k, distinct points) centers."""
     if k < 1:
         raise ValueError("k must be >= 1")
     spark = points.sparkSession
     pts = points.select("id", "v")
     schema = "step int, id long"
-    if start_id is None:              # smallest id: one top-1, no extra scan
+    if start_id is None and seed is not None:     # X2: random start, reproducible
+        from farpoint.operators.sampling import random_sample
+        first = random_sample(pts, 1, seed).first()
+        if first is None:
+            return spark.createDataFrame([], schema)
+        start_id = first["id"]
+    elif start_id is None:            # smallest id: one top-1, no extra scan
         first = pts.orderBy("id").limit(1).first()
         if first is None:
             return spark.createDataFrame([], schema)

@@ -90,9 +90,13 @@ _SAMPLE = f"""sample AS (
   ORDER BY md5(concat_ws(':', '{P.SAMPLE_SEED}', CAST(vec_id AS VARCHAR))), vec_id
   LIMIT {P.SAMPLE_K})"""
 
-# farthest-first from the smallest id; stop when every point is a center's duplicate
-_FF = f"""ff(step, id, ids) AS (
-  SELECT 0, s.id, [s.id] FROM (SELECT min(id) AS id FROM pts) s
+# farthest-first from the smallest id (or a given start); stop when every
+# point is a center's duplicate
+
+
+def _ff(start: str = "SELECT min(id) AS id FROM pts") -> str:
+    return f"""ff(step, id, ids) AS (
+  SELECT 0, s.id, [s.id] FROM ({start}) s
   UNION ALL
   SELECT ff.step + 1, nx.id, list_append(ff.ids, nx.id)
   FROM ff, LATERAL (
@@ -107,6 +111,9 @@ _FF = f"""ff(step, id, ids) AS (
 cen AS (SELECT ff.step, p.id, p.v FROM ff JOIN pts p ON p.id = ff.id)"""
 
 
+_FF = _ff()
+
+
 def _coreset(k: int, l_parts: int) -> str:
     return f"""ppts AS (SELECT CAST(((id % {l_parts}) + {l_parts}) % {l_parts} AS INTEGER) AS part, id, v FROM pts),
 cs(part, step, id, ids) AS (
@@ -189,6 +196,19 @@ ranked AS (
   FROM pts p, cen c)
 SELECT id, center_id, round(dist, 6) AS dist FROM ranked WHERE rn = 1""",
 
+    "nearest_center_sizes": f"""
+WITH RECURSIVE {_PTS}, {_FF},
+ranked AS (
+  SELECT p.id, c.id AS center_id,
+         row_number() OVER (PARTITION BY p.id ORDER BY list_distance(p.v, c.v), c.step) AS rn
+  FROM pts p, cen c)
+SELECT center_id, CAST(count(*) AS BIGINT) AS n FROM ranked WHERE rn = 1 GROUP BY center_id""",
+
+    "farthest_first_random_start": f"""
+WITH RECURSIVE {_PTS}, {_SAMPLE.replace(f"LIMIT {P.SAMPLE_K}", "LIMIT 1")},
+{_ff("SELECT id FROM sample")}
+SELECT CAST(step AS INTEGER) AS step, CAST(id AS BIGINT) AS id FROM ff""",
+
     "kcenter_max_distance": f"""
 WITH RECURSIVE {_PTS}, {_FF}
 SELECT round(coalesce(max(list_distance(a.v, b.v)), 0), 6) AS max_dist

@@ -138,6 +138,16 @@ def q_nearest_center(spark, sf_dir):
     return _r6(centers.nearest_center(pts, cen), "dist")
 
 
+def q_nearest_center_sizes(spark, sf_dir):
+    pts = _emb(spark, sf_dir)
+    cen = centers.farthest_first_centers(pts, P.CENTERS_K)
+    return centers.center_sizes(centers.nearest_center(pts, cen))
+
+
+def q_farthest_first_random_start(spark, sf_dir):
+    return centers.farthest_first_centers(_emb(spark, sf_dir), P.CENTERS_K, seed=P.SAMPLE_SEED)
+
+
 def q_kcenter_max_distance(spark, sf_dir):
     return _r6(centers.kcenter_max_distance(_emb(spark, sf_dir), P.CENTERS_K), "max_dist")
 
@@ -183,6 +193,8 @@ QUERIES: dict[str, Query] = {
     "sample_max_distance": q_sample_max_distance,
     "farthest_first_centers": q_farthest_first_centers,
     "nearest_center": q_nearest_center,
+    "nearest_center_sizes": q_nearest_center_sizes,
+    "farthest_first_random_start": q_farthest_first_random_start,
     "kcenter_max_distance": q_kcenter_max_distance,
     "partition_coreset": q_partition_coreset,
     "greedy_pairs": q_greedy_pairs,
