@@ -44,6 +44,9 @@ MAX_GROUP_BYTES = 512 << 20
 MAX_GREEDY_GROUP_BYTES = 64 << 20
 MAX_BROADCAST_PARTS = 1_000_000
 CHECKPOINT_EVERY = 8
+# a greedy step refers to the previous state three times (kept rows, stale
+# rows, live set), so its plan would double per step: cut it every step
+GREEDY_CHECKPOINT_EVERY = 1
 
 
 def with_part(points: DataFrame, l_parts: int, part_col: str | None = None) -> DataFrame:
@@ -72,32 +75,41 @@ def _coreset_group_plan(parted: DataFrame, k: int, l_parts: int) -> DataFrame:
 
 def _coreset_lockstep_plan(parted: DataFrame, k: int, checkpoint_every: int) -> DataFrame:
     spark = parted.sparkSession
-    firsts = parted.groupBy("part").agg(F.min("id").alias("id"))
-    n_parts = firsts.count()
-    if n_parts > MAX_BROADCAST_PARTS:
-        raise ValueError("too many parts for the lockstep plan")
-    chosen = firsts.select("part", F.lit(0).alias("step"), "id")
-    centers = parted.join(F.broadcast(firsts), ["part", "id"]).select("part", F.col("v").alias("cv"))
-    state = (parted.join(F.broadcast(centers), "part")
+    schema = "part int, id long, cv array<double>"
+
+    def bounded(rows):
+        # L rows per step (one new center per part): a parameter bound, checked
+        if len(rows) > MAX_BROADCAST_PARTS or \
+                sum(len(r["cv"] or []) for r in rows) * 8 > MAX_GROUP_BYTES:
+            raise ValueError("too many parts for the lockstep plan")
+        return spark.createDataFrame([(r["part"], r["id"], r["cv"]) for r in rows], schema)
+
+    first = (parted.groupBy("part")
+             .agg(F.min_by(F.struct("id", "v"), F.col("id")).alias("b"))
+             .select("part", F.col("b.id").alias("id"), F.col("b.v").alias("cv"))
+             .limit(MAX_BROADCAST_PARTS + 1).collect())
+    picks = [(r["part"], 0, r["id"]) for r in first]
+    centers = bounded(first)
+    state = (parted.join(F.broadcast(centers.select("part", "cv")), "part")
              .select("part", "id", "v", euclidean("v", "cv").alias("dist")).persist())
-    cached, picks = [state], [chosen]
+    cached = [state]
     for step in range(1, k):
         best = (state.filter(~F.isnan("dist"))
                 .groupBy("part")
                 .agg(F.max_by(F.struct("id", "v"), F.struct(F.col("dist"), -F.col("id"))).alias("b"),
                      F.max("dist").alias("m"))
                 .filter(F.col("m") > 0)
-                .select("part", F.col("b.id").alias("id"), F.col("b.v").alias("cv"))).persist()
-        if best.count() == 0:
-            best.unpersist()
-            break
-        while len(cached) > 1:
+                .select("part", F.col("b.id").alias("id"), F.col("b.v").alias("cv"))
+                .limit(MAX_BROADCAST_PARTS + 1).collect())
+        while len(cached) > 1:          # the current state is materialised now
             cached.pop(0).unpersist()
-        picks.append(best.select("part", F.lit(step).alias("step"), "id"))
+        if not best:
+            break
+        picks += [(r["part"], step, r["id"]) for r in best]
         if step == k - 1:
-            cached.append(best)
             break
-        nxt = (state.join(F.broadcast(best.select("part", "cv")), "part", "left")
+        # the new centers are a leaf: each step's plan refers to the state once
+        nxt = (state.join(F.broadcast(bounded(best).select("part", "cv")), "part", "left")
                .select("part", "id", "v",
                        F.when(F.col("cv").isNull(), F.col("dist"))
                         .otherwise(F.least(F.col("dist"), euclidean("v", "cv"))).alias("dist")))
@@ -106,16 +118,11 @@ def _coreset_lockstep_plan(parted: DataFrame, k: int, checkpoint_every: int) ->
             nxt = nxt.checkpoint(eager=True)
         else:
             nxt = nxt.persist()
-        cached += [best, nxt]
+        cached.append(nxt)
         state = nxt
-    out = picks[0]
-    for p in picks[1:]:
-        out = out.unionByName(p)
-    ensure_checkpoint_dir(spark)
-    out = out.checkpoint(eager=True)     # the picks outlive the cached steps
     for c in cached:
         c.unpersist()
-    return out
+    return spark.createDataFrame(picks, "part int, step int, id long")
 
 
 def partition_coreset(points: DataFrame, k: int, l_parts: int, part_col: str | None = None,
@@ -156,7 +163,7 @@ def _greedy_group_plan(pts: DataFrame, k: int) -> DataFrame:
         .applyInPandas(run, "pick int, id long")
 
 
-def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = CHECKPOINT_EVERY,
+def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPOINT_EVERY,
                  plan: str = "auto", max_group_bytes: int = MAX_GREEDY_GROUP_BYTES) -> DataFrame:
     """``(pick, id)`` -- k/2 times the farthest pair of unused points
     (ties: smallest i, then j, i < j), then for odd k the smallest unused id.
@@ -183,7 +190,8 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = CHECKPOINT_EVE
         ids = [r["id"] for r in pts.select("id").orderBy("id").collect()]  # n <= k rows
         pts.unpersist()
         return spark.createDataFrame([(i + 1, int(x)) for i, x in enumerate(ids)], schema)
-    state = pts.join(farthest_partner(pts), "id", "left").persist()
+    state = pts.join(farthest_partner(pts), "id", "left") \
+        .select("id", "v", "partner", "d2").persist()
     cached, picks = [pts, state], []
     lo = F.least("id", "partner")
     hi = F.greatest("id", "partner")
@@ -204,9 +212,8 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = CHECKPOINT_EVE
         stale = rest.filter(hit).select("id", "v")
         fresh = rest.filter(~hit | F.col("partner").isNull())
         n_alive = n - 2 * (t + 1)       # known: no counting job per step
-        redo = stale.join(farthest_partner_in(stale, alive, sizes=(n_alive, n_alive, dim)),
-                          "id", "left")
-        nxt = fresh.unionByName(redo)
+        redo = farthest_partner_in(stale, alive, sizes=(n_alive, n_alive, dim))
+        nxt = fresh.select("id", "v", "partner", "d2").unionByName(redo)
         if checkpoint_every and (t + 1) % checkpoint_every == 0:
             ensure_checkpoint_dir(spark)
             nxt = nxt.checkpoint(eager=True)

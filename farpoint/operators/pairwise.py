@@ -223,15 +223,20 @@ def _cross_partner(pdf: pd.DataFrame) -> pd.DataFrame:
     x = K.stack(pdf["v"])
     a, b = side == 0, side == 1
     i, p, d = K.best_partner(x[a], ids[a], x[b], ids[b])
-    return pd.DataFrame({"id": i.astype(np.int64), "partner": p.astype(np.int64),
-                         "d2": d.astype(np.float64)})
+    # every left row once, with its vector, partner NULL when the tile has none
+    out = pd.DataFrame({"id": ids[a], "v": pdf["v"].to_numpy()[a]})
+    found = pd.DataFrame({"id": i.astype(np.int64), "partner": p.astype(np.int64),
+                          "d2": d.astype(np.float64)})
+    return out.merge(found, on="id", how="left")[["id", "v", "partner", "d2"]]
 
 
 def farthest_partner_in(left: DataFrame, right: DataFrame,
                         block_bytes: int = DEFAULT_BLOCK_BYTES,
                         sizes: tuple[int, int, int] | None = None) -> DataFrame:
-    """``(id, partner, d2)``: for each left point, its farthest right point
-    with a different id (ties: smallest id).  Bipartite tiles, no join.
+    """``(id, v, partner, d2)`` for every left point: its farthest right point
+    with a different id (ties: smallest id; NULL when there is none).
+    Bipartite tiles, no join; the left vector is carried through so callers
+    can rebuild state by union instead of a join.
 
     ``sizes = (n_left, n_right, dim)`` (upper bounds suffice) saves the two
     counting jobs when the caller already knows them.
@@ -244,6 +249,12 @@ def farthest_partner_in(left: DataFrame, right: DataFrame,
     bl, br = n_blocks(nl, d, block_bytes), n_blocks(nr, d, block_bytes)
     per_tile = _by_tile(_cross_tiles(left.select("id", "v"), right.select("id", "v"), bl, br),
                         bl * br, keys=("a", "b")) \
-        .groupBy("a", "b").applyInPandas(_cross_partner, "id long, partner long, d2 double")
-    # one right block: every left id is in exactly one tile
-    return per_tile if br == 1 else _reduce_partner(per_tile)
+        .groupBy("a", "b").applyInPandas(
+            _cross_partner, "id long, v array<double>, partner long, d2 double")
+    if br == 1:             # one right block: every left id is in exactly one tile
+        return per_tile
+    best = per_tile.groupBy("id").agg(
+        F.first("v").alias("v"),
+        F.max_by(F.struct("partner", "d2"),
+                 F.struct(F.col("d2").isNotNull(), F.col("d2"), -F.col("partner"))).alias("b"))
+    return best.select("id", "v", F.col("b.partner").alias("partner"), F.col("b.d2").alias("d2"))
