@@ -31,6 +31,7 @@ HEADLINE = [
     "max_pairwise_distance", "avg_pairwise_distance", "sample_max_distance",
     "farthest_first_centers", "nearest_center", "kcenter_max_distance",
     "partition_coreset", "greedy_pairs", "diversity_two_round", "diversity_score",
+    "max_pairwise_distance_orders", "diversity_orders", "diversity_baseline_config",
 ]
 
 

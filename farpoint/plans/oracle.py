@@ -236,3 +236,21 @@ sol AS (SELECT p.id, p.v FROM pts p WHERE p.id IN (SELECT id FROM picks))
 SELECT round(avg(list_distance(a.v, b.v)), 6) AS avg_dist
 FROM sol a JOIN sol b ON a.id < b.id""",
 })
+
+
+_ORDERS_PTS = "pts AS (SELECT o_orderkey AS id, [CAST(o_custkey AS DOUBLE), o_totalprice] AS v FROM orders)"
+
+ORACLE_SQL.update({
+    "max_pairwise_distance_orders": f"""
+WITH {_ORDERS_PTS}
+SELECT round(coalesce(max(list_distance(a.v, b.v)), 0), 6) AS max_dist
+FROM pts a JOIN pts b ON a.id < b.id""",
+
+    "diversity_orders": f"""
+WITH RECURSIVE {_ORDERS_PTS}, {_coreset(P.ORDERS_DIV_K, P.ORDERS_DIV_L)},
+core AS (SELECT p.id, p.v FROM pts p WHERE p.id IN (SELECT id FROM cs)),
+{_greedy("core", P.ORDERS_DIV_K)}
+SELECT CAST(pick AS INTEGER) AS pick, CAST(id AS BIGINT) AS id FROM picks""",
+    # diversity_baseline_config: no SQL -- the recursive form takes minutes at
+    # k=100, L=16; tests check the operator against a brute-force model.
+})

@@ -8,3 +8,9 @@ CENTERS_K = 6        # k for farthest-first / k-center
 DIVERSITY_K = 6      # k for the diversity queries
 DIVERSITY_L = 4      # L partitions for the coreset round
 GREEDY_K = 7         # k for greedy pairs on the whole point table (odd: exercises the extra pick)
+# the reference's published cluster configuration (k=100, L=16), run on the
+# largest point-shaped driver table; its SQL form is too slow for an oracle
+BASELINE_K = 100
+BASELINE_L = 16
+ORDERS_DIV_K = 20    # a smaller diversity run on orders that SQL can check
+ORDERS_DIV_L = 8

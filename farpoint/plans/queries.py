@@ -164,6 +164,31 @@ def q_diversity_two_round(spark, sf_dir):
     return diversity.diversity_two_round(_emb(spark, sf_dir), P.DIVERSITY_K, P.DIVERSITY_L)
 
 
+def _orders_pts(spark, sf_dir):
+    return points_from(spark, sf_dir, "orders")
+
+
+def q_max_pairwise_distance_orders(spark, sf_dir):
+    return _r6(pairwise.max_pairwise_distance(_orders_pts(spark, sf_dir)), "max_dist")
+
+
+def q_diversity_orders(spark, sf_dir):
+    return diversity.diversity_two_round(_orders_pts(spark, sf_dir), P.ORDERS_DIV_K, P.ORDERS_DIV_L)
+
+
+def q_diversity_baseline_config(spark, sf_dir):
+    pts = _orders_pts(spark, sf_dir)
+    sol = diversity.diversity_two_round(pts, P.BASELINE_K, P.BASELINE_L)
+    score = diversity.diversity_score(pts, sol)
+    return _with_score(sol, score)
+
+
+def _with_score(sol, score):
+    # one-row score attached to every pick as a literal (no join)
+    value = score.first()["avg_dist"]
+    return sol.withColumn("avg_dist", F.round(F.lit(value).cast("double"), 6))
+
+
 def q_diversity_score(spark, sf_dir):
     pts = _emb(spark, sf_dir)
     sol = diversity.diversity_two_round(pts, P.DIVERSITY_K, P.DIVERSITY_L)
@@ -200,4 +225,7 @@ QUERIES: dict[str, Query] = {
     "greedy_pairs": q_greedy_pairs,
     "diversity_two_round": q_diversity_two_round,
     "diversity_score": q_diversity_score,
+    "max_pairwise_distance_orders": q_max_pairwise_distance_orders,
+    "diversity_orders": q_diversity_orders,
+    "diversity_baseline_config": q_diversity_baseline_config,
 }

@@ -222,3 +222,20 @@ def test_diversity_end_to_end(spark, cloud):
     sub = cloud[ids]
     expect = np.mean([dist(a, b) for a, b in itertools.combinations(sub, 2)])
     assert score == pytest.approx(expect, abs=1e-12)
+
+
+def test_diversity_large_k_against_model(spark):
+    """The baseline configuration's shape (k much larger than a part) against
+    the composition of the brute-force models."""
+    rng = np.random.default_rng(11)
+    arr = rng.uniform(size=(240, 3))
+    pts = make_points(spark, arr)
+    k, l_parts = 30, 4
+    core = []
+    for part in range(l_parts):
+        idx = [i for i in range(len(arr)) if i % l_parts == part]
+        core += [idx[j] for j in brute_ff(arr[idx], k)]
+    core = sorted(core)
+    expect = brute_greedy(arr[core], core, k)
+    got = [r["id"] for r in diversity.diversity_two_round(pts, k, l_parts).orderBy("pick").collect()]
+    assert got == expect
