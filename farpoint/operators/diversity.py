@@ -43,6 +43,7 @@ MAX_GROUP_BYTES = 512 << 20
 # only below this size; above it the distributed step plan runs
 MAX_GREEDY_GROUP_BYTES = 64 << 20
 MAX_BROADCAST_PARTS = 1_000_000
+MAX_BROADCAST_IDS = 4_000_000          # 32 MB of ids
 CHECKPOINT_EVERY = 8
 # a greedy step refers to the previous state three times (kept rows, stale
 # rows, live set), so its plan would double per step: cut it every step
@@ -147,10 +148,16 @@ def partition_coreset(points: DataFrame, k: int, l_parts: int, part_col: str | N
 def coreset_points(points: DataFrame, coreset: DataFrame) -> DataFrame:
     """Coreset rows with their vectors ``(id, v)``.
 
-    The coreset holds at most k * L ids (a parameter bound), so it is
-    broadcast: the semi join is map-only and the points are not shuffled.
+    The coreset has at most k ids per part.  It is persisted and counted;
+    within the broadcast limit (always, for ``id mod L`` parts) its ids are
+    broadcast, so the semi join is map-only and the points are not shuffled.
+    A coreset over a user part column with very many parts falls back to a
+    shuffled semi join.
     """
-    return points.select("id", "v").join(F.broadcast(coreset.select("id")), "id", "left_semi")
+    ids = coreset.select("id").persist()
+    n = ids.count()
+    side = F.broadcast(ids) if n <= MAX_BROADCAST_IDS else ids
+    return points.select("id", "v").join(side, "id", "left_semi")
 
 
 def _greedy_group_plan(pts: DataFrame, k: int) -> DataFrame:

@@ -20,25 +20,28 @@ from farpoint.functions.vectors import parse_vector
 def with_row_index(df: DataFrame, name: str = "id") -> DataFrame:
     """Add a 0-based, contiguous row number in scan order (like ``zipWithIndex``).
 
-    Only one row per input partition (its size) reaches the driver; the
-    offsets go back as a literal map, so no data is shuffled or collected.
-    Scan order is file-split order, which is stable for a given input.
+    One row per input partition (its size) reaches the driver; the running
+    offsets go back as a small broadcast table joined on the partition id,
+    so the data itself is neither shuffled nor collected.  Scan order is
+    file-split order, which is stable for a given input.
     """
+    spark = df.sparkSession
     tagged = df.withColumn("_pid", F.spark_partition_id()) \
                .withColumn("_mid", F.monotonically_increasing_id())
-    sizes = {r["_pid"]: r["n"] for r in
-             tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, run = {}, 0
-    for pid in sorted(sizes):
-        offsets[pid] = run
-        run += sizes[pid]
+    sizes = sorted((r["_pid"], r["n"]) for r in
+                   tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, run = [], 0
+    for pid, n in sizes:
+        offsets.append((pid, run))
+        run += n
     if not offsets:
         return df.withColumn(name, F.lit(None).cast("bigint"))
-    m = F.create_map(*[x for pid, off in offsets.items() for x in (F.lit(pid), F.lit(off))])
+    table = spark.createDataFrame(offsets, "_pid int, _off long")
     # monotonically_increasing_id = (partition id << 33) + row position in partition
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return (tagged.withColumn(name, (m[F.col("_pid")] + pos).cast("bigint"))
-            .drop("_pid", "_mid"))
+    return (tagged.join(F.broadcast(table), "_pid")
+            .withColumn(name, (F.col("_off") + pos).cast("bigint"))
+            .drop("_pid", "_mid", "_off"))
 
 
 def read_text_documents(spark: SparkSession, path: str, num_partitions: int | None = None) -> DataFrame:
