@@ -4,7 +4,8 @@ nearest-center assignment (A19).
 D3 is a loop of k-1 small jobs over the whole point set.  The state
 ``(id, v, dist)`` keeps each point's distance to its nearest center, so each
 step is one scan that updates ``dist = least(dist, d(v, new))`` with the new
-center as a literal (stays in whole-stage codegen) and finds the farthest
+center as a literal (an array literal reused by one compiled plan, or, for a
+large state, unrolled into generated code) and finds the farthest
 point with one tie-broken ``max_by`` aggregate (partial per task, one row
 to the driver).  The state is cached per step and written with
 ``checkpoint()`` to the session's checkpoint directory every few steps, so a
@@ -22,6 +23,9 @@ from farpoint.operators.pairwise import max_pairwise_distance
 from farpoint.session import ensure_checkpoint_dir
 
 CHECKPOINT_EVERY = 8
+# above this many coordinates in the state, unroll the distance into
+# generated code (one compile per step, faster per row)
+UNROLL_MIN_VALUES = 50_000_000
 
 
 def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = None,
@@ -55,10 +59,11 @@ def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = Non
     picks = [(0, int(start_id))]
     state = pts.select("id", "v", dist_to_const("v", first["v"]).alias("dist")).persist()
     cached = [state]
+    unroll = False
     for step in range(1, k):
         row = (state.filter(~F.isnan("dist"))
                .agg(F.max_by(F.struct("id", "v"), F.struct(F.col("dist"), -F.col("id"))).alias("b"),
-                    F.max("dist").alias("m"))
+                    F.max("dist").alias("m"), F.count(F.lit(1)).alias("n"))
                .first())
         while len(cached) > 1:          # the new state is materialised now
             cached.pop(0).unpersist()
@@ -67,7 +72,11 @@ def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = Non
         picks.append((step, int(row["b"]["id"])))
         if step == k - 1:
             break
-        nxt = state.select("id", "v", F.least(F.col("dist"), dist_to_const("v", row["b"]["v"])).alias("dist"))
+        if step == 1:
+            # large state: per-row speed of codegen outweighs a compile per step
+            unroll = row["n"] * len(row["b"]["v"]) >= UNROLL_MIN_VALUES
+        new_d = dist_to_const("v", row["b"]["v"], unroll=unroll)
+        nxt = state.select("id", "v", F.least(F.col("dist"), new_d).alias("dist"))
         if checkpoint_every and step % checkpoint_every == 0:
             ensure_checkpoint_dir(spark)
             nxt = nxt.checkpoint(eager=True)
