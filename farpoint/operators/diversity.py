@@ -31,6 +31,7 @@ from farpoint.functions.keys import id_part
 from farpoint.functions.vectors import euclidean
 from farpoint.operators import kernels as K
 from farpoint.operators.pairwise import (
+    MAX_BLOCK_ROWS,
     avg_pairwise_distance,
     farthest_partner,
     farthest_partner_in,
@@ -176,9 +177,10 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPO
     (ties: smallest i, then j, i < j), then for odd k the smallest unused id.
     When k >= n all points are returned in id order.
 
-    ``plan="auto"`` runs the whole set in one numpy group when it is at most
-    ``max_group_bytes`` (a coreset is bounded by k * L points), otherwise the
-    distributed step plan; both give the same picks.
+    ``plan="auto"`` runs the whole set in one numpy group when it has at
+    most one tile's rows and ``max_group_bytes`` (a coreset is bounded by
+    k * L points), otherwise the distributed step plan; both give the same
+    picks.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -187,7 +189,10 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPO
     n, dim = size_and_dim(pts)
     schema = "pick int, id long"
     if plan == "auto":
-        plan = "group" if n * max(1, dim) * 8 <= max_group_bytes else "steps"
+        # one group does O(n^2) work on one core: allow it only up to one
+        # tile's worth of rows, where the tiled plan would use one task too
+        small = n <= MAX_BLOCK_ROWS and n * max(1, dim) * 8 <= max_group_bytes
+        plan = "group" if small else "steps"
     if plan == "group":
         out = _greedy_group_plan(pts, k).persist()
         out.count()
