@@ -239,3 +239,12 @@ def test_diversity_large_k_against_model(spark):
     expect = brute_greedy(arr[core], core, k)
     got = [r["id"] for r in diversity.diversity_two_round(pts, k, l_parts).orderBy("pick").collect()]
     assert got == expect
+
+
+def test_nearest_center_with_nan_point(spark):
+    arr = np.array([[0.0, 0.0], [10.0, 0.0], [1.0, 1.0], [np.nan, 2.0]])
+    pts = make_points(spark, arr)
+    cen = centers.farthest_first_centers(pts, 2)
+    assert [r["id"] for r in cen.orderBy("step").collect()] == [0, 1]
+    got = {r["id"]: (r["center_id"], r["dist"]) for r in centers.nearest_center(pts, cen).collect()}
+    assert got[2][0] == 0 and got[3] == (None, None)
