@@ -29,6 +29,20 @@ def exact_sq(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", d, d)
 
 
+def exact_pairs(xa, xb, r, c) -> np.ndarray:
+    """Exact squared distances of the index pairs (xa[r], xb[c]).
+
+    Candidate lists can be long when many points are copies of each other
+    (every copy ties), so the differences are formed in bounded batches.
+    """
+    out = np.empty(len(r), dtype=np.float64)
+    step = max(1, CHUNK_BYTES // (8 * max(1, xa.shape[1] if xa.ndim == 2 else 1)))
+    for s in range(0, len(r), step):
+        e = min(len(r), s + step)
+        out[s:e] = exact_sq(xa[r[s:e]], xb[c[s:e]])
+    return out
+
+
 def _gram_sq(xa, na, xb, nb):
     g = na[:, None] + nb[None, :] - 2.0 * (xa @ xb.T)
     np.maximum(g, 0.0, out=g)
@@ -68,7 +82,7 @@ def max_sq(xa, ida, xb, idb, triangle: bool) -> float | None:
         g = np.where(valid, g, -np.inf)
         m = g.max()
         r, c = np.nonzero(g >= m - tol)
-        ex = exact_sq(xa[s + r], xb[c])
+        ex = exact_pairs(xa, xb, s + r, c)
         ex = ex[~np.isnan(ex)]
         if len(ex):
             v = float(ex.max())
@@ -90,7 +104,7 @@ def sum_dist(xa, ida, xb, idb, triangle: bool) -> tuple[float, int]:
         small = keep & (g < 1e3 * tol)
         if small.any():
             r, c = np.nonzero(small)
-            g[r, c] = exact_sq(xa[s + r], xb[c])
+            g[r, c] = exact_pairs(xa, xb, s + r, c)
         total += float(np.sqrt(g[keep]).sum())
         count += int(keep.sum())
     return total, count
@@ -119,7 +133,7 @@ def best_partner(xa, ida, xb, idb):
         r, c = np.nonzero(cand)
         if len(r) == 0:
             continue
-        ex = exact_sq(xa[s + r], xb[c])
+        ex = exact_pairs(xa, xb, s + r, c)
         ex = np.where(np.isnan(ex), -np.inf, ex)
         # per row: largest exact value, then smallest partner id (c is id-sorted)
         o = np.lexsort((c, -ex, r))

@@ -248,3 +248,21 @@ def test_nearest_center_with_nan_point(spark):
     assert [r["id"] for r in cen.orderBy("step").collect()] == [0, 1]
     got = {r["id"]: (r["center_id"], r["dist"]) for r in centers.nearest_center(pts, cen).collect()}
     assert got[2][0] == 0 and got[3] == (None, None)
+
+
+def test_pairwise_with_a_third_copies(spark):
+    """One point copied into a third of all rows: every copy ties."""
+    rng = np.random.default_rng(5)
+    arr = rng.normal(size=(180, 4))
+    arr[:60] = arr[0]
+    arr[60:90] = arr[60]
+    pts = make_points(spark, arr)
+    d = np.sqrt(((arr[:, None, :] - arr[None, :, :]) ** 2).sum(-1))
+    iu = np.triu_indices(len(arr), 1)
+    assert pairwise.max_pairwise_distance(pts, n_blocks_hint=3).first()[0] == pytest.approx(d[iu].max())
+    assert pairwise.avg_pairwise_distance(pts, n_blocks_hint=3).first()[0] == pytest.approx(d[iu].mean())
+    np.fill_diagonal(d, -1)
+    got = {r["id"]: r["partner"] for r in pairwise.farthest_partner(pts, n_blocks_hint=3).collect()}
+    assert all(got[i] == int(np.argmax(d[i])) for i in range(len(arr)))
+    picks = [r["id"] for r in diversity.greedy_pairs(pts, 9, plan="steps").orderBy("pick").collect()]
+    assert picks == brute_greedy(arr, list(range(len(arr))), 9)
