@@ -153,14 +153,12 @@ def nearest(x, cx, cid, crank):
     n = len(x)
     best_d = np.full(n, np.inf)
     best_c = np.full(n, -1, dtype=np.int64)
-    best_r = np.full(n, np.iinfo(np.int64).max)
-    for j in np.argsort(crank, kind="stable"):
+    for j in np.argsort(crank, kind="stable"):     # centers in rank order
         d = np.sqrt(exact_sq(x, np.broadcast_to(cx[j], x.shape)))
         upd = d < best_d            # strict: the earlier center keeps ties
         best_d = np.where(upd, d, best_d)
         best_c = np.where(upd, cid[j], best_c)
-        best_r = np.where(upd, crank[j], best_r)
-    # rows whose distances are all NaN keep no center
+    # rows whose distances are all NaN keep no center (-1)
     return best_c, best_d
 
 

@@ -1,7 +1,6 @@
 """Class statistics: the published 20-record example and edge cases."""
 
 import pytest
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from farpoint.operators import classes
 from farpoint.sources.files import parse_class_records, read_class_records
