@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farpoint.functions.keys import id_part
+from farpoint.functions.keys import hash_part, id_part
 from farpoint.functions.vectors import euclidean
 from farpoint.operators import kernels as K
 from farpoint.operators.pairwise import (
@@ -51,11 +51,24 @@ CHECKPOINT_EVERY = 8
 GREEDY_CHECKPOINT_EVERY = 1
 
 
-def with_part(points: DataFrame, l_parts: int, part_col: str | None = None) -> DataFrame:
-    """``(part, id, v)``; default part is ``id mod L`` (reproducible, balanced for dense ids)."""
+def with_part(points: DataFrame, l_parts: int, part_col: str | None = None,
+              part_key: str = "mod") -> DataFrame:
+    """``(part, id, v)``.
+
+    The part is ``part_col`` when given, else ``id mod L`` (``part_key="mod"``:
+    reproducible and what the SQL oracle uses, balanced for dense ids) or
+    ``xxhash64(id) mod L`` (``"hash"``: balanced for sequential or clustered ids).
+    """
     if l_parts < 1:
         raise ValueError("L must be >= 1")
-    part = F.col(part_col).cast("int") if part_col else id_part("id", l_parts)
+    if part_col:
+        part = F.col(part_col).cast("int")
+    elif part_key == "hash":
+        part = hash_part("id", l_parts)
+    elif part_key == "mod":
+        part = id_part("id", l_parts)
+    else:
+        raise ValueError(f"unknown part_key {part_key!r}")
     return points.select(part.alias("part"), "id", "v")
 
 
@@ -130,11 +143,11 @@ def _coreset_lockstep_plan(parted: DataFrame, k: int, checkpoint_every: int) ->
 def partition_coreset(points: DataFrame, k: int, l_parts: int, part_col: str | None = None,
                       max_group_bytes: int = MAX_GROUP_BYTES,
                       checkpoint_every: int = CHECKPOINT_EVERY,
-                      plan: str = "auto") -> DataFrame:
+                      plan: str = "auto", part_key: str = "mod") -> DataFrame:
     """``(part, step, id)`` farthest-first centers of every part (at most k each)."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    parted = with_part(points, l_parts, part_col)
+    parted = with_part(points, l_parts, part_col, part_key)
     if plan == "auto":
         stats = (parted.groupBy("part").agg(F.count(F.lit(1)).alias("n"),
                                              F.max(F.size("v")).alias("d"))

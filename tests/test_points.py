@@ -266,3 +266,10 @@ def test_pairwise_with_a_third_copies(spark):
     assert all(got[i] == int(np.argmax(d[i])) for i in range(len(arr)))
     picks = [r["id"] for r in diversity.greedy_pairs(pts, 9, plan="steps").orderBy("pick").collect()]
     assert picks == brute_greedy(arr, list(range(len(arr))), 9)
+
+
+def test_coreset_hash_parts(spark, cloud):
+    pts = make_points(spark, cloud)
+    a = sorted(tuple(r) for r in diversity.partition_coreset(pts, 4, 5, part_key="hash", plan="group").collect())
+    b = sorted(tuple(r) for r in diversity.partition_coreset(pts, 4, 5, part_key="hash", plan="lockstep").collect())
+    assert a == b and {r[0] for r in a} <= set(range(5)) and len(a) <= 20
