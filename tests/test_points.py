@@ -273,3 +273,15 @@ def test_coreset_hash_parts(spark, cloud):
     a = sorted(tuple(r) for r in diversity.partition_coreset(pts, 4, 5, part_key="hash", plan="group").collect())
     b = sorted(tuple(r) for r in diversity.partition_coreset(pts, 4, 5, part_key="hash", plan="lockstep").collect())
     assert a == b and {r[0] for r in a} <= set(range(5)) and len(a) <= 20
+
+
+def test_empty_point_set(spark):
+    empty = spark.createDataFrame([], "id long, v array<double>")
+    assert pairwise.max_pairwise_distance(empty).first()[0] == 0.0
+    assert pairwise.avg_pairwise_distance(empty).first()[0] is None
+    assert centers.farthest_first_centers(empty, 3).count() == 0
+    assert diversity.partition_coreset(empty, 3, 2).count() == 0
+    assert diversity.greedy_pairs(empty, 3).count() == 0
+    assert diversity.diversity_two_round(empty, 3, 2).count() == 0
+    with pytest.raises(ValueError):
+        sampling.sample_max_distance(empty, 1, 1)
