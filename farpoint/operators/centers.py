@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from farpoint.functions.vectors import dist_to_const
 from farpoint.operators.bounded import collect_bounded, nearest_in_set
 from farpoint.operators.pairwise import max_pairwise_distance
-from farpoint.session import ensure_checkpoint_dir
+from farpoint.session import conf_int, ensure_checkpoint_dir
 
 CHECKPOINT_EVERY = 8
 # above this many coordinates in the state, unroll the distance into
@@ -29,7 +29,7 @@ UNROLL_MIN_VALUES = 50_000_000
 
 
 def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = None,
-                           checkpoint_every: int = CHECKPOINT_EVERY,
+                           checkpoint_every: int | None = None,
                            seed: int | None = None) -> DataFrame:
     """D3: ``(step, id)`` of up to k centers, starting at ``start_id`` (default
     the smallest id, or with ``seed`` the seeded one-point sample X2); each
@@ -39,6 +39,8 @@ def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = Non
     if k < 1:
         raise ValueError("k must be >= 1")
     spark = points.sparkSession
+    if checkpoint_every is None:
+        checkpoint_every = conf_int(spark, "checkpointEvery", CHECKPOINT_EVERY)
     pts = points.select("id", "v")
     schema = "step int, id long"
     if start_id is None and seed is not None:     # X2: random start, reproducible

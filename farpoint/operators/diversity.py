@@ -37,7 +37,7 @@ from farpoint.operators.pairwise import (
     farthest_partner_in,
     size_and_dim,
 )
-from farpoint.session import ensure_checkpoint_dir
+from farpoint.session import conf_int, ensure_checkpoint_dir
 
 MAX_GROUP_BYTES = 512 << 20
 # the greedy round holds its whole (parameter-bounded) input in one group
@@ -141,12 +141,21 @@ def _coreset_lockstep_plan(parted: DataFrame, k: int, checkpoint_every: int) ->
 
 
 def partition_coreset(points: DataFrame, k: int, l_parts: int, part_col: str | None = None,
-                      max_group_bytes: int = MAX_GROUP_BYTES,
-                      checkpoint_every: int = CHECKPOINT_EVERY,
+                      max_group_bytes: int | None = None,
+                      checkpoint_every: int | None = None,
                       plan: str = "auto", part_key: str = "mod") -> DataFrame:
-    """``(part, step, id)`` farthest-first centers of every part (at most k each)."""
+    """``(part, step, id)`` farthest-first centers of every part (at most k each).
+
+    Limits default to the session settings ``spark.farpoint.maxGroupBytes``
+    and ``spark.farpoint.checkpointEvery`` (512 MB, 8).
+    """
     if k < 1:
         raise ValueError("k must be >= 1")
+    spark = points.sparkSession
+    if max_group_bytes is None:
+        max_group_bytes = conf_int(spark, "maxGroupBytes", MAX_GROUP_BYTES)
+    if checkpoint_every is None:
+        checkpoint_every = conf_int(spark, "checkpointEvery", CHECKPOINT_EVERY)
     parted = with_part(points, l_parts, part_col, part_key)
     if plan == "auto":
         stats = (parted.groupBy("part").agg(F.count(F.lit(1)).alias("n"),
@@ -185,7 +194,7 @@ def _greedy_group_plan(pts: DataFrame, k: int) -> DataFrame:
 
 
 def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPOINT_EVERY,
-                 plan: str = "auto", max_group_bytes: int = MAX_GREEDY_GROUP_BYTES) -> DataFrame:
+                 plan: str = "auto", max_group_bytes: int | None = None) -> DataFrame:
     """``(pick, id)`` -- k/2 times the farthest pair of unused points
     (ties: smallest i, then j, i < j), then for odd k the smallest unused id.
     When k >= n all points are returned in id order.
@@ -198,6 +207,8 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPO
     if k < 1:
         raise ValueError("k must be >= 1")
     spark = core.sparkSession
+    if max_group_bytes is None:
+        max_group_bytes = conf_int(spark, "maxGreedyGroupBytes", MAX_GREEDY_GROUP_BYTES)
     pts = core.select("id", "v").persist()
     n, dim = size_and_dim(pts)
     schema = "pick int, id long"

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from farpoint.functions.vectors import dist_to_const
 from farpoint.operators import kernels as K
+from farpoint.session import conf_int
 
 DEFAULT_BLOCK_BYTES = 16 << 20
 # a tile costs rows^2 distance evaluations: cap rows per block so one task
@@ -95,11 +96,18 @@ def _tile_partner(pdf: pd.DataFrame) -> pd.DataFrame:
                          "d2": d.astype(np.float64)})
 
 
-def _blocks_for(points: DataFrame, n_blocks_hint: int | None, block_bytes: int) -> int:
+def _blocks_for(points: DataFrame, n_blocks_hint: int | None, block_bytes: int | None) -> int:
     if n_blocks_hint:
         return int(n_blocks_hint)
     n, d = size_and_dim(points)
-    return n_blocks(n, d, block_bytes)
+    return n_blocks(n, d, _block_bytes(points, block_bytes))
+
+
+def _block_bytes(points: DataFrame, block_bytes: int | None) -> int:
+    """Explicit value, else ``spark.farpoint.blockBytes``, else 16 MB."""
+    if block_bytes is not None:
+        return int(block_bytes)
+    return conf_int(points.sparkSession, "blockBytes", DEFAULT_BLOCK_BYTES)
 
 
 def _tiled_max(points: DataFrame, n_blocks_hint: int | None, block_bytes: int) -> DataFrame:
@@ -141,7 +149,7 @@ def prune_for_diameter(points: DataFrame):
 
 
 def max_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
-                          block_bytes: int = DEFAULT_BLOCK_BYTES,
+                          block_bytes: int | None = None,
                           prune: bool | str = "auto") -> DataFrame:
     """``(max_dist)`` exact maximum Euclidean distance over all pairs.
 
@@ -153,6 +161,7 @@ def max_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
     often all (then three linear scans were spent for nothing).
     """
     clean = points.select("id", "v").filter(~F.exists("v", lambda x: F.isnan(x)))
+    block_bytes = _block_bytes(points, block_bytes)
     if n_blocks_hint is None:
         n, d = size_and_dim(clean)
         n_blocks_hint = n_blocks(n, d, block_bytes)
@@ -169,7 +178,7 @@ def max_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
 
 
 def avg_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
-                          block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
+                          block_bytes: int | None = None) -> DataFrame:
     """``(avg_dist)`` mean Euclidean distance over unordered pairs.
 
     Equal to the reference's mean over ordered pairs; NULL for < 2 points.
@@ -182,7 +191,7 @@ def avg_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
 
 
 def farthest_partner(points: DataFrame, n_blocks_hint: int | None = None,
-                     block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
+                     block_bytes: int | None = None) -> DataFrame:
     """``(id, partner, d2)``: each point's farthest other point (ties: smallest id).
 
     Points without any partner (a one-point set) are absent.
@@ -231,7 +240,7 @@ def _cross_partner(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def farthest_partner_in(left: DataFrame, right: DataFrame,
-                        block_bytes: int = DEFAULT_BLOCK_BYTES,
+                        block_bytes: int | None = None,
                         sizes: tuple[int, int, int] | None = None) -> DataFrame:
     """``(id, v, partner, d2)`` for every left point: its farthest right point
     with a different id (ties: smallest id; NULL when there is none).
@@ -246,6 +255,7 @@ def farthest_partner_in(left: DataFrame, right: DataFrame,
         nr, _ = size_and_dim(right)
     else:
         nl, nr, d = sizes
+    block_bytes = _block_bytes(left, block_bytes)
     bl, br = n_blocks(nl, d, block_bytes), n_blocks(nr, d, block_bytes)
     per_tile = _by_tile(_cross_tiles(left.select("id", "v"), right.select("id", "v"), bl, br),
                         bl * br, keys=("a", "b")) \

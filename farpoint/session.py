@@ -63,3 +63,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def sf_table(spark: SparkSession, sf_dir: str, name: str):
     """Read one driver table (``<sf_dir>/<name>.parquet``)."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def conf_int(spark: SparkSession, key: str, default: int) -> int:
+    """An integer tuning setting ``spark.farpoint.<key>`` of the session.
+
+    Lets a cluster operator size groups, blocks and checkpoint intervals to
+    the executors (e.g. ``--conf spark.farpoint.maxGroupBytes=268435456``)
+    without code changes; ``default`` otherwise.
+    """
+    value = spark.conf.get(f"spark.farpoint.{key}", None)
+    return int(value) if value not in (None, "") else int(default)

@@ -285,3 +285,15 @@ def test_empty_point_set(spark):
     assert diversity.diversity_two_round(empty, 3, 2).count() == 0
     with pytest.raises(ValueError):
         sampling.sample_max_distance(empty, 1, 1)
+
+
+def test_block_size_setting(spark, cloud):
+    pts = make_points(spark, cloud)
+    d = np.sqrt(((cloud[:, None, :] - cloud[None, :, :]) ** 2).sum(-1))
+    spark.conf.set("spark.farpoint.blockBytes", "1024")     # 256-row blocks -> 2 blocks
+    try:
+        assert pairwise._blocks_for(pts, None, None) == 2
+        got = pairwise.max_pairwise_distance(pts, prune=False).first()[0]
+    finally:
+        spark.conf.unset("spark.farpoint.blockBytes")
+    assert got == pytest.approx(d.max(), abs=1e-9)
