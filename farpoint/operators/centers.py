@@ -5,9 +5,10 @@ D3 is a loop of k-1 small jobs over the whole point set.  The state
 ``(id, v, dist)`` keeps each point's distance to its nearest center, so each
 step is one scan that updates ``dist = least(dist, d(v, new))`` with the new
 center as a literal (an array literal reused by one compiled plan, or, for a
-large state, unrolled into generated code) and finds the farthest
-point with one tie-broken ``max_by`` aggregate (partial per task, one row
-to the driver).  The state is cached per step and written with
+large state, unrolled into generated code) and finds the farthest point,
+ties to the smallest id: a single-stage top-1 when the input has few
+partitions, else a ``max_by`` aggregate (partial per task, merged on an
+executor, one row to the driver).  The state is cached per step and written with
 ``checkpoint()`` to the session's checkpoint directory every few steps, so a
 lost executor recomputes at most a few steps.
 """
@@ -26,6 +27,8 @@ CHECKPOINT_EVERY = 8
 # above this many coordinates in the state, unroll the distance into
 # generated code (one compile per step, faster per row)
 UNROLL_MIN_VALUES = 50_000_000
+# driver-side merge budget of the single-stage top-1 (one row per partition)
+TOP1_MERGE_BYTES = 8 << 20
 
 
 def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = None,
@@ -59,25 +62,34 @@ def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = Non
         if first is None:
             raise ValueError(f"start id {start_id} not in the point set")
     picks = [(0, int(start_id))]
+    dim = len(first["v"] or [])
+    # farthest point per step: with few input partitions a single-stage top-1
+    # (the driver merges one row per partition) beats a two-stage aggregate;
+    # with many, the aggregate merges on an executor instead of the driver
+    top1 = pts.rdd.getNumPartitions() * 8 * max(1, dim) <= TOP1_MERGE_BYTES
     state = pts.select("id", "v", dist_to_const("v", first["v"]).alias("dist")).persist()
     cached = [state]
     unroll = False
     for step in range(1, k):
-        row = (state.filter(~F.isnan("dist"))
-               .agg(F.max_by(F.struct("id", "v"), F.struct(F.col("dist"), -F.col("id"))).alias("b"),
-                    F.max("dist").alias("m"), F.count(F.lit(1)).alias("n"))
-               .first())
+        live = state.filter(~F.isnan("dist"))
+        if top1:
+            r = live.orderBy(F.desc("dist"), F.asc("id")).limit(1).first()
+            best = None if r is None else (r["id"], r["v"], r["dist"])
+        else:
+            r = (live.agg(F.max_by(F.struct("id", "v", "dist"),
+                                   F.struct(F.col("dist"), -F.col("id"))).alias("b")).first())["b"]
+            best = None if r is None else (r["id"], r["v"], r["dist"])
         while len(cached) > 1:          # the new state is materialised now
             cached.pop(0).unpersist()
-        if row["m"] is None or not row["m"] > 0:
+        if best is None or not best[2] > 0:
             break
-        picks.append((step, int(row["b"]["id"])))
+        picks.append((step, int(best[0])))
         if step == k - 1:
             break
         if step == 1:
             # large state: per-row speed of codegen outweighs a compile per step
-            unroll = row["n"] * len(row["b"]["v"]) >= UNROLL_MIN_VALUES
-        new_d = dist_to_const("v", row["b"]["v"], unroll=unroll)
+            unroll = state.count() * dim >= UNROLL_MIN_VALUES
+        new_d = dist_to_const("v", best[1], unroll=unroll)
         nxt = state.select("id", "v", F.least(F.col("dist"), new_d).alias("dist"))
         if checkpoint_every and step % checkpoint_every == 0:
             ensure_checkpoint_dir(spark)

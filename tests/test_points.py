@@ -297,3 +297,12 @@ def test_block_size_setting(spark, cloud):
     finally:
         spark.conf.unset("spark.farpoint.blockBytes")
     assert got == pytest.approx(d.max(), abs=1e-9)
+
+
+def test_farthest_first_aggregate_path(spark, cloud, monkeypatch):
+    """Many-partition inputs use the executor-merged aggregate: same picks."""
+    pts = make_points(spark, cloud).repartition(6)
+    top1 = [r["id"] for r in centers.farthest_first_centers(pts, 7).orderBy("step").collect()]
+    monkeypatch.setattr(centers, "TOP1_MERGE_BYTES", 0)
+    agg = [r["id"] for r in centers.farthest_first_centers(pts, 7).orderBy("step").collect()]
+    assert top1 == agg == brute_ff(cloud, 7)
