@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farpoint.functions.keys import hash_part, id_part
@@ -193,6 +193,52 @@ def _greedy_group_plan(pts: DataFrame, k: int) -> DataFrame:
         .applyInPandas(run, "pick int, id long")
 
 
+def _greedy_rounds_plan(pts: DataFrame, n: int, dim: int, k: int) -> list[int]:
+    """Greedy picks by rounds of locally dominant pairs (exact).
+
+    A pair that is the farthest pair of both its ends is in the greedy
+    matching, and the greedy's first k/2 picks are that matching's k/2
+    heaviest pairs.  Each round matches every mutual pair, keeps the k/2
+    best matched pairs seen (driver, bounded by k), and recomputes partners
+    only for points whose partner was matched.  It stops once the k/2-th
+    kept pair is strictly heavier than any remaining point's partner, so no
+    later pair can rank above it.  Needs far fewer rounds than k/2 steps.
+    """
+    spark = pts.sparkSession
+    half = k // 2
+    if half == 0:
+        return []
+    lo, hi = F.least("id", "partner"), F.greatest("id", "partner")
+    ensure_checkpoint_dir(spark)
+    state = pts.join(farthest_partner(pts), "id", "left") \
+        .select("id", "v", "partner", "d2").checkpoint(eager=True)
+    found: list[tuple[float, int, int]] = []
+    n_alive = n
+    while n_alive >= 2:
+        marked = state.withColumn(
+            "mutual", F.col("partner").isNotNull()
+            & (F.count(F.lit(1)).over(Window.partitionBy(lo, hi)) == 2)).persist()
+        new = (marked.filter(F.col("mutual") & (F.col("id") < F.col("partner")))
+               .orderBy(F.desc("d2"), F.asc("id"), F.asc("partner")).limit(half)
+               .select("d2", "id", "partner").collect())
+        found = sorted(found + [(r["d2"], r["id"], r["partner"]) for r in new],
+                       key=lambda x: (-x[0], x[1], x[2]))[:half]
+        rest = marked.filter(~F.col("mutual")).drop("mutual")
+        st = rest.agg(F.max("d2").alias("w"), F.count(F.lit(1)).alias("n")).first()
+        n_alive = st["n"]
+        if len(found) == half and (st["w"] is None or found[-1][0] > st["w"]):
+            marked.unpersist()
+            break
+        matched = marked.filter("mutual").select(F.col("id").alias("partner"))
+        stale = rest.join(matched, "partner", "left_semi").select("id", "v")
+        fresh = rest.join(matched, "partner", "left_anti")
+        redo = farthest_partner_in(stale, rest.select("id", "v"), sizes=(n_alive, n_alive, dim))
+        nxt = fresh.select("id", "v", "partner", "d2").unionByName(redo).checkpoint(eager=True)
+        marked.unpersist()
+        state = nxt
+    return [x for _, i, j in found for x in (int(i), int(j))]
+
+
 def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPOINT_EVERY,
                  plan: str = "auto", max_group_bytes: int | None = None) -> DataFrame:
     """``(pick, id)`` -- k/2 times the farthest pair of unused points
@@ -201,8 +247,9 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPO
 
     ``plan="auto"`` runs the whole set in one numpy group when it has at
     most one tile's rows and ``max_group_bytes`` (a coreset is bounded by
-    k * L points), otherwise the distributed step plan; both give the same
-    picks.
+    k * L points), otherwise the distributed step plan (k/2 steps).
+    ``plan="rounds"`` finds the same picks by rounds of locally dominant
+    pairs, usually far fewer Spark jobs when k is large.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -226,6 +273,14 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPO
         ids = [r["id"] for r in pts.select("id").orderBy("id").collect()]  # n <= k rows
         pts.unpersist()
         return spark.createDataFrame([(i + 1, int(x)) for i, x in enumerate(ids)], schema)
+    if plan == "rounds":
+        picks = _greedy_rounds_plan(pts, n, dim, k)
+        if k % 2 == 1:
+            m = pts.filter(~F.col("id").isin(picks)).agg(F.min("id")).first()[0]
+            if m is not None:
+                picks.append(int(m))
+        pts.unpersist()
+        return spark.createDataFrame([(i + 1, x) for i, x in enumerate(picks)], schema)
     state = pts.join(farthest_partner(pts), "id", "left") \
         .select("id", "v", "partner", "d2").persist()
     cached, picks = [pts, state], []

@@ -193,7 +193,7 @@ def test_coreset_plans_agree(spark, cloud, k, l_parts):
 
 
 @pytest.mark.parametrize("k", [1, 2, 5, 6, 12])
-@pytest.mark.parametrize("plan", ["steps", "group"])
+@pytest.mark.parametrize("plan", ["steps", "group", "rounds"])
 def test_greedy_pairs(spark, cloud, k, plan):
     sub = cloud[:40]
     pts = make_points(spark, sub)
@@ -205,7 +205,7 @@ def test_greedy_pairs(spark, cloud, k, plan):
 def test_greedy_grid_ties_and_small_n(spark):
     grid = np.array([[x, y] for x in range(4) for y in range(4)], dtype=float)
     pts = make_points(spark, grid)
-    for plan in ("steps", "group"):
+    for plan in ("steps", "group", "rounds"):
         got = [r["id"] for r in diversity.greedy_pairs(pts, 7, plan=plan).orderBy("pick").collect()]
         assert got == brute_greedy(grid, list(range(16)), 7)
         three = make_points(spark, grid[:3])
@@ -264,8 +264,10 @@ def test_pairwise_with_a_third_copies(spark):
     np.fill_diagonal(d, -1)
     got = {r["id"]: r["partner"] for r in pairwise.farthest_partner(pts, n_blocks_hint=3).collect()}
     assert all(got[i] == int(np.argmax(d[i])) for i in range(len(arr)))
-    picks = [r["id"] for r in diversity.greedy_pairs(pts, 9, plan="steps").orderBy("pick").collect()]
-    assert picks == brute_greedy(arr, list(range(len(arr))), 9)
+    expect = brute_greedy(arr, list(range(len(arr))), 9)
+    for plan in ("steps", "rounds"):
+        picks = [r["id"] for r in diversity.greedy_pairs(pts, 9, plan=plan).orderBy("pick").collect()]
+        assert picks == expect, plan
 
 
 def test_coreset_hash_parts(spark, cloud):
