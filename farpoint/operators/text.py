@@ -23,7 +23,7 @@ from farpoint.operators.layout import spread
 
 def document_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(doc_id, line_no, line): one row per line of each text value."""
-    return spread(docs).select("doc_id", F.posexplode(document_lines_expr(F.col(text_col)))
+    return spread(docs, "doc_id").select("doc_id", F.posexplode(document_lines_expr(F.col(text_col)))
                        .alias("line_no", "line"))
 
 

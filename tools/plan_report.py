@@ -152,8 +152,10 @@ Reading the table:
   parameter (K sampled ids, k centers, k * L coreset ids, L new centers per
   lockstep step) and, where it is collected, checked against a byte limit.
 * Counts are map-side combined: the text and class queries have one exchange
-  per aggregation round plus, on single-row-group inputs, the round-robin
-  spread that lets 8 tasks tokenise; large inputs skip the spread.
+  per aggregation round plus, on single-row-group inputs, the spread on
+  `doc_id` that lets 8 tasks tokenise (the per-document term count reuses
+  it); large inputs skip the spread.  `class_count` adds the range exchange
+  of its sort.
 * `py` nodes are the Arrow-batched numpy kernels (tiles, coreset groups,
   bounded-set scans); their inputs are partitioned by Spark first.
 * Iterative queries (farthest-first, greedy pairs, coresets) show one
