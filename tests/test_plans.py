@@ -28,10 +28,13 @@ def test_no_cartesian_or_nested_loop_joins(spark):
 
 def test_counts_prune_columns_and_combine_map_side(spark):
     import __spark_entry__ as E
-    for name, cols in [("word_count", "struct<text:string>"),
-                       ("class_count", "struct<event_type:string>")]:
+    # word_count reads text, plus doc_id when the small input is spread by it
+    for name, allowed in [("word_count", {"struct<text:string>",
+                                          "struct<doc_id:bigint,text:string>"}),
+                          ("class_count", {"struct<event_type:string>"})]:
         plan = plan_of(E.queries()[name](spark, SF_SMALL))
-        assert f"ReadSchema: {cols}" in plan, name
+        schemas = set(re.findall(r"ReadSchema: (\S+)", plan))
+        assert schemas and schemas <= allowed, (name, schemas)
         assert "partial_count" in plan, name
 
 
