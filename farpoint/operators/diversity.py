@@ -13,11 +13,19 @@ D5 has two exact plans with the same result:
   to update the distance column.  No part is ever gathered in one task, so
   a part holding a third of all rows is fine.
 
-D6 keeps, for every still-unused coreset point, its farthest unused partner
-(tiled all-pairs once).  A step takes the best pair (one aggregate), drops
-both points, and recomputes the partner only of points whose partner was
-dropped (bipartite tiles).  Ties everywhere go to the smallest ids, so the
-picks equal the sequential greedy's.
+D6 has three exact plans with the same picks:
+
+* group plan -- a set of at most one tile's rows (a coreset is bounded by
+  k * L) runs the greedy in one numpy group;
+* step plan -- every unused point keeps its farthest unused partner (tiled
+  all-pairs once); a step takes the best pair (one aggregate), drops both
+  points and recomputes the partner only of points whose partner was
+  dropped (bipartite tiles);
+* rounds plan -- all mutual-best pairs per round, stopping once the k/2
+  best kept pairs cannot be beaten.
+
+Ties everywhere go to the smallest ids, so the picks equal the sequential
+greedy's.
 """
 
 from __future__ import annotations
