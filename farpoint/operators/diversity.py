@@ -64,8 +64,9 @@ def with_part(points: DataFrame, l_parts: int, part_col: str | None = None,
     """``(part, id, v)``.
 
     The part is ``part_col`` when given, else ``id mod L`` (``part_key="mod"``:
-    reproducible and what the SQL oracle uses, balanced for dense ids) or
-    ``xxhash64(id) mod L`` (``"hash"``: balanced for sequential or clustered ids).
+    reproducible and what the SQL oracle uses, balanced for dense ids),
+    ``xxhash64(id) mod L`` (``"hash"``: balanced for sequential or clustered
+    ids) or the Spark partition after ``repartition(L)`` (``"spark"``).
     """
     if l_parts < 1:
         raise ValueError("L must be >= 1")
@@ -75,6 +76,12 @@ def with_part(points: DataFrame, l_parts: int, part_col: str | None = None,
         part = hash_part("id", l_parts)
     elif part_key == "mod":
         part = id_part("id", l_parts)
+    elif part_key == "spark":
+        # the Spark partitions of repartition(L), as the reference's round 1
+        # uses; layout-dependent, but stable for a given input (round-robin
+        # repartitioning sorts rows first, so retries reproduce it)
+        spread = points.select("id", "v").repartition(int(l_parts))
+        return spread.select(F.spark_partition_id().alias("part"), "id", "v")
     else:
         raise ValueError(f"unknown part_key {part_key!r}")
     return points.select(part.alias("part"), "id", "v")

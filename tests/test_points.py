@@ -308,3 +308,15 @@ def test_farthest_first_aggregate_path(spark, cloud, monkeypatch):
     monkeypatch.setattr(centers, "TOP1_MERGE_BYTES", 0)
     agg = [r["id"] for r in centers.farthest_first_centers(pts, 7).orderBy("step").collect()]
     assert top1 == agg == brute_ff(cloud, 7)
+
+
+def test_coreset_spark_parts(spark, cloud):
+    pts = make_points(spark, cloud)
+    core = diversity.partition_coreset(pts, 4, 3, part_key="spark", plan="group").collect()
+    assert {r["part"] for r in core} <= {0, 1, 2} and len(core) <= 12
+    # every part's picks are a farthest-first traversal of that part's points
+    parted = diversity.with_part(pts, 3, part_key="spark").collect()
+    for part in {r["part"] for r in core}:
+        idx = sorted(r["id"] for r in parted if r["part"] == part)
+        expect = [idx[j] for j in brute_ff(cloud[idx], 4)]
+        assert [r["id"] for r in sorted(core, key=lambda r: r["step"]) if r["part"] == part] == expect
