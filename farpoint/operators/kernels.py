@@ -149,16 +149,37 @@ def best_partner(xa, ida, xb, idb):
 
 
 def nearest(x, cx, cid, crank):
-    """For each row of x: nearest center (ties: smaller rank) and its distance."""
+    """For each row of x: nearest center (ties: smaller rank) and its distance.
+
+    Gram-form distances to all centers (BLAS, chunked), exact re-check of
+    every center within rounding of the row minimum; rows whose distances
+    are all NaN get center -1 and distance inf.
+    """
     n = len(x)
-    best_d = np.full(n, np.inf)
     best_c = np.full(n, -1, dtype=np.int64)
-    for j in np.argsort(crank, kind="stable"):     # centers in rank order
-        d = np.sqrt(exact_sq(x, np.broadcast_to(cx[j], x.shape)))
-        upd = d < best_d            # strict: the earlier center keeps ties
-        best_d = np.where(upd, d, best_d)
-        best_c = np.where(upd, cid[j], best_c)
-    # rows whose distances are all NaN keep no center (-1)
+    best_d = np.full(n, np.inf)
+    if n == 0 or len(cid) == 0:
+        return best_c, best_d
+    order = np.argsort(crank, kind="stable")           # centers in rank order
+    cx, cid = cx[order], cid[order]
+    nx, nc = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", cx, cx)
+    tol = _tol(nx, nc)
+    for s, e in _row_chunks(n, len(cid)):
+        g = _gram_sq(x[s:e], nx[s:e], cx, nc)
+        g = np.where(np.isnan(g), np.inf, g)
+        m = g.min(axis=1)
+        has = np.isfinite(m)
+        r, c = np.nonzero((g <= (m + tol)[:, None]) & has[:, None])
+        if len(r) == 0:
+            continue
+        ex = exact_pairs(x, cx, s + r, c)
+        ex = np.where(np.isnan(ex), np.inf, ex)
+        o = np.lexsort((c, ex, r))                     # per row: smallest, then rank
+        r, c, ex = r[o], c[o], ex[o]
+        first = np.ones(len(r), bool)
+        first[1:] = r[1:] != r[:-1]
+        best_c[s + r[first]] = cid[c[first]]
+        best_d[s + r[first]] = np.sqrt(ex[first])
     return best_c, best_d
 
 
