@@ -320,3 +320,10 @@ def test_coreset_spark_parts(spark, cloud):
         idx = sorted(r["id"] for r in parted if r["part"] == part)
         expect = [idx[j] for j in brute_ff(cloud[idx], 4)]
         assert [r["id"] for r in sorted(core, key=lambda r: r["step"]) if r["part"] == part] == expect
+
+
+def test_greedy_plan_choice():
+    assert diversity.choose_greedy_plan(1600, 300) == "group"
+    assert diversity.choose_greedy_plan(20000, 300) == "rounds"
+    assert diversity.choose_greedy_plan(20000, 2) == "steps"
+    assert diversity.choose_greedy_plan(5000, 64, max_group_bytes=1024) == "rounds"
