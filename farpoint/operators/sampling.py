@@ -6,7 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farpoint.operators.bounded import collect_bounded, max_sq_to_set
+from farpoint.operators.bounded import (
+    MAX_BROADCAST_BYTES,
+    MAX_BROADCAST_ROWS,
+    collect_bounded,
+    max_sq_to_set,
+)
+from farpoint.operators.pairwise import farthest_partner_in
 
 
 def sample_key(seed: int) -> F.Column:
@@ -39,13 +45,20 @@ def sample_max_distance(points: DataFrame, k: int, seed: int) -> DataFrame:
 
     Requires ``1 <= k < n``.  The k sampled points are broadcast (size
     checked) to a ``mapInPandas`` scan of the rest: no shuffle of the points.
+    A sample beyond the broadcast limit goes through bipartite tiles instead.
     """
     pts = points.select("id", "v")
     n = pts.count()
     if not 1 <= k < n:
         raise ValueError(f"k must satisfy 1 <= k < n (k={k}, n={n})")
-    sample = random_sample(pts, k, seed)
-    sid, sx, _ = collect_bounded(sample)
-    rest = pts.filter(~F.col("id").isin([int(i) for i in sid]))
-    per_batch = max_sq_to_set(rest, sid, sx)
-    return per_batch.agg(F.sqrt(F.coalesce(F.max("m2"), F.lit(0.0))).alias("max_dist"))
+    sample = random_sample(pts, k, seed).persist()
+    dim = len((pts.select("v").first() or {"v": []})["v"] or [])
+    if k <= MAX_BROADCAST_ROWS and k * max(1, dim) * 8 <= MAX_BROADCAST_BYTES:
+        sid, sx, _ = collect_bounded(sample)
+        rest = sample_complement(pts, sample)                      # broadcast anti join
+        per_batch = max_sq_to_set(rest, sid, sx)
+        return per_batch.agg(F.sqrt(F.coalesce(F.max("m2"), F.lit(0.0))).alias("max_dist"))
+    # too large to broadcast: shuffled anti join and bipartite tiles, no collect
+    rest = pts.join(sample.select("id"), "id", "left_anti")
+    best = farthest_partner_in(rest, sample, sizes=(n - k, k, dim))
+    return best.agg(F.sqrt(F.coalesce(F.max("d2"), F.lit(0.0))).alias("max_dist"))

@@ -327,3 +327,14 @@ def test_greedy_plan_choice():
     assert diversity.choose_greedy_plan(20000, 300) == "rounds"
     assert diversity.choose_greedy_plan(20000, 2) == "steps"
     assert diversity.choose_greedy_plan(5000, 64, max_group_bytes=1024) == "rounds"
+
+
+def test_sample_max_distance_tile_fallback(spark, cloud, monkeypatch):
+    pts = make_points(spark, cloud)
+    direct = sampling.sample_max_distance(pts, 25, 7).first()[0]
+    monkeypatch.setattr(sampling, "MAX_BROADCAST_ROWS", 0)    # force the tiled path
+    tiled = sampling.sample_max_distance(pts, 25, 7).first()[0]
+    sample = {r["id"] for r in sampling.random_sample(pts, 25, 7).collect()}
+    rest = [i for i in range(len(cloud)) if i not in sample]
+    expect = max(dist(cloud[a], cloud[b]) for a in sample for b in rest)
+    assert direct == pytest.approx(expect, abs=1e-12) and tiled == pytest.approx(expect, abs=1e-12)
