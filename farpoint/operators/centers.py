@@ -15,12 +15,19 @@ lost executor recomputes at most a few steps.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farpoint.functions.vectors import dist_to_const
-from farpoint.operators.bounded import collect_bounded, nearest_in_set
-from farpoint.operators.pairwise import max_pairwise_distance
+from farpoint.operators import kernels as K
+from farpoint.operators.bounded import (
+    MAX_BROADCAST_BYTES,
+    MAX_BROADCAST_ROWS,
+    collect_bounded,
+    nearest_in_set,
+)
+from farpoint.operators.pairwise import max_pairwise_distance, n_blocks, size_and_dim
 from farpoint.session import conf_int, ensure_checkpoint_dir
 
 CHECKPOINT_EVERY = 8
@@ -116,9 +123,49 @@ def kcenter_max_distance(points: DataFrame, k: int) -> DataFrame:
 
 def nearest_center(points: DataFrame, centers: DataFrame) -> DataFrame:
     """``(id, center_id, dist)`` nearest center of every point; ties to the
-    earlier center.  Centers (bounded by k) are broadcast to a map-only scan."""
-    cid, cx, crank = collect_bounded(center_points(points, centers), extra="step")
-    return nearest_in_set(points, cid, cx, crank)
+    earlier center.  Centers (bounded by k) are broadcast to a map-only scan;
+    a center set beyond the broadcast limit goes through bipartite tiles."""
+    cen = center_points(points, centers)
+    n_cen = centers.count()
+    dim = len((cen.select("v").first() or {"v": []})["v"] or [])
+    if n_cen <= MAX_BROADCAST_ROWS and n_cen * max(1, dim) * 8 <= MAX_BROADCAST_BYTES:
+        cid, cx, crank = collect_bounded(cen, extra="step")
+        return nearest_in_set(points, cid, cx, crank)
+    return _nearest_tiled(points.select("id", "v"), cen, dim)
+
+
+def _nearest_tiled(points: DataFrame, cen: DataFrame, dim: int) -> DataFrame:
+    nl, _ = size_and_dim(points)
+    nr, _ = size_and_dim(cen)
+    bl, br = n_blocks(nl, dim), n_blocks(nr, dim)
+    lt = points.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(bl)).cast("int").alias("a"),
+                       F.lit(0).alias("side"), F.lit(None).cast("int").alias("step"))
+    lt = lt.select("*", F.explode(F.sequence(F.lit(0), F.lit(br - 1))).alias("b"))
+    rt = cen.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(br)).cast("int").alias("b"),
+                    F.lit(1).alias("side"), F.col("step").cast("int").alias("step"))
+    rt = rt.select("*", F.explode(F.sequence(F.lit(0), F.lit(bl - 1))).alias("a"))
+    cols = ["a", "b", "side", "id", "v", "step"]
+    tiles = lt.select(*cols).unionByName(rt.select(*cols)).repartition(bl * br, "a", "b")
+
+    def run(pdf):
+        import pandas as pd
+        side = pdf["side"].to_numpy()
+        left, right = pdf[side == 0], pdf[side == 1]
+        rank = right["step"].to_numpy(np.int64)
+        c, d = K.nearest(K.stack(left["v"]), K.stack(right["v"]),
+                         right["id"].to_numpy(np.int64), rank)
+        by_id = dict(zip(right["id"].to_numpy(np.int64), rank))
+        out = pd.DataFrame({"id": left["id"].to_numpy(np.int64), "center_id": c, "dist": d,
+                            "step": [by_id.get(int(x), -1) for x in c]})
+        return out[out["center_id"] >= 0]
+
+    per_tile = tiles.groupBy("a", "b").applyInPandas(
+        run, "id long, center_id long, dist double, step int")
+    best = per_tile.groupBy("id").agg(
+        F.min_by(F.struct("center_id", "dist"), F.struct("dist", "step")).alias("b"))
+    found = best.select("id", F.col("b.center_id").alias("center_id"), F.col("b.dist").alias("dist"))
+    # points whose distances are all NaN keep no center
+    return points.select("id").join(found, "id", "left")
 
 
 def center_sizes(assignment: DataFrame) -> DataFrame:

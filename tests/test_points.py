@@ -338,3 +338,13 @@ def test_sample_max_distance_tile_fallback(spark, cloud, monkeypatch):
     rest = [i for i in range(len(cloud)) if i not in sample]
     expect = max(dist(cloud[a], cloud[b]) for a in sample for b in rest)
     assert direct == pytest.approx(expect, abs=1e-12) and tiled == pytest.approx(expect, abs=1e-12)
+
+
+def test_nearest_center_tile_fallback(spark, cloud, monkeypatch):
+    pts = make_points(spark, cloud)
+    cen = centers.farthest_first_centers(pts, 5)
+    direct = sorted(tuple(r) for r in centers.nearest_center(pts, cen).collect())
+    monkeypatch.setattr(centers, "MAX_BROADCAST_ROWS", 0)      # force the tiled path
+    tiled = sorted(tuple(r) for r in centers.nearest_center(pts, cen).collect())
+    assert [r[:2] for r in direct] == [r[:2] for r in tiled]
+    assert all(abs(a[2] - b[2]) < 1e-12 for a, b in zip(direct, tiled))
