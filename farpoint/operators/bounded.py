@@ -17,6 +17,7 @@ from farpoint.operators import kernels as K
 # hard cap on what may be broadcast this way
 MAX_BROADCAST_BYTES = 256 << 20
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_IDS = 4_000_000          # id-only sides: 32 MB
 
 
 def collect_bounded(small: DataFrame, extra: str | None = None):

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from farpoint.functions.keys import hash_part, id_part
 from farpoint.functions.vectors import euclidean
 from farpoint.operators import kernels as K
+from farpoint.operators.bounded import MAX_BROADCAST_IDS
 from farpoint.operators.pairwise import (
     MAX_BLOCK_ROWS,
     avg_pairwise_distance,
@@ -52,7 +53,6 @@ MAX_GROUP_BYTES = 512 << 20
 # only below this size; above it the distributed step plan runs
 MAX_GREEDY_GROUP_BYTES = 64 << 20
 MAX_BROADCAST_PARTS = 1_000_000
-MAX_BROADCAST_IDS = 4_000_000          # 32 MB of ids
 CHECKPOINT_EVERY = 8
 # a greedy step refers to the previous state three times (kept rows, stale
 # rows, live set), so its plan would double per step: cut it every step

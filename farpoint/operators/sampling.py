@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from farpoint.operators.bounded import (
     MAX_BROADCAST_BYTES,
+    MAX_BROADCAST_IDS,
     MAX_BROADCAST_ROWS,
     collect_bounded,
     max_sq_to_set,
@@ -35,9 +36,14 @@ def random_sample(points: DataFrame, k: int, seed: int) -> DataFrame:
 def sample_complement(points: DataFrame, sample: DataFrame) -> DataFrame:
     """Points whose id is not in the sample (left anti join).
 
-    The sample holds at most k ids (a parameter), so it is broadcast.
+    The sample holds at most k ids (a parameter); it is counted and, within
+    the broadcast limit, broadcast so the anti join is map-only; a larger
+    sample takes a shuffled anti join.
     """
-    return points.join(F.broadcast(sample.select("id")), "id", "left_anti")
+    ids = sample.select("id")
+    if ids.count() <= MAX_BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return points.join(ids, "id", "left_anti")
 
 
 def sample_max_distance(points: DataFrame, k: int, seed: int) -> DataFrame:
