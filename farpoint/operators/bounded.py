@@ -3,7 +3,8 @@
 Samples (K points) and centers (k points) are bounded by the caller's
 parameter, not by the data.  They are collected once, checked against a byte
 limit, and shipped as a broadcast variable to ``mapInPandas`` tasks over the
-large side, which therefore is neither shuffled nor joined.
+large side, which therefore is neither shuffled nor joined.  Callers check
+the size first and switch to bipartite tiles beyond these limits.
 """
 
 from __future__ import annotations
