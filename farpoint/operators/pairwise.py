@@ -29,6 +29,8 @@ DEFAULT_BLOCK_BYTES = 16 << 20
 # a tile costs rows^2 distance evaluations: cap rows per block so one task
 # stays around a second of numpy work whatever the dimension
 MAX_BLOCK_ROWS = 8192
+# all-pairs jobs beyond this many pairs are refused (see check_pairs)
+MAX_PAIRS = 10 ** 13
 
 
 def size_and_dim(points: DataFrame) -> tuple[int, int]:
@@ -96,10 +98,25 @@ def _tile_partner(pdf: pd.DataFrame) -> pd.DataFrame:
                          "d2": d.astype(np.float64)})
 
 
+def check_pairs(points: DataFrame, n: int) -> None:
+    """Refuse an all-pairs job beyond ``spark.farpoint.maxPairs`` (1e13) pairs.
+
+    The exact answers are quadratic; past this size the sample-based (D2),
+    k-center (D4) or two-round (D7) operators are the ones to run.
+    """
+    limit = conf_int(points.sparkSession, "maxPairs", MAX_PAIRS)
+    pairs = n * (n - 1) // 2
+    if pairs > limit:
+        raise ValueError(
+            f"{pairs:.3g} pairs exceed spark.farpoint.maxPairs={limit:.3g}; use "
+            "sample_max_distance / kcenter_max_distance / diversity_two_round, or raise the limit")
+
+
 def _blocks_for(points: DataFrame, n_blocks_hint: int | None, block_bytes: int | None) -> int:
     if n_blocks_hint:
         return int(n_blocks_hint)
     n, d = size_and_dim(points)
+    check_pairs(points, n)
     return n_blocks(n, d, _block_bytes(points, block_bytes))
 
 
@@ -164,6 +181,8 @@ def max_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
     block_bytes = _block_bytes(points, block_bytes)
     if n_blocks_hint is None:
         n, d = size_and_dim(clean)
+        if prune is False:
+            check_pairs(points, n)
         n_blocks_hint = n_blocks(n, d, block_bytes)
     if prune is False or (prune == "auto" and n_blocks_hint == 1):
         return _tiled_max(clean, n_blocks_hint, block_bytes)

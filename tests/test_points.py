@@ -348,3 +348,19 @@ def test_nearest_center_tile_fallback(spark, cloud, monkeypatch):
     tiled = sorted(tuple(r) for r in centers.nearest_center(pts, cen).collect())
     assert [r[:2] for r in direct] == [r[:2] for r in tiled]
     assert all(abs(a[2] - b[2]) < 1e-12 for a, b in zip(direct, tiled))
+
+
+def test_all_pairs_guard(spark, cloud):
+    pts = make_points(spark, cloud)
+    spark.conf.set("spark.farpoint.maxPairs", "1000")
+    try:
+        with pytest.raises(ValueError):
+            pairwise.avg_pairwise_distance(pts)
+        with pytest.raises(ValueError):
+            pairwise.max_pairwise_distance(pts, prune=False)
+        # pruning leaves few candidates in low dimension: the guard applies to those
+        rng = np.random.default_rng(2)
+        flat = make_points(spark, rng.uniform(size=(3000, 2)))
+        assert pairwise.max_pairwise_distance(flat, prune=True).first()[0] > 0
+    finally:
+        spark.conf.unset("spark.farpoint.maxPairs")
