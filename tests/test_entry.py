@@ -42,9 +42,14 @@ def test_oracle_agreement(spark):
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     sqls = E.oracle_sql()
+    to_duck = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
     for name, q in E.queries().items():
-        sdf = q(spark, SF_SMALL).toPandas()
+        frame = q(spark, SF_SMALL)
+        sdf = frame.toPandas()
         if name not in sqls:
             assert len(sdf) >= 1
             continue
         assert _rows(sdf) == _rows(con.execute(sqls[name]).df()), name
+        rel = con.sql(sqls[name])
+        spark_types = {f.name: to_duck.get(f.dataType.simpleString()) for f in frame.schema.fields}
+        assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}, name
