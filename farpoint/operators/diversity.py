@@ -116,10 +116,12 @@ def _coreset_lockstep_plan(parted: DataFrame, k: int, checkpoint_every: int) ->
             raise ValueError("too many parts for the lockstep plan")
         return spark.createDataFrame([(r["part"], r["id"], r["cv"]) for r in rows], schema)
 
-    first = (parted.groupBy("part")
-             .agg(F.min_by(F.struct("id", "v"), F.col("id")).alias("b"))
-             .select("part", F.col("b.id").alias("id"), F.col("b.v").alias("cv"))
-             .limit(MAX_BROADCAST_PARTS + 1).collect())
+    first_df = (parted.groupBy("part")
+                .agg(F.min_by(F.struct("id", "v"), F.col("id")).alias("b"))
+                .select("part", F.col("b.id").alias("id"), F.col("b.v").alias("cv")))
+    first = first_df.limit(MAX_BROADCAST_PARTS + 1).collect()
+    if len(first) > MAX_BROADCAST_PARTS:
+        return _coreset_lockstep_shuffled(parted, first_df, k)
     picks = [(r["part"], 0, r["id"]) for r in first]
     centers = bounded(first)
     state = (parted.join(F.broadcast(centers.select("part", "cv")), "part")
@@ -157,6 +159,40 @@ def _coreset_lockstep_plan(parted: DataFrame, k: int, checkpoint_every: int) ->
     return spark.createDataFrame(picks, "part int, step int, id long")
 
 
+def _coreset_lockstep_shuffled(parted: DataFrame, first_df: DataFrame, k: int) -> DataFrame:
+    """Lockstep plan for more parts than can be collected: the per-step
+    centers stay DataFrames, joined on ``part`` (shuffled; AQE splits skewed
+    parts) and checkpointed each step so plans and statistics stay small."""
+    spark = parted.sparkSession
+    ensure_checkpoint_dir(spark)
+    centers = first_df.checkpoint(eager=True)
+    picks = [centers.select("part", F.lit(0).alias("step"), "id")]
+    state = (parted.join(centers.select("part", "cv"), "part")
+             .select("part", "id", "v", euclidean("v", "cv").alias("dist")).checkpoint(eager=True))
+    for step in range(1, k):
+        best = (state.filter(~F.isnan("dist"))
+                .groupBy("part")
+                .agg(F.max_by(F.struct("id", "v"), F.struct(F.col("dist"), -F.col("id"))).alias("b"),
+                     F.max("dist").alias("m"))
+                .filter(F.col("m") > 0)
+                .select("part", F.col("b.id").alias("id"), F.col("b.v").alias("cv"))
+                .checkpoint(eager=True))
+        if best.isEmpty():
+            break
+        picks.append(best.select("part", F.lit(step).alias("step"), "id"))
+        if step == k - 1:
+            break
+        state = (state.join(best.select("part", "cv"), "part", "left")
+                 .select("part", "id", "v",
+                         F.when(F.col("cv").isNull(), F.col("dist"))
+                          .otherwise(F.least(F.col("dist"), euclidean("v", "cv"))).alias("dist"))
+                 .checkpoint(eager=True))
+    out = picks[0]
+    for p in picks[1:]:
+        out = out.unionByName(p)
+    return out.select(F.col("part").cast("int"), F.col("step").cast("int"), F.col("id").cast("long"))
+
+
 def partition_coreset(points: DataFrame, k: int, l_parts: int, part_col: str | None = None,
                       max_group_bytes: int | None = None,
                       checkpoint_every: int | None = None,

@@ -364,3 +364,12 @@ def test_all_pairs_guard(spark, cloud):
         assert pairwise.max_pairwise_distance(flat, prune=True).first()[0] > 0
     finally:
         spark.conf.unset("spark.farpoint.maxPairs")
+
+
+def test_coreset_lockstep_shuffled(spark, cloud, monkeypatch):
+    """More parts than may be collected: centers stay DataFrames, same result."""
+    pts = make_points(spark, cloud)
+    group = sorted(tuple(r) for r in diversity.partition_coreset(pts, 4, 3, plan="group").collect())
+    monkeypatch.setattr(diversity, "MAX_BROADCAST_PARTS", 0)
+    shuffled = sorted(tuple(r) for r in diversity.partition_coreset(pts, 4, 3, plan="lockstep").collect())
+    assert shuffled == group
