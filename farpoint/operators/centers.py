@@ -128,7 +128,7 @@ def nearest_center(points: DataFrame, centers: DataFrame) -> DataFrame:
     cen = center_points(points, centers)
     n_cen = centers.count()                     # k rows
     head = points.select(F.size("v").alias("d")).first()    # one row, not a scan
-    dim = max(0, head["d"]) if head else 0
+    dim = max(0, head["d"] or 0) if head else 0
     if n_cen <= MAX_BROADCAST_ROWS and n_cen * max(1, dim) * 8 <= MAX_BROADCAST_BYTES:
         cid, cx, crank = collect_bounded(cen, extra="step")
         return nearest_in_set(points, cid, cx, crank)

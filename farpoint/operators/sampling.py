@@ -59,7 +59,7 @@ def sample_max_distance(points: DataFrame, k: int, seed: int) -> DataFrame:
         raise ValueError(f"k must satisfy 1 <= k < n (k={k}, n={n})")
     sample = random_sample(pts, k, seed).persist()
     head = pts.select(F.size("v").alias("d")).first()     # one row, not a scan
-    dim = max(0, head["d"]) if head else 0
+    dim = max(0, head["d"] or 0) if head else 0
     if k <= MAX_BROADCAST_ROWS and k * max(1, dim) * 8 <= MAX_BROADCAST_BYTES:
         sid, sx, _ = collect_bounded(sample)
         rest = sample_complement(pts, sample)                      # broadcast anti join
