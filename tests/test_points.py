@@ -373,3 +373,17 @@ def test_coreset_lockstep_shuffled(spark, cloud, monkeypatch):
     monkeypatch.setattr(diversity, "MAX_BROADCAST_PARTS", 0)
     shuffled = sorted(tuple(r) for r in diversity.partition_coreset(pts, 4, 3, plan="lockstep").collect())
     assert shuffled == group
+
+
+def test_row_ids_over_several_files(spark, tmp_path):
+    src = tmp_path / "pts"
+    src.mkdir()
+    for f in range(3):
+        (src / f"part{f}.csv").write_text("".join(f"{f},{i}\n" for i in range(100 + f * 50)))
+    pts = read_points_csv(spark, str(src))
+    rows = pts.collect()
+    assert sorted(r["id"] for r in rows) == list(range(450))
+    # within one file, ids follow the line order
+    for f in range(3):
+        ids = [r["id"] for r in sorted((r for r in rows if r["v"][0] == f), key=lambda r: r["v"][1])]
+        assert ids == list(range(ids[0], ids[0] + len(ids)))
