@@ -37,3 +37,22 @@ def test_stream_word_count(spark, tmp_path):
     got = {r["word"]: r["n"] for r in spark.sql("SELECT * FROM word_counts").collect()}
     batch = {r["word"]: r["n"] for r in text.word_count(read_text_documents(spark, str(src))).collect()}
     assert got == batch == {"a": 2, "b": 3, "c": 1, "": 1}
+
+
+def test_stream_state_carries_across_batches(spark, tmp_path):
+    src = tmp_path / "live"
+    src.mkdir()
+    (src / "a.txt").write_text("1 x\n2 y\n")
+    q = (stream_class_count(spark, str(src)).writeStream.outputMode("complete")
+         .format("memory").queryName("live_counts")
+         .option("checkpointLocation", os.path.join(str(tmp_path), "ck3")).start())
+    try:
+        q.processAllAvailable()
+        first = {r["class"]: r["n"] for r in spark.sql("SELECT * FROM live_counts").collect()}
+        (src / "b.txt").write_text("3 x\n4 x\n5 z\n")        # arrives after the first batch
+        q.processAllAvailable()
+        second = {r["class"]: r["n"] for r in spark.sql("SELECT * FROM live_counts").collect()}
+    finally:
+        q.stop()
+    assert first == {"x": 1, "y": 1}
+    assert second == {"x": 3, "y": 1, "z": 1}
