@@ -59,3 +59,16 @@ def test_tiles_shuffle_once_per_tile_group(spark):
     assert "hashpartitioning(lo" in plan and ", 6)" in plan
     exchanges = re.findall(r"^\(\d+\) Exchange", plan, flags=re.M)
     assert len(exchanges) == 2      # tile exchange + final single-row aggregate
+
+
+def test_limits_only_where_they_are_the_feature(spark):
+    """Whole tables: a row limit appears only in the sample and top-1 queries."""
+    import __spark_entry__ as E
+    # the K-sample (X1) and the queries built on it, and the top-1 class
+    allowed = {"random_sample_k", "sample_complement", "sample_max_distance",
+               "most_frequent_class"}
+    for name, q in E.queries().items():
+        plan = plan_of(q(spark, SF_SMALL), "extended")
+        limited = any(op in plan for op in ("GlobalLimit", "LocalLimit", "CollectLimit",
+                                            "TakeOrderedAndProject"))
+        assert not limited or name in allowed, name
