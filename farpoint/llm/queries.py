@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farpoint.llm import mixing, quality, urls
+from farpoint.llm import mixing, ngram_join, quality, urls
 from farpoint.sources.tables import load_table
 
 
@@ -12,6 +12,10 @@ def _docs(spark, sf_dir):
     return load_table(spark, sf_dir, "documents")
 
 
+def op1_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.jaccard_classes(_docs(spark, sf_dir))
+
+
 def op4_url_filters(spark, sf_dir):
     rules = spark.createDataFrame(urls.RULES, urls.RULE_SCHEMA)
     return urls.url_verdicts(load_table(spark, sf_dir, "pages"), rules)
@@ -29,6 +33,7 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op4_url_filters": op4_url_filters,
     "op7_mix_sources": op7_mix_sources,
     "op10_quality_rules": op10_quality_rules,
