@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farpoint.llm import mixing, ngram_join, quality, urls
+from farpoint.llm import mixing, ngram_join, quality, secrets, urls
 from farpoint.sources.tables import load_table
 
 
@@ -26,6 +26,10 @@ def op7_mix_sources(spark, sf_dir):
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def op9_secret_scans(spark, sf_dir):
+    return secrets.secret_digest(_docs(spark, sf_dir))
+
+
 def op10_quality_rules(spark, sf_dir):
     return quality.quality_verdicts(_docs(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -36,5 +40,6 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op4_url_filters": op4_url_filters,
     "op7_mix_sources": op7_mix_sources,
+    "op9_secret_scans": op9_secret_scans,
     "op10_quality_rules": op10_quality_rules,
 }
