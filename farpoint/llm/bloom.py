@@ -8,6 +8,7 @@ possible, misses are not; users follow it with an exact join.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +46,19 @@ def hits(blocks: np.ndarray, h: np.ndarray) -> np.ndarray:
     for k in range(4):
         ok &= (word >> ((h >> np.uint64(6 * k)) & np.uint64(63))) & np.uint64(1) == 1
     return ok
+
+
+def split(df: DataFrame, hashed: Column, blocks: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be in the filter, rows that are not), by the bigint ``hashed``.
+
+    Only the key goes to Python; so a later exact join moves only the first part.
+    """
+    b = df.sparkSession.sparkContext.broadcast(blocks)
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        ok = hits(b.value, h.fillna(0).to_numpy(np.int64))
+        return pd.Series(ok & h.notna().to_numpy())
+
+    flag = maybe(hashed)
+    return df.filter(flag), df.filter(~flag)

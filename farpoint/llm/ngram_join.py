@@ -333,12 +333,16 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group of linked documents stays: the one with the smallest doc_id.
+    """One document of each group of linked documents stays: the one with the smallest doc_id.
 
-    Rows that repeat a doc_id of the kept document all stay; rows with a null
-    doc_id stay.
+    Rows are removed by doc_id; rows with a null doc_id stay.  Whole rows are
+    shuffled only where a Bloom filter says that they may have to go.
     """
     scratch = Scratch(docs.sparkSession, "ngram_join")
     gone = scratch.save(jaccard_classes(docs).filter("component_id <> doc_id").select(
-        F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+        F.col("doc_id").alias("gone_id")).distinct().withColumn("h", F.xxhash64("gone_id")))
+    blocks = bloom.build(gone, "h", gone.count())
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("bigint")))
+    maybe, stays = bloom.split(docs, key, blocks)
+    return stays.unionByName(maybe.join(gone.select("gone_id"),
+                                        F.col("doc_id") == F.col("gone_id"), "left_anti"))

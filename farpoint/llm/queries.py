@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farpoint.llm import mixing, ngram_join, quality, secrets, urls
+from farpoint.llm import decontaminate, mixing, ngram_join, quality, secrets, urls
 from farpoint.sources.tables import load_table
 
 
@@ -26,6 +26,10 @@ def op7_mix_sources(spark, sf_dir):
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def op8_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(_docs(spark, sf_dir), load_table(spark, sf_dir, "benchmark"))
+
+
 def op9_secret_scans(spark, sf_dir):
     return secrets.secret_digest(_docs(spark, sf_dir))
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op4_url_filters": op4_url_filters,
     "op7_mix_sources": op7_mix_sources,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_secret_scans": op9_secret_scans,
     "op10_quality_rules": op10_quality_rules,
 }
