@@ -30,7 +30,7 @@ MAX_PASSES = 3              # a source is used at most this often
 MIN_BLOCK_WORDS = 16
 SLOTS = 1 << 20             # a block has total / SLOTS words, MIN_BLOCK_WORDS at least
 RANGE = 4096                # slots ranked together
-BUCKET_DOCS = 2000          # documents summed together, about
+BUCKET_DOCS = 256           # documents summed together, about
 SEED = "mix"                # of the shuffled order
 CELLS = 4096                # cells of [0, 1) that join points to sources
 WORD = r"[^\x20\x09-\x0D]+"
