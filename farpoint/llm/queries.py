@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farpoint.llm import decontaminate, mixing, ngram_join, quality, secrets, urls
+from farpoint.llm import decontaminate, mixing, ngram_join, quality, secrets, suffix_dedup, urls
 from farpoint.sources.tables import load_table
 
 
@@ -16,6 +16,11 @@ def op1_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.jaccard_classes(_docs(spark, sf_dir))
 
 
+def op2_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(_docs(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_url_filters(spark, sf_dir):
     rules = spark.createDataFrame(urls.RULES, urls.RULE_SCHEMA)
     return urls.url_verdicts(load_table(spark, sf_dir, "pages"), rules)
@@ -42,6 +47,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op4_url_filters": op4_url_filters,
     "op7_mix_sources": op7_mix_sources,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
