@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farpoint.llm import decontaminate, mixing, ngram_join, quality, secrets, suffix_dedup, urls
+from farpoint.llm import crf, debruijn, decontaminate, mixing, ngram_join, quality, secrets, suffix_dedup, urls
 from farpoint.sources.tables import load_table
 
 
@@ -26,6 +26,23 @@ def op4_url_filters(spark, sf_dir):
     return urls.url_verdicts(load_table(spark, sf_dir, "pages"), rules)
 
 
+def _held_out():
+    """The rows that language ID must not learn from: crc32(doc_id as text) mod 4 is 2."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op5_language_id(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    model = crf.train(docs.filter(~_held_out()))
+    return crf.predict(docs, model).select(
+        "doc_id", _held_out().alias("held_out"), "lang_pred", "score", "n_switches")
+
+
+def op6_debruijn_dedup(spark, sf_dir):
+    return debruijn.remove_repeats(_docs(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_mix_sources(spark, sf_dir):
     return mixing.mix_sources(_docs(spark, sf_dir)).select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
@@ -49,6 +66,8 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op4_url_filters": op4_url_filters,
+    "op5_language_id": op5_language_id,
+    "op6_debruijn_dedup": op6_debruijn_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_secret_scans": op9_secret_scans,
