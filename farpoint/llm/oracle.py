@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farpoint.llm import mixing, quality, urls
+from farpoint.llm import mixing, quality, rotation, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -29,6 +29,31 @@ FROM p LEFT JOIN (SELECT * FROM best WHERE k = 1) b ON p.host = b.host AND p.pat
 """
 
 
+def _rotation_sql() -> str:
+    r = rotation
+    return f"""
+WITH t AS (SELECT conv_id, coalesce(role, '{r.UNKNOWN}') AS speaker, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, '{r.UNKNOWN}'),
+                       coalesce(text, '')) - 1 AS rank FROM conversations),
+who AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> '{r.SYSTEM}'),
+m AS (SELECT t.conv_id, w.perspective, rank // {r.PART_TURNS} AS part, rank,
+    speaker = w.perspective AS mine,
+    '{r.START}' || CASE WHEN speaker = w.perspective THEN 'assistant'
+      WHEN speaker = '{r.SYSTEM}' THEN '{r.SYSTEM}' ELSE 'user name=' || speaker END || chr(10) AS head,
+    text || '{r.END}' AS body
+  FROM t JOIN who w ON t.conv_id IS NOT DISTINCT FROM w.conv_id),
+o AS (SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
+    PARTITION BY conv_id, perspective, part ORDER BY rank
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS body_at FROM m)
+SELECT conv_id, perspective, part, count(*) AS n_turns, count(*) FILTER (mine) AS n_assistant,
+  string_agg(head || body || chr(10), '' ORDER BY rank) AS text,
+  coalesce(string_agg(
+    body_at::BIGINT::VARCHAR || ':' || (body_at + length(body))::BIGINT::VARCHAR, ',' ORDER BY rank)
+    FILTER (mine), '') AS mask
+FROM o GROUP BY conv_id, perspective, part
+"""
+
+
 def mix_sql(docs: str = "documents") -> str:
     w = ", ".join(f"{x}::DOUBLE" for x in mixing.WEIGHTS)
     m = mixing
@@ -134,6 +159,7 @@ LEFT JOIN lim u ON m.lang IS NOT DISTINCT FROM u.lang AND m.source IS NOT DISTIN
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_perspective_rotation": _rotation_sql(),
     "op4_url_filters": _url_sql(),
     "op7_mix_sources": mix_sql(),
     "op10_quality_rules": quality_sql(),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farpoint.llm import crf, debruijn, decontaminate, mixing, ngram_join, quality, secrets, suffix_dedup, urls
+from farpoint.llm import crf, debruijn, decontaminate, mixing, ngram_join, quality, rotation, secrets, suffix_dedup, urls
 from farpoint.sources.tables import load_table
 
 
@@ -21,6 +21,13 @@ def op2_suffix_array_dedup(spark, sf_dir):
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_perspective_rotation(spark, sf_dir):
+    out = rotation.rotate_perspectives(load_table(spark, sf_dir, "conversations"))
+    spans = F.array_join(F.transform("mask", lambda x: F.concat_ws(
+        ":", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return out.withColumn("mask", spans)
+
+
 def op4_url_filters(spark, sf_dir):
     rules = spark.createDataFrame(urls.RULES, urls.RULE_SCHEMA)
     return urls.url_verdicts(load_table(spark, sf_dir, "pages"), rules)
@@ -65,6 +72,7 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op3_perspective_rotation": op3_perspective_rotation,
     "op4_url_filters": op4_url_filters,
     "op5_language_id": op5_language_id,
     "op6_debruijn_dedup": op6_debruijn_dedup,
