@@ -8,7 +8,7 @@ possible, misses are not; users follow it with an exact join.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,10 +55,10 @@ def split(df: DataFrame, hashed: Column, blocks: np.ndarray) -> tuple[DataFrame,
     """
     b = df.sparkSession.sparkContext.broadcast(blocks)
 
-    @F.pandas_udf("boolean")
-    def maybe(h: pd.Series) -> pd.Series:
-        ok = hits(b.value, h.fillna(0).to_numpy(np.int64))
-        return pd.Series(ok & h.notna().to_numpy())
+    @F.arrow_udf("boolean")
+    def maybe(h: pa.Array) -> pa.Array:
+        ok = hits(b.value, np.asarray(h.fill_null(0), dtype=np.int64))
+        return pa.array(ok & np.asarray(h.is_valid()))
 
     flag = maybe(hashed)
     return df.filter(flag), df.filter(~flag)

@@ -9,14 +9,17 @@ share then rarely stand in a prefix), the others by three different hashes:
 
 1. order 1 makes the candidates: an index of the prefix n-grams, of which only
    those in two different sets are kept;
-2. pairs must share a prefix n-gram under orders 2 and 3 as well;
+2. each order filters: with c shared prefix n-grams, no more than c plus the
+   longer rest beyond a prefix can be shared in all, which must reach the
+   overlap that the threshold asks for; the filters of the three orders are
+   intersected;
 3. the survivors are verified on their whole sets.
 
-Equal sets are one class from the start, and classes whose least n-gram under
-one of four hashes agrees are tried against one pivot first; the index then
-makes pairs only between classes not yet known to be connected, so a large
-group of copies costs as many pairs as it has members.  Links inside a known
-component are not needed for the classes that the join returns.
+Equal sets are one class from the start, and classes that agree in most of
+their least n-grams under six hashes are tried against one pivot first; the
+index then makes pairs only between classes not yet known to be connected, so a
+large group of copies costs as many pairs as it has members.  Links inside a
+known component are not needed for the classes that the join returns.
 
 Which n-grams count as frequent changes the speed only, never the result.
 
@@ -40,7 +43,8 @@ from farpoint.llm.scratch import Scratch
 
 N = 5                     # words of an n-gram
 NUM, DEN = 3, 4           # similarity threshold 3/4
-PIVOT_SEEDS = (11, 12, 13, 14)
+PIVOT_SEEDS = (11, 12, 13, 14, 15, 16)
+PIVOT_AGREE = 4           # least n-grams in which a class must agree with its pivot
 ORDER_SEEDS = (21, 22, 23)
 FLUSH = 1 << 22           # n-grams counted together inside a task
 MIN_HOT = 32              # an n-gram counted this often is frequent
@@ -231,11 +235,11 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, order, scratch: Scratch) -> Dat
                 keep = [sets[i] for i in part]
                 yield pa.RecordBatch.from_arrays([
                     _i64(fp[part]), pa.array([len(s) for s in keep], pa.int64()),
-                    *[_lists([(prefix(s, order.value, k) >> U(32)).astype(np.uint32).view(np.int32)
-                              for s in keep], np.int32) for k in (1, 2)],
+                    *[_lists([prefix(s, order.value, k).view(np.int64) for s in keep], np.int64)
+                      for k in (1, 2)],
                     _lists([s.view(np.int64) for s in keep], np.int64)],
                     names=["fp", "n", "p2", "p3", "s"])
-    return scratch.save(_pass(docs, fn, "fp bigint, n bigint, p2 array<int>, p3 array<int>, "
+    return scratch.save(_pass(docs, fn, "fp bigint, n bigint, p2 array<bigint>, p3 array<bigint>, "
                                         "s array<bigint>"))
 
 
@@ -243,14 +247,31 @@ def _side(t: DataFrame, key: str, cols: list[str]) -> DataFrame:
     return t.select(F.col("fp").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in cols])
 
 
+def _rest(n) -> F.Column:
+    """n-grams of a set of n beyond its prefix, as a column."""
+    return F.ceil(n * NUM / DEN).cast("bigint") - 1
+
+
+def _reaches(shared, n_a, n_b) -> F.Column:
+    """Whether ``shared`` prefix n-grams leave the threshold within reach.
+
+    Of the two prefixes, take the one that ends first in the order: whatever
+    else its set shares lies beyond that prefix.  The overlap must be at least
+    NUM / (NUM + DEN) of the sizes' sum.
+    """
+    most = shared + F.greatest(_rest(n_a), _rest(n_b))
+    return ((NUM + DEN) * most >= NUM * (n_a + n_b)) & (
+        DEN * F.least(n_a, n_b) >= NUM * F.greatest(n_a, n_b))
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) that link: filters of orders 2 and 3 first, then the whole sets."""
     few = (pairs.join(_side(sets, "a", ["n", "p2", "p3"]), "a")
-           .join(_side(sets, "b", ["n", "p2", "p3"]), "b")
-           .filter((DEN * F.least("n_a", "n_b") >= NUM * F.greatest("n_a", "n_b"))
-                   & F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b"))
-           .select("a", "b"))
-    few = scratch.save(few)
+           .join(_side(sets, "b", ["n", "p2", "p3"]), "b"))
+    for p in ("p2", "p3"):
+        both = F.size(F.array_intersect(f"{p}_a", f"{p}_b"))
+        few = few.filter(_reaches(both, F.col("n_a"), F.col("n_b")))
+    few = scratch.save(few.select("a", "b"))
     both = F.size(F.array_intersect("s_a", "s_b"))
     out = (few.join(_side(sets, "a", ["n", "s"]), "a").join(_side(sets, "b", ["n", "s"]), "b")
            .withColumn("i", both)
@@ -292,8 +313,10 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         ).select("fp", "x.i", "x.m")
     pivots = scratch.save(keyed.groupBy("i", "m").agg(
         F.min("fp").alias("a"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"))
+    # each least n-gram of a class has one pivot; one in which most of them agree is tried
     stars = scratch.save(keyed.join(pivots, ["i", "m"]).filter("fp > a")
-                         .select("a", F.col("fp").alias("b")).distinct())
+                         .groupBy("a", F.col("fp").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+                         .filter(F.col("c") >= PIVOT_AGREE).select("a", "b"))
     links = _try_pairs(known, stars, classes, order, scratch)
     comp = connected_components(links, scratch)
 
@@ -312,11 +335,13 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     entries = scratch.save(entries.join(mixed, "h"))
     a, b = (entries.select("h", F.col("fp").alias(x), F.col("n").alias(f"n_{x}"),
                            F.col("c").alias(f"c_{x}")) for x in "ab")
-    # other components only, each pair once; sizes within the threshold
-    pairs = scratch.save(a.join(b, "h").filter(
-        (F.col("c_a") < F.col("c_b"))
-        & (DEN * F.least("n_a", "n_b") >= NUM * F.greatest("n_a", "n_b")))
-        .select("a", "b").distinct())
+    # other components only, each pair once; sizes and shared prefix n-grams within reach
+    sized = DEN * F.least("n_a", "n_b") >= NUM * F.greatest("n_a", "n_b")
+    pairs = scratch.save(a.join(b, "h").filter((F.col("c_a") < F.col("c_b")) & sized)
+                         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"),
+                                                F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+                         .filter(_reaches(F.col("shared"), F.col("n_a"), F.col("n_b")))
+                         .select("a", "b"))
     more = _try_pairs(known, pairs, classes, order, scratch)
     comp = connected_components(links.unionByName(more), scratch)
 
