@@ -3,7 +3,7 @@
 Nodes are token k-mers (GRAM words), an edge leads from one node of a document
 to the next.  Only the minimizer k-mers of the WIDTH-word windows are nodes: a
 window is repeated only if its minimizer is (see ``runs``), so the graph keeps
-about one word in a dozen.  K-mers that occur once drop out.
+about one word in ten.  K-mers that occur once drop out.
 
 A node is nonbranching when all its occurrences have the same context (all
 windows around it, and the same next node at the same distance).  Nonbranching
@@ -30,7 +30,7 @@ from farpoint.llm import words as W
 from farpoint.llm.scratch import Scratch
 
 WIDTH = 35
-GRAM = 10
+GRAM = 17
 
 U = W.U
 

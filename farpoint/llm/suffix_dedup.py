@@ -10,9 +10,12 @@ Round 1 (GRAM bytes).  Only the minimizers of the WIDTH-byte windows are
 ranked: a window is repeated only if its minimizer is (see ``runs``).  Spark
 groups the ranks; a position whose rank is unique retires with all its windows.
 Round 2 (the run of windows around the minimizer, up to 2 WIDTH - GRAM bytes).
-Runs with equal ranks are repeated as a whole.
-Round 3 (WIDTH bytes).  Where runs with one minimizer differ, each of their
-windows is ranked, one run for each distinct rank of round 2.
+Runs with equal ranks are repeated as a whole.  Where runs with one minimizer
+differ, one run for each distinct rank goes on.
+Round 3 (WIDTH - BLOCK + 1 bytes).  The windows are taken in blocks of BLOCK by
+their distance to the minimizer; the bytes common to a block are ranked.
+Unique ones retire, blocks equal as a whole are repeated.
+Round 4 (WIDTH bytes).  The windows of the blocks still open are ranked.
 
 Texts are read again in each round and hashed anew; only ranks are shuffled.
 
@@ -34,7 +37,8 @@ from farpoint.llm import words as W
 from farpoint.llm.scratch import Scratch
 
 WIDTH = 200
-GRAM = 32
+GRAM = 100
+BLOCK = 10
 
 U = W.U
 
@@ -100,30 +104,81 @@ def repeated_ranges(texts: DataFrame, scratch: Scratch) -> DataFrame:
                                    ).filter("k > 1 and n_least = 1").select("g")
     open_ = scratch.save(kinds.join(mixed, "g").select("place"))
     wanted = spark.sparkContext.broadcast(bloom.build(open_, "place", open_.count()))
+    # only documents with an open run are read on
+    owners = scratch.save(occ.join(open_, "place").select(
+        F.xxhash64("doc_id", "fp").alias("k")).distinct())
+    fewer, _ = bloom.split(texts, F.xxhash64(F.coalesce("doc_id", F.lit(0)), "fp"),
+                           bloom.build(owners, "k", owners.count()))
+
+    def open_runs(ids, fps, c, r):
+        place = _place(ids[r.doc], fps[r.doc], r.lo - c.off[r.doc])
+        return np.flatnonzero(bloom.hits(wanted.value, place)), place
+
+    def split_blocks(r, k, place):
+        """(index into k, block, least and largest distance of its windows to the minimizer)."""
+        near, far = r.at[k] - r.hi[k], r.at[k] - r.lo[k]
+        j0, j1 = near // BLOCK, far // BLOCK
+        n = j1 - j0 + 1
+        i = np.repeat(np.arange(len(k)), n)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + j0[i]
+        return i, j, np.maximum(j * BLOCK, near[i]), np.minimum(j * BLOCK + BLOCK - 1, far[i])
+
+    def block_place(place, j):
+        return W.mix(place + W.mix(j.astype(U)))
+
+    def blocks(ids, fps, c, seq, r):
+        k, place = open_runs(ids, fps, c, r)
+        if not len(k):
+            return None
+        i, j, a1, a2 = split_blocks(r, k, place)
+        at = r.at[k][i]
+        core = seq.ranges(at - j * BLOCK, at - j * BLOCK + (WIDTH - BLOCK + 1))
+        core = W.mix(core ^ W.mix(r.gram[k][i] + j.astype(U)))
+        span = W.mix(seq.ranges(at - a2, at - a1 + WIDTH) ^ W.mix((a1 * WIDTH + a2).astype(U)))
+        off = at - r.lo[k][i]
+        return pa.RecordBatch.from_arrays(
+            [_i64(core), _i64(span), _i64(place[k][i]), _i64(block_place(place[k][i], j)),
+             pa.array((off - a2).astype(np.int32)), pa.array((off - a1).astype(np.int32))],
+            names=["core", "span", "place", "bp", "d1", "d2"])
+
+    blk = scratch.save(_run_pass(fewer, blocks, "core bigint, span bigint, place bigint, "
+                                 "bp bigint, d1 int, d2 int"))
+    sorts = scratch.save(blk.groupBy("core", "span").agg(
+        F.count(F.lit(1)).alias("n"), F.min("bp").alias("bp")))
+    some = sorts.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")
+                                     ).filter("k > 1 and least = 1").select("core")
+    open_blocks = scratch.save(sorts.join(some, "core").select("bp"))
+    wanted_blocks = spark.sparkContext.broadcast(
+        bloom.build(open_blocks, "bp", open_blocks.count()))
 
     def single_windows(ids, fps, c, seq, r):
-        o = c.off[r.doc]
-        place = _place(ids[r.doc], fps[r.doc], r.lo - o)
-        k = np.flatnonzero(bloom.hits(maybe.value, r.gram) & bloom.hits(wanted.value, place))
+        k, place = open_runs(ids, fps, c, r)
         if not len(k):
             return None
-        n = r.hi[k] - r.lo[k] + 1
-        which = np.repeat(np.arange(len(k)), n)
-        d = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-        s = r.lo[k][which] + d
+        i, j, a1, a2 = split_blocks(r, k, place)
+        ok = bloom.hits(wanted_blocks.value, block_place(place[k][i], j))
+        i, a1, a2 = i[ok], a1[ok], a2[ok]
+        n = a2 - a1 + 1
+        which = np.repeat(np.arange(len(i)), n)
+        dist = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + a1[which]
+        k = k[i][which]
+        s = r.at[k] - dist
         return pa.RecordBatch.from_arrays(
-            [_i64(seq.ranges(s, s + WIDTH)), _i64(place[k][which]), pa.array(d.astype(np.int16))],
-            names=["w", "place", "d"])
+            [_i64(seq.ranges(s, s + WIDTH)), _i64(place[k]),
+             pa.array((s - r.lo[k]).astype(np.int32))], names=["w", "place", "d"])
 
-    wins = scratch.save(_run_pass(texts, single_windows, "w bigint, place bigint, d smallint"))
+    wins = scratch.save(_run_pass(fewer, single_windows, "w bigint, place bigint, d int"))
     again = scratch.save(wins.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
                          .select("w"))
-    hit = wins.join(again, "w").groupBy("place").agg(F.collect_set("d").alias("ds"))
-    # windows of one run: at most WIDTH - GRAM + 1 of them
-    single = (occ.join(hit, "place").select("doc_id", "fp", "lo", F.explode("ds").alias("d"))
-              .select("doc_id", "fp", (F.col("lo") + F.col("d")).alias("start"),
-                      (F.col("lo") + F.col("d") + WIDTH).alias("end")))
-    return whole.unionByName(single)
+    # windows d1 .. d2 of a run, counted from its first; at most WIDTH - GRAM + 1 of them
+    equal = sorts.filter("n > 1").select("core", "span")
+    hit = (blk.join(equal, ["core", "span"]).select("place", "d1", "d2").unionByName(
+        wins.join(again, "w").select("place", F.col("d").alias("d1"), F.col("d").alias("d2")))
+        .groupBy("place").agg(F.collect_set(F.struct("d1", "d2")).alias("ds")))
+    parts = (occ.join(hit, "place").select("doc_id", "fp", "lo", F.explode("ds").alias("x"))
+             .select("doc_id", "fp", (F.col("lo") + F.col("x.d1")).alias("start"),
+                     (F.col("lo") + F.col("x.d2") + WIDTH).alias("end")))
+    return whole.unionByName(parts)
 
 
 def cut(raw: bytes, ranges) -> tuple[bytes, int, int]:
