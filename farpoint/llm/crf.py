@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farpoint.llm import words as W
+from farpoint.llm.scratch import Scratch
 
 TRAIN_DOCS = 400          # per language
 SEGMENTS, SEGMENT = 4, 24
@@ -254,6 +255,7 @@ def train(docs: DataFrame) -> Model | None:
 
 def _labelled(docs: DataFrame, model: Model, fn, schema: str) -> DataFrame:
     """``fn(doc_id column, per-document (words, probabilities))`` over (doc_id, text)."""
+    Scratch(docs.sparkSession, "crf")            # small batches of texts
     b = docs.sparkSession.sparkContext.broadcast((model.weights, model.trans))
 
     def run(batches):

@@ -46,7 +46,7 @@ NUM, DEN = 3, 4           # similarity threshold 3/4
 PIVOT_SEEDS = (11, 12, 13, 14, 15, 16)
 PIVOT_AGREE = 4           # least n-grams in which a class must agree with its pivot
 ORDER_SEEDS = (21, 22, 23)
-FLUSH = 1 << 22           # n-grams counted together inside a task
+FLUSH = 1 << 21           # n-grams counted together inside a task
 MIN_HOT = 32              # an n-gram counted this often is frequent
 MAX_HOT = 1 << 20         # frequent n-grams that are broadcast (8 MB); the most frequent ones
 

@@ -13,10 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from farpoint.session import ensure_checkpoint_dir
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000         # texts per Arrow batch; Spark's default of 10,000 long texts is too much
+
+
 class Scratch:
-    """The intermediate tables of one operator run."""
+    """The intermediate tables of one operator run; lowers the session's Arrow batch size."""
 
     def __init__(self, spark: SparkSession, name: str):
+        if not 0 < int(spark.conf.get(BATCH)) <= BATCH_ROWS:
+            spark.conf.set(BATCH, str(BATCH_ROWS))
         self.spark = spark
         self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.count = 0

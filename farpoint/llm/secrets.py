@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farpoint.llm.scratch import Scratch
+
 # The base patterns and their least lengths.
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -132,6 +134,7 @@ def identifier_dictionary(docs: DataFrame) -> bytes:
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one more column ``_spans``: all spans of the text."""
+    Scratch(docs.sparkSession, "secrets")        # small batches of texts
     dictionary = identifier_dictionary(docs)
     schema = T.StructType([*docs.schema.fields,
                            T.StructField("_spans", T._parse_datatype_string(SPANS_TYPE))])
