@@ -22,16 +22,15 @@ def java_space_split(col: Column | str) -> Column:
 
 
 def document_lines_expr(col: Column | str) -> Column:
-    """Lines of a text value: split on ``\\n`` after dropping one final newline.
+    """Lines of a text value: they end at ``\\n``, ``\\r\\n`` or ``\\r``, like a text file's.
 
     A document of the reference is one line of a text file; a text value
     with embedded newlines is therefore a small file of lines.  A final
-    newline ends the last line instead of opening an empty one.
+    line end ends the last line instead of opening an empty one.
     """
     c = F.col(col) if isinstance(col, str) else col
-    body = F.when(c.endswith(F.lit("\n")),
-                  c.substr(F.lit(1), F.length(c) - F.lit(1))).otherwise(c)
-    return F.split(body, "\n", -1)
+    body = F.regexp_replace(c, r"(\r\n|\n|\r)\z", "")
+    return F.split(body, r"\r\n|\n|\r", -1)
 
 
 def utf16_length(col: Column | str) -> Column:

@@ -27,9 +27,12 @@ def _c(col: Column | str) -> Column:
 
 
 def sqdist(a: Column | str, b: Column | str) -> Column:
-    """Squared Euclidean distance of two equal-length double arrays."""
-    diffs = F.zip_with(_c(a), _c(b), lambda x, y: (x - y) * (x - y))
-    return F.aggregate(diffs, F.lit(0.0).cast("double"), lambda s, z: s + z)
+    """Squared Euclidean distance of two double arrays; unequal lengths raise."""
+    a, b = _c(a), _c(b)
+    diffs = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
+    total = F.aggregate(diffs, F.lit(0.0).cast("double"), lambda s, z: s + z)
+    return F.when(F.size(a) != F.size(b), F.raise_error(F.lit(
+        "points of different dimension")).cast("double")).otherwise(total)
 
 
 def euclidean(a: Column | str, b: Column | str) -> Column:

@@ -6,11 +6,12 @@ D3 is a loop of k-1 small jobs over the whole point set.  The state
 step is one scan that updates ``dist = least(dist, d(v, new))`` with the new
 center as a literal (an array literal reused by one compiled plan, or, for a
 large state, unrolled into generated code) and finds the farthest point,
-ties to the smallest id: a single-stage top-1 when the input has few
-partitions, else a ``max_by`` aggregate (partial per task, merged on an
-executor, one row to the driver).  The state is cached per step and written with
-``checkpoint()`` to the session's checkpoint directory every few steps, so a
-lost executor recomputes at most a few steps.
+ties to the smallest id, by a ``max_by`` aggregate (partial per task, merged on
+an executor, one row to the driver).  The state is cached per step, so a
+lost executor recomputes at most a few steps.  What is cut every few steps is
+only the lineage: while the centers fit a broadcast, the state is computed
+anew from the points and all centers so far (a map-only scan), so no vector is
+ever written; beyond that it is checkpointed.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from pyspark.sql import functions as F
 from farpoint.functions.vectors import dist_to_const
 from farpoint.operators import kernels as K
 from farpoint.operators.bounded import (
-    MAX_BROADCAST_BYTES,
-    MAX_BROADCAST_ROWS,
     collect_bounded,
+    fits_broadcast,
     nearest_in_set,
+    semi_by_ids,
 )
 from farpoint.operators.pairwise import max_pairwise_distance, n_blocks, size_and_dim
 from farpoint.session import conf_int, ensure_checkpoint_dir
@@ -34,8 +35,6 @@ CHECKPOINT_EVERY = 8
 # above this many coordinates in the state, unroll the distance into
 # generated code (one compile per step, faster per row)
 UNROLL_MIN_VALUES = 50_000_000
-# driver-side merge budget of the single-stage top-1 (one row per partition)
-TOP1_MERGE_BYTES = 8 << 20
 
 
 def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = None,
@@ -69,28 +68,22 @@ def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = Non
         if first is None:
             raise ValueError(f"start id {start_id} not in the point set")
     picks = [(0, int(start_id))]
+    vectors = [first["v"]]
     dim = len(first["v"] or [])
-    # farthest point per step: with few input partitions a single-stage top-1
-    # (the driver merges one row per partition) beats a two-stage aggregate;
-    # with many, the aggregate merges on an executor instead of the driver
-    top1 = pts.rdd.getNumPartitions() * 8 * max(1, dim) <= TOP1_MERGE_BYTES
     state = pts.select("id", "v", dist_to_const("v", first["v"]).alias("dist")).persist()
     cached = [state]
     unroll = False
     for step in range(1, k):
         live = state.filter(~F.isnan("dist"))
-        if top1:
-            r = live.orderBy(F.desc("dist"), F.asc("id")).limit(1).first()
-            best = None if r is None else (r["id"], r["v"], r["dist"])
-        else:
-            r = (live.agg(F.max_by(F.struct("id", "v", "dist"),
-                                   F.struct(F.col("dist"), -F.col("id"))).alias("b")).first())["b"]
-            best = None if r is None else (r["id"], r["v"], r["dist"])
+        r = (live.agg(F.max_by(F.struct("id", "v", "dist"),
+                               F.struct(F.col("dist"), -F.col("id"))).alias("b")).first())["b"]
+        best = None if r is None else (r["id"], r["v"], r["dist"])
         while len(cached) > 1:          # the new state is materialised now
             cached.pop(0).unpersist()
         if best is None or not best[2] > 0:
             break
         picks.append((step, int(best[0])))
+        vectors.append(best[1])
         if step == k - 1:
             break
         if step == 1:
@@ -99,8 +92,13 @@ def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = Non
         new_d = dist_to_const("v", best[1], unroll=unroll)
         nxt = state.select("id", "v", F.least(F.col("dist"), new_d).alias("dist"))
         if checkpoint_every and step % checkpoint_every == 0:
-            ensure_checkpoint_dir(spark)
-            nxt = nxt.checkpoint(eager=True)
+            if fits_broadcast(len(vectors), dim):
+                nxt = nearest_in_set(pts, np.array([i for _, i in picks], np.int64),
+                                     np.array(vectors, np.float64), np.arange(len(picks)),
+                                     with_vector=True).persist()
+            else:
+                ensure_checkpoint_dir(spark)
+                nxt = nxt.checkpoint(eager=True)
         else:
             nxt = nxt.persist()
         cached.append(nxt)
@@ -112,13 +110,20 @@ def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = Non
 
 def center_points(points: DataFrame, centers: DataFrame) -> DataFrame:
     """The center rows ``(id, v, step)``; centers hold at most k ids."""
-    return points.select("id", "v").join(F.broadcast(centers.select("id", "step")), "id")
+    return semi_by_ids(points.select("id", "v"), centers, extra="step")
+
 
+def kcenter_max_distance(points: DataFrame, k: int, start_id: int | None = None,
+                         seed: int | None = None) -> DataFrame:
+    """``(max_dist)`` exact maximum distance among the k farthest-first centers.
 
-def kcenter_max_distance(points: DataFrame, k: int) -> DataFrame:
-    """``(max_dist)`` exact maximum distance among the k farthest-first centers."""
-    centers = farthest_first_centers(points, k)
-    return max_pairwise_distance(center_points(points, centers), n_blocks_hint=1)
+    Requires ``1 <= k < n``; the start is as in ``farthest_first_centers``.
+    """
+    n = points.count()
+    if not 1 <= k < n:
+        raise ValueError(f"k must satisfy 1 <= k < n (k={k}, n={n})")
+    centers = farthest_first_centers(points, k, start_id=start_id, seed=seed)
+    return max_pairwise_distance(center_points(points, centers))
 
 
 def nearest_center(points: DataFrame, centers: DataFrame) -> DataFrame:
@@ -129,7 +134,7 @@ def nearest_center(points: DataFrame, centers: DataFrame) -> DataFrame:
     n_cen = centers.count()                     # k rows
     head = points.select(F.size("v").alias("d")).first()    # one row, not a scan
     dim = max(0, head["d"] or 0) if head else 0
-    if n_cen <= MAX_BROADCAST_ROWS and n_cen * max(1, dim) * 8 <= MAX_BROADCAST_BYTES:
+    if fits_broadcast(n_cen, dim):
         cid, cx, crank = collect_bounded(cen, extra="step")
         return nearest_in_set(points, cid, cx, crank)
     return _nearest_tiled(points.select("id", "v"), cen, dim)

@@ -46,7 +46,7 @@ def max_partition_size_deterministic(records: DataFrame, k: int) -> DataFrame:
 
 
 def max_partition_size_spark(records: DataFrame, k: int) -> DataFrame:
-    """A10: ``(max_partition_size)`` largest Spark partition after ``repartition(k)``.
+    """A10: ``(max_partition_size, n)`` largest Spark partition after ``repartition(k)``, and rows.
 
     Depends on the physical layout (round-robin from the input splits), so
     only bounds are stable: it lies in [ceil(n/k), n].
@@ -54,7 +54,8 @@ def max_partition_size_spark(records: DataFrame, k: int) -> DataFrame:
     _check_k(k)
     parts = records.repartition(int(k)).select(F.spark_partition_id().alias("pid"))
     sizes = parts.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.coalesce(F.max("n"), F.lit(0)).cast("bigint").alias("max_partition_size"))
+    return sizes.agg(F.coalesce(F.max("n"), F.lit(0)).cast("bigint").alias("max_partition_size"),
+                     F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"))
 
 
 def most_frequent_class(records: DataFrame) -> DataFrame:

@@ -24,8 +24,8 @@ D6 has three exact plans with the same picks:
 * rounds plan -- all mutual-best pairs per round, stopping once the k/2
   best kept pairs cannot be beaten.
 
-Ties everywhere go to the smallest ids, so the picks equal the sequential
-greedy's.
+Ties everywhere go to the smallest ids, and all plans sum a distance's
+coordinates in the same order, so the picks equal the sequential greedy's.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from farpoint.functions.keys import hash_part, id_part
 from farpoint.functions.vectors import euclidean
 from farpoint.operators import kernels as K
-from farpoint.operators.bounded import MAX_BROADCAST_IDS
+from farpoint.operators.bounded import semi_by_ids
 from farpoint.operators.pairwise import (
     MAX_BLOCK_ROWS,
     avg_pairwise_distance,
@@ -52,7 +52,9 @@ MAX_GROUP_BYTES = 512 << 20
 # the greedy round holds its whole (parameter-bounded) input in one group
 # only below this size; above it the distributed step plan runs
 MAX_GREEDY_GROUP_BYTES = 64 << 20
-MAX_BROADCAST_PARTS = 1_000_000
+MAX_BROADCAST_PARTS = 100_000
+# centers of one lockstep step that may pass through the driver
+MAX_LOCKSTEP_BYTES = 64 << 20
 CHECKPOINT_EVERY = 8
 # a greedy step refers to the previous state three times (kept rows, stale
 # rows, live set), so its plan would double per step: cut it every step
@@ -109,21 +111,19 @@ def _coreset_lockstep_plan(parted: DataFrame, k: int, checkpoint_every: int) ->
     spark = parted.sparkSession
     schema = "part int, id long, cv array<double>"
 
-    def bounded(rows):
-        # L rows per step (one new center per part): a parameter bound, checked
-        if len(rows) > MAX_BROADCAST_PARTS or \
-                sum(len(r["cv"] or []) for r in rows) * 8 > MAX_GROUP_BYTES:
-            raise ValueError("too many parts for the lockstep plan")
-        return spark.createDataFrame([(r["part"], r["id"], r["cv"]) for r in rows], schema)
-
     first_df = (parted.groupBy("part")
                 .agg(F.min_by(F.struct("id", "v"), F.col("id")).alias("b"))
                 .select("part", F.col("b.id").alias("id"), F.col("b.v").alias("cv")))
-    first = first_df.limit(MAX_BROADCAST_PARTS + 1).collect()
-    if len(first) > MAX_BROADCAST_PARTS:
+    size = first_df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("cv")).alias("d")).first()
+    if size["n"] > MAX_BROADCAST_PARTS or size["n"] * 8 * max(1, size["d"] or 0) > MAX_LOCKSTEP_BYTES:
         return _coreset_lockstep_shuffled(parted, first_df, k)
+
+    def local(rows):            # L rows per step (one new center per part), checked above
+        return spark.createDataFrame([(r["part"], r["id"], r["cv"]) for r in rows], schema)
+
+    first = first_df.collect()
     picks = [(r["part"], 0, r["id"]) for r in first]
-    centers = bounded(first)
+    centers = local(first)
     state = (parted.join(F.broadcast(centers.select("part", "cv")), "part")
              .select("part", "id", "v", euclidean("v", "cv").alias("dist")).persist())
     cached = [state]
@@ -134,7 +134,7 @@ def _coreset_lockstep_plan(parted: DataFrame, k: int, checkpoint_every: int) ->
                      F.max("dist").alias("m"))
                 .filter(F.col("m") > 0)
                 .select("part", F.col("b.id").alias("id"), F.col("b.v").alias("cv"))
-                .limit(MAX_BROADCAST_PARTS + 1).collect())
+                .collect())
         while len(cached) > 1:          # the current state is materialised now
             cached.pop(0).unpersist()
         if not best:
@@ -143,7 +143,7 @@ def _coreset_lockstep_plan(parted: DataFrame, k: int, checkpoint_every: int) ->
         if step == k - 1:
             break
         # the new centers are a leaf: each step's plan refers to the state once
-        nxt = (state.join(F.broadcast(bounded(best).select("part", "cv")), "part", "left")
+        nxt = (state.join(F.broadcast(local(best).select("part", "cv")), "part", "left")
                .select("part", "id", "v",
                        F.when(F.col("cv").isNull(), F.col("dist"))
                         .otherwise(F.least(F.col("dist"), euclidean("v", "cv"))).alias("dist")))
@@ -224,16 +224,14 @@ def partition_coreset(points: DataFrame, k: int, l_parts: int, part_col: str | N
 def coreset_points(points: DataFrame, coreset: DataFrame) -> DataFrame:
     """Coreset rows with their vectors ``(id, v)``.
 
-    The coreset has at most k ids per part.  It is persisted and counted;
+    The coreset has at most k ids per part.  It is checkpointed and counted;
     within the broadcast limit (always, for ``id mod L`` parts) its ids are
     broadcast, so the semi join is map-only and the points are not shuffled.
     A coreset over a user part column with very many parts falls back to a
     shuffled semi join.
     """
-    ids = coreset.select("id").persist()
-    n = ids.count()
-    side = F.broadcast(ids) if n <= MAX_BROADCAST_IDS else ids
-    return points.select("id", "v").join(side, "id", "left_semi")
+    ensure_checkpoint_dir(points.sparkSession)
+    return semi_by_ids(points.select("id", "v"), coreset.select("id").checkpoint(eager=True))
 
 
 def _greedy_group_plan(pts: DataFrame, k: int) -> DataFrame:
@@ -276,6 +274,9 @@ def _greedy_rounds_plan(pts: DataFrame, n: int, dim: int, k: int) -> list[int]:
                .select("d2", "id", "partner").collect())
         found = sorted(found + [(r["d2"], r["id"], r["partner"]) for r in new],
                        key=lambda x: (-x[0], x[1], x[2]))[:half]
+        if not new:             # only points without any partner are left (NaN)
+            marked.unpersist()
+            break
         rest = marked.filter(~F.col("mutual")).drop("mutual")
         st = rest.agg(F.max("d2").alias("w"), F.count(F.lit(1)).alias("n")).first()
         n_alive = st["n"]
@@ -310,14 +311,15 @@ def choose_greedy_plan(n: int, dim: int, max_group_bytes: int = MAX_GREEDY_GROUP
 def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPOINT_EVERY,
                  plan: str = "auto", max_group_bytes: int | None = None) -> DataFrame:
     """``(pick, id)`` -- k/2 times the farthest pair of unused points
-    (ties: smallest i, then j, i < j), then for odd k the smallest unused id.
+    (ties: smallest i, then j, i < j), then the smallest unused ids up to
+    min(k, n) (one for odd k, more where NaN points leave no pair).
     When k >= n all points are returned in id order.
 
-    ``plan="auto"`` runs the whole set in one numpy group when it has at
-    most one tile's rows and ``max_group_bytes`` (a coreset is bounded by
-    k * L points); larger sets use rounds of locally dominant pairs in high
-    dimension and the step plan (k/2 steps) in low dimension
-    (``choose_greedy_plan``).  All plans give the same picks.
+    ``plan="auto"`` uses rounds of locally dominant pairs in high dimension
+    and the step plan (k/2 steps) in low dimension.  ``plan="coreset"`` is for
+    a set whose size parameters bound (k * L points): it takes one numpy group
+    while that fits one tile's rows and ``max_group_bytes``, and else the
+    plans of ``auto`` (``choose_greedy_plan``).  All plans give the same picks.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -327,23 +329,18 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPO
     pts = core.select("id", "v").persist()
     n, dim = size_and_dim(pts)
     schema = "pick int, id long"
-    if plan == "auto":
-        plan = choose_greedy_plan(n, dim, max_group_bytes)
+    if plan in ("auto", "coreset"):
+        plan = choose_greedy_plan(n, dim, max_group_bytes if plan == "coreset" else 0)
     if plan == "group":
-        out = _greedy_group_plan(pts, k).persist()
-        out.count()
+        rows = _greedy_group_plan(pts, k).collect()         # k rows
         pts.unpersist()
-        return out
+        return spark.createDataFrame([(r["pick"], r["id"]) for r in rows], schema)
     if k >= n:
         ids = [r["id"] for r in pts.select("id").orderBy("id").collect()]  # n <= k rows
         pts.unpersist()
         return spark.createDataFrame([(i + 1, int(x)) for i, x in enumerate(ids)], schema)
     if plan == "rounds":
-        picks = _greedy_rounds_plan(pts, n, dim, k)
-        if k % 2 == 1:
-            m = pts.filter(~F.col("id").isin(picks)).agg(F.min("id")).first()[0]
-            if m is not None:
-                picks.append(int(m))
+        picks = _fill(pts, _greedy_rounds_plan(pts, n, dim, k), k)
         pts.unpersist()
         return spark.createDataFrame([(i + 1, x) for i, x in enumerate(picks)], schema)
     state = pts.join(farthest_partner(pts), "id", "left") \
@@ -379,23 +376,27 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPO
         state = nxt
         while len(cached) > 4:          # keep pts, the partner table and the last two states
             cached.pop(2).unpersist()
-    if k % 2 == 1:
-        m = state.agg(F.min("id")).first()[0]
-        if m is not None:
-            picks.append(int(m))
+    picks = _fill(pts, picks, k)
     for c in cached:
         c.unpersist()
     return spark.createDataFrame([(i + 1, x) for i, x in enumerate(picks)], schema)
 
 
+def _fill(pts: DataFrame, picks: list[int], k: int) -> list[int]:
+    """The picks and the smallest unused ids, k in all (or every id there is)."""
+    if len(picks) == k:
+        return picks
+    rest = (pts.filter(~F.col("id").isin(picks)) if picks else pts).select("id")
+    return picks + [int(r["id"]) for r in rest.orderBy("id").limit(k - len(picks)).collect()]
+
+
 def diversity_two_round(points: DataFrame, k: int, l_parts: int, part_col: str | None = None,
                         **kw) -> DataFrame:
     """``(pick, id)`` the k points chosen by coreset round + greedy round."""
     coreset = partition_coreset(points, k, l_parts, part_col, **kw)
-    return greedy_pairs(coreset_points(points, coreset), k)
+    return greedy_pairs(coreset_points(points, coreset), k, plan="coreset")
 
 
 def diversity_score(points: DataFrame, solution: DataFrame) -> DataFrame:
     """``(avg_dist)`` mean pairwise distance of the solution points."""
-    sol = points.select("id", "v").join(F.broadcast(solution.select("id")), "id", "left_semi")
-    return avg_pairwise_distance(sol, n_blocks_hint=1)
+    return avg_pairwise_distance(semi_by_ids(points.select("id", "v"), solution))

@@ -5,6 +5,9 @@ nothing here reads or writes data on its own.  Squared distances come from
 the Gram identity (BLAS) and every value that decides a result is
 recomputed exactly from coordinate differences, so answers match a plain
 ``sum((a - b)^2)``.
+
+One rule for odd values: a NaN distance never wins and is never chosen, an
+infinite distance counts like any other; a mean with a NaN distance is NaN.
 """
 
 from __future__ import annotations
@@ -24,9 +27,17 @@ def stack(col: pd.Series) -> np.ndarray:
 
 
 def exact_sq(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row-wise squared distance of two equal-shape matrices."""
-    d = a - b
-    return np.einsum("ij,ij->i", d, d)
+    """Row-wise squared distance of two equal-shape matrices.
+
+    Summed coordinate by coordinate, as ``functions.vectors.sqdist`` does, so
+    all plans give the same double to the last bit.
+    """
+    out = np.zeros(len(a))
+    with np.errstate(invalid="ignore", over="ignore"):
+        for j in range(a.shape[1] if a.ndim == 2 else 0):
+            d = a[:, j] - b[:, j]
+            out += d * d
+    return out
 
 
 def exact_pairs(xa, xb, r, c) -> np.ndarray:
@@ -44,8 +55,14 @@ def exact_pairs(xa, xb, r, c) -> np.ndarray:
 
 
 def _gram_sq(xa, na, xb, nb):
-    g = na[:, None] + nb[None, :] - 2.0 * (xa @ xb.T)
+    """Squared distances by the Gram identity; rows whose norm is not finite by differences."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        g = na[:, None] + nb[None, :] - 2.0 * (xa @ xb.T)
     np.maximum(g, 0.0, out=g)
+    for i in np.flatnonzero(~np.isfinite(na)):
+        g[i] = exact_sq(np.broadcast_to(xa[i], xb.shape), xb)
+    for j in np.flatnonzero(~np.isfinite(nb)):
+        g[:, j] = exact_sq(xa, np.broadcast_to(xb[j], xa.shape))
     return g
 
 
@@ -128,8 +145,7 @@ def best_partner(xa, ida, xb, idb):
         bad = np.isnan(g) | (ida[s:e, None] == idb[None, :])
         g = np.where(bad, -np.inf, g)
         m = g.max(axis=1)
-        has = np.isfinite(m)
-        cand = (g >= (m - tol)[:, None]) & has[:, None] & ~bad
+        cand = (g >= (m - tol)[:, None]) & ~bad
         r, c = np.nonzero(cand)
         if len(r) == 0:
             continue
@@ -166,10 +182,10 @@ def nearest(x, cx, cid, crank):
     tol = _tol(nx, nc)
     for s, e in _row_chunks(n, len(cid)):
         g = _gram_sq(x[s:e], nx[s:e], cx, nc)
-        g = np.where(np.isnan(g), np.inf, g)
+        bad = np.isnan(g)
+        g = np.where(bad, np.inf, g)
         m = g.min(axis=1)
-        has = np.isfinite(m)
-        r, c = np.nonzero((g <= (m + tol)[:, None]) & has[:, None])
+        r, c = np.nonzero((g <= (m + tol)[:, None]) & ~bad)
         if len(r) == 0:
             continue
         ex = exact_pairs(x, cx, s + r, c)
@@ -209,8 +225,8 @@ def greedy_pairs(ids, x, k):
     """Greedy farthest pairs of one bounded set: list of picked ids in order.
 
     k // 2 times the farthest pair of unused points (ties: smallest i, then
-    j, with i < j), then for odd k the smallest unused id; all ids in order
-    when k >= n.  Partners are kept per point and recomputed only for points
+    j, with i < j), then the smallest unused ids up to k (one for odd k, more
+    when NaN points leave pairs out); all ids in order when k >= n.  Partners are kept per point and recomputed only for points
     whose partner was used, so memory stays at one chunk.
     """
     order = np.argsort(ids, kind="stable")
@@ -243,8 +259,5 @@ def greedy_pairs(ids, x, k):
             partner[stale], pd2[stale] = -1, -np.inf
             for ai, bi, d in zip(i_, p_, d_):
                 partner[pos[int(ai)]], pd2[pos[int(ai)]] = pos[int(bi)], d
-    if k % 2 == 1:
-        rest = np.nonzero(alive)[0]
-        if len(rest):
-            picks.append(int(ids[rest[0]]))
-    return picks
+    rest = ids[np.nonzero(alive)[0]][:k - len(picks)]
+    return picks + [int(i) for i in rest]

@@ -29,12 +29,14 @@ DEFAULT_BLOCK_BYTES = 16 << 20
 # a tile costs rows^2 distance evaluations: cap rows per block so one task
 # stays around a second of numpy work whatever the dimension
 MAX_BLOCK_ROWS = 8192
-# all-pairs jobs beyond this many pairs are refused (see check_pairs)
-MAX_PAIRS = 10 ** 13
 
 
 def size_and_dim(points: DataFrame) -> tuple[int, int]:
-    r = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
+    """Rows and dimension; vectors of different lengths are an error."""
+    r = points.agg(F.count(F.lit(1)).alias("n"), F.min(F.size("v")).alias("least"),
+                   F.max(F.size("v")).alias("d")).first()
+    if r["least"] != r["d"]:
+        raise ValueError(f"points of different dimension: {r['least']} and {r['d']}")
     return int(r["n"]), int(r["d"] or 0)
 
 
@@ -83,7 +85,10 @@ def _tile_max(pdf: pd.DataFrame) -> pd.DataFrame:
 def _tile_sum(pdf: pd.DataFrame) -> pd.DataFrame:
     diag, ia, xa, ib, xb = _split_tile(pdf)
     s, c = K.sum_dist(xa, ia, xb, ib, triangle=diag)
-    return pd.DataFrame({"s": [s], "c": [c]}).astype({"s": "float64", "c": "int64"})
+    # pandas hands NaN over as NULL, which a sum would skip: flag it instead
+    nan = bool(np.isnan(s))
+    return pd.DataFrame({"s": [0.0 if nan else s], "c": [c], "nan": [nan]}).astype(
+        {"s": "float64", "c": "int64"})
 
 
 def _tile_partner(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -99,14 +104,15 @@ def _tile_partner(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def check_pairs(points: DataFrame, n: int) -> None:
-    """Refuse an all-pairs job beyond ``spark.farpoint.maxPairs`` (1e13) pairs.
+    """Refuse more pairs than ``spark.farpoint.maxPairs``, where the session sets it.
 
-    The exact answers are quadratic; past this size the sample-based (D2),
-    k-center (D4) or two-round (D7) operators are the ones to run.
+    Unset (the default), no size is refused: the exact answers are quadratic,
+    and the sample-based (D2), k-center (D4) and two-round (D7) operators are
+    the cheap ones.
     """
-    limit = conf_int(points.sparkSession, "maxPairs", MAX_PAIRS)
+    limit = conf_int(points.sparkSession, "maxPairs", 0)
     pairs = n * (n - 1) // 2
-    if pairs > limit:
+    if limit and pairs > limit:
         raise ValueError(
             f"{pairs:.3g} pairs exceed spark.farpoint.maxPairs={limit:.3g}; use "
             "sample_max_distance / kcenter_max_distance / diversity_two_round, or raise the limit")
@@ -135,12 +141,19 @@ def _tiled_max(points: DataFrame, n_blocks_hint: int | None, block_bytes: int) -
 
 
 def centroid(points: DataFrame) -> list[float] | None:
-    """Coordinate-wise mean; one row per dimension reaches the driver."""
-    rows = (points.select(F.posexplode("v").alias("pos", "x"))
-            .groupBy("pos").agg(F.avg("x").alias("m")).collect())
-    if not rows:
+    """Coordinate-wise mean, by one sum per batch of points; None without points."""
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                x = K.stack(pdf["v"])
+                yield pd.DataFrame({"s": [x.sum(axis=0)], "n": [len(x)]})
+
+    sums = points.select("v").mapInPandas(run, "s array<double>, n long")
+    total = sums.select("n", F.posexplode("s").alias("pos", "x")).groupBy("pos").agg(
+        F.sum("x").alias("x"), F.sum("n").alias("n")).collect()       # one row per dimension
+    if not total:
         return None
-    return [r["m"] for r in sorted(rows, key=lambda r: r["pos"])]
+    return [r["x"] / r["n"] for r in sorted(total, key=lambda r: r["pos"])]
 
 
 def prune_for_diameter(points: DataFrame):
@@ -149,20 +162,23 @@ def prune_for_diameter(points: DataFrame):
     With ``r(p)`` the distance to the centroid, ``R = max r`` and ``LB`` the
     farthest distance from the point of largest ``r`` (a real pair distance),
     any pair farther apart than LB has both ends with ``r >= LB - R``.
+    Points with an infinite coordinate always stay.
     Returns ``(LB, candidates)``; three linear scans, no pairs.
     """
-    c = centroid(points)
+    odd = F.exists("v", lambda x: F.abs(x) == F.lit(float("inf")))
+    finite, infinite = points.filter(~odd), points.filter(odd).select("id", "v")
+    c = centroid(finite)
     if c is None:
         return 0.0, points
-    scored = points.select("id", "v", dist_to_const("v", c).alias("r"))
+    scored = finite.select("id", "v", dist_to_const("v", c).alias("r"))
     st = scored.agg(F.max_by(F.col("v"), F.struct(F.col("r"), -F.col("id"))).alias("far"),
                     F.max("r").alias("rmax")).first()
-    if st["far"] is None:
+    if st["far"] is None or not np.isfinite(st["rmax"]):
         return 0.0, points
     lb = scored.agg(F.max(dist_to_const("v", st["far"])).alias("lb")).first()["lb"] or 0.0
     cut = lb - st["rmax"]
     cut -= 1e-9 * (abs(lb) + abs(st["rmax"]) + 1.0)     # rounding margin: keep, never drop
-    return float(lb), scored.filter(F.col("r") >= F.lit(cut)).select("id", "v")
+    return float(lb), scored.filter(F.col("r") >= F.lit(cut)).select("id", "v").unionByName(infinite)
 
 
 def max_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
@@ -179,8 +195,8 @@ def max_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
     """
     clean = points.select("id", "v").filter(~F.exists("v", lambda x: F.isnan(x)))
     block_bytes = _block_bytes(points, block_bytes)
+    n, d = size_and_dim(clean)
     if n_blocks_hint is None:
-        n, d = size_and_dim(clean)
         if prune is False:
             check_pairs(points, n)
         n_blocks_hint = n_blocks(n, d, block_bytes)
@@ -200,13 +216,15 @@ def avg_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
                           block_bytes: int | None = None) -> DataFrame:
     """``(avg_dist)`` mean Euclidean distance over unordered pairs.
 
-    Equal to the reference's mean over ordered pairs; NULL for < 2 points.
+    Equal to the reference's mean over ordered pairs; NULL for < 2 points,
+    NaN when a distance is NaN, in any number of blocks.
     """
     b = _blocks_for(points, n_blocks_hint, block_bytes)
     per_tile = _by_tile(_self_tiles(points.select("id", "v"), b), b).groupBy("lo", "hi") \
-        .applyInPandas(_tile_sum, "s double, c long")
-    agg = per_tile.agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
-    return agg.select(F.when(F.col("c") > 0, F.col("s") / F.col("c")).alias("avg_dist"))
+        .applyInPandas(_tile_sum, "s double, c long, nan boolean")
+    agg = per_tile.agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.max("nan").alias("nan"))
+    return agg.select(F.when(F.col("nan"), F.lit(float("nan"))).when(
+        F.col("c") > 0, F.col("s") / F.col("c")).alias("avg_dist"))
 
 
 def farthest_partner(points: DataFrame, n_blocks_hint: int | None = None,

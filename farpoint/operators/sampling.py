@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farpoint.operators.bounded import (
-    MAX_BROADCAST_BYTES,
     MAX_BROADCAST_IDS,
-    MAX_BROADCAST_ROWS,
     collect_bounded,
+    fits_broadcast,
     max_sq_to_set,
 )
 from farpoint.operators.pairwise import farthest_partner_in
+from farpoint.session import ensure_checkpoint_dir
 
 
 def sample_key(seed: int) -> F.Column:
@@ -57,15 +57,18 @@ def sample_max_distance(points: DataFrame, k: int, seed: int) -> DataFrame:
     n = pts.count()
     if not 1 <= k < n:
         raise ValueError(f"k must satisfy 1 <= k < n (k={k}, n={n})")
-    sample = random_sample(pts, k, seed).persist()
+    sample = random_sample(pts, k, seed)
     head = pts.select(F.size("v").alias("d")).first()     # one row, not a scan
     dim = max(0, head["d"] or 0) if head else 0
-    if k <= MAX_BROADCAST_ROWS and k * max(1, dim) * 8 <= MAX_BROADCAST_BYTES:
+    if fits_broadcast(k, dim):
         sid, sx, _ = collect_bounded(sample)
-        rest = sample_complement(pts, sample)                      # broadcast anti join
+        ids = pts.sparkSession.createDataFrame([(int(i),) for i in sid], "id long")
+        rest = pts.join(F.broadcast(ids), "id", "left_anti")       # k ids, checked above
         per_batch = max_sq_to_set(rest, sid, sx)
         return per_batch.agg(F.sqrt(F.coalesce(F.max("m2"), F.lit(0.0))).alias("max_dist"))
     # too large to broadcast: shuffled anti join and bipartite tiles, no collect
+    ensure_checkpoint_dir(pts.sparkSession)
+    sample = sample.checkpoint(eager=True)
     rest = pts.join(sample.select("id"), "id", "left_anti")
     best = farthest_partner_in(rest, sample, sizes=(n - k, k, dim))
     return best.agg(F.sqrt(F.coalesce(F.max("d2"), F.lit(0.0))).alias("max_dist"))

@@ -16,14 +16,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farpoint.functions.keys import salt_key
 from farpoint.functions.text import document_lines_expr, java_space_split, utf16_length  # noqa: F401
-from farpoint.operators.layout import spread
 
 
 def document_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(doc_id, line_no, line): one row per line of each text value."""
-    return spread(docs, "doc_id").select("doc_id", F.posexplode(document_lines_expr(F.col(text_col)))
+    return docs.select("doc_id", F.posexplode(document_lines_expr(F.col(text_col)))
                        .alias("line_no", "line"))
 
 
@@ -40,8 +38,9 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def line_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """A1 over reference documents (lines): ``(n)``."""
-    # a cheap per-row count: spreading a small input would cost more than it saves
-    return docs.agg(F.sum(F.size(document_lines_expr(F.col(text_col)))).cast("bigint").alias("n"))
+    lines = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(
+        F.size(document_lines_expr(F.col(text_col))))
+    return docs.agg(F.sum(lines).cast("bigint").alias("n"))
 
 
 def doc_term_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -55,16 +54,17 @@ def word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def word_count_salted(docs: DataFrame, k: int, text_col: str = "text") -> DataFrame:
-    """A4: two-round word count with a salt in ``[0, k)`` per (document line, word).
+    """A4: two-round word count with a salt in ``[0, k)`` per task.
 
-    Round 1 groups by (salt, word), round 2 by word.  A word that holds a
-    large share of all tokens is spread over ``k`` reducers in round 1, and
-    round 2 sees at most ``k`` rows per word.  The salt is a hash, so a
-    retried task reproduces it.
+    Round 1 groups by (salt, word), round 2 by word.  The salt is the task's
+    number mod ``k``: a task ships one row per word, as without a salt, and a
+    word that all tasks hold is spread over ``k`` reducers in round 1; round 2
+    sees at most ``k`` rows per word.  Over a file scan a retried task has the
+    same number, and the counts do not depend on it.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    t = tokens(docs, text_col).withColumn("salt", salt_key(k, "doc_id", "line_no", "word"))
+    t = tokens(docs, text_col).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(k)))
     r1 = t.groupBy("salt", "word").agg(F.count(F.lit(1)).alias("n"))
     return r1.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
 

@@ -1,8 +1,7 @@
 """Independent DuckDB SQL for the registered queries.
 
 The views ``events orders documents embeddings part ...`` are the driver's
-parquet tables.  Queries without an entry (``max_partition_spark``: depends
-on the physical layout) get a rows-only check.
+parquet tables.  Queries without an entry get a rows-only check.
 """
 
 from __future__ import annotations
@@ -254,3 +253,21 @@ SELECT CAST(pick AS INTEGER) AS pick, CAST(id AS BIGINT) AS id FROM picks""",
     # diversity_baseline_config: no SQL -- the recursive form takes minutes at
     # k=100, L=16; tests check the operator against a brute-force model.
 })
+
+# the plans for large inputs must give what the others give
+for _name, _same in [("max_pairwise_distance_tiled", "max_pairwise_distance"),
+                     ("avg_pairwise_distance_tiled", "avg_pairwise_distance"),
+                     ("partition_coreset_lockstep", "partition_coreset"),
+                     ("greedy_pairs_rounds", "greedy_pairs"),
+                     ("greedy_pairs_steps", "greedy_pairs")]:
+    ORACLE_SQL[_name] = ORACLE_SQL[_same]
+
+ORACLE_SQL["kcenter_random_start"] = f"""
+WITH RECURSIVE {_PTS}, {_SAMPLE.replace(f"LIMIT {P.SAMPLE_K}", "LIMIT 1")},
+{_ff("SELECT id FROM sample")},
+cen AS (SELECT pts.id, pts.v FROM pts JOIN ff ON pts.id = ff.id)
+SELECT round(coalesce(max(list_distance(a.v, b.v)), 0), 6) AS max_dist
+FROM cen a JOIN cen b ON a.id < b.id"""
+
+ORACLE_SQL["max_partition_spark"] = f"""
+SELECT count(*) AS n, CAST({P.K_PARTS} AS BIGINT) AS n_parts, true AS within_bounds FROM orders"""

@@ -48,7 +48,12 @@ def q_max_partition_deterministic(spark, sf_dir):
 
 
 def q_max_partition_spark(spark, sf_dir):
-    return classes.max_partition_size_spark(class_records_from(spark, sf_dir, "orders"), P.K_PARTS)
+    # the size itself depends on the layout: rows, parts and its bounds do not
+    got = classes.max_partition_size_spark(class_records_from(spark, sf_dir, "orders"), P.K_PARTS)
+    size = F.col("max_partition_size")
+    return got.select("n", F.lit(P.K_PARTS).cast("bigint").alias("n_parts"),
+                      ((size >= F.ceil(F.col("n") / P.K_PARTS)) & (size <= F.col("n")))
+                      .alias("within_bounds"))
 
 
 def q_most_frequent_class(spark, sf_dir):
@@ -152,6 +157,35 @@ def q_kcenter_max_distance(spark, sf_dir):
     return _r6(centers.kcenter_max_distance(_emb(spark, sf_dir), P.CENTERS_K), "max_dist")
 
 
+def q_kcenter_random_start(spark, sf_dir):
+    return _r6(centers.kcenter_max_distance(_emb(spark, sf_dir), P.CENTERS_K, seed=P.SAMPLE_SEED),
+               "max_dist")
+
+
+# the plans for large inputs, each forced on a given table
+
+def q_max_pairwise_distance_tiled(spark, sf_dir):
+    return _r6(pairwise.max_pairwise_distance(_emb(spark, sf_dir), n_blocks_hint=3, prune=False),
+               "max_dist")
+
+
+def q_avg_pairwise_distance_tiled(spark, sf_dir):
+    return _r6(pairwise.avg_pairwise_distance(_emb(spark, sf_dir), n_blocks_hint=3), "avg_dist")
+
+
+def q_partition_coreset_lockstep(spark, sf_dir):
+    return diversity.partition_coreset(_emb(spark, sf_dir), P.DIVERSITY_K, P.DIVERSITY_L,
+                                       plan="lockstep")
+
+
+def q_greedy_pairs_rounds(spark, sf_dir):
+    return diversity.greedy_pairs(_emb(spark, sf_dir), P.GREEDY_K, plan="rounds")
+
+
+def q_greedy_pairs_steps(spark, sf_dir):
+    return diversity.greedy_pairs(_emb(spark, sf_dir), P.GREEDY_K, plan="steps")
+
+
 def q_partition_coreset(spark, sf_dir):
     return diversity.partition_coreset(_emb(spark, sf_dir), P.DIVERSITY_K, P.DIVERSITY_L)
 
@@ -221,6 +255,12 @@ QUERIES: dict[str, Query] = {
     "nearest_center_sizes": q_nearest_center_sizes,
     "farthest_first_random_start": q_farthest_first_random_start,
     "kcenter_max_distance": q_kcenter_max_distance,
+    "kcenter_random_start": q_kcenter_random_start,
+    "max_pairwise_distance_tiled": q_max_pairwise_distance_tiled,
+    "avg_pairwise_distance_tiled": q_avg_pairwise_distance_tiled,
+    "partition_coreset_lockstep": q_partition_coreset_lockstep,
+    "greedy_pairs_rounds": q_greedy_pairs_rounds,
+    "greedy_pairs_steps": q_greedy_pairs_steps,
     "partition_coreset": q_partition_coreset,
     "greedy_pairs": q_greedy_pairs,
     "diversity_two_round": q_diversity_two_round,

@@ -60,11 +60,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "(HDFS/S3/ABFS) folder to cut lineage")
 
 
-def sf_table(spark: SparkSession, sf_dir: str, name: str):
-    """Read one driver table (``<sf_dir>/<name>.parquet``)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     """An integer tuning setting ``spark.farpoint.<key>`` of the session.
 

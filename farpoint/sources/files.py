@@ -23,7 +23,8 @@ def with_row_index(df: DataFrame, name: str = "id") -> DataFrame:
     One row per input partition (its size) reaches the driver; the running
     offsets go back as a small broadcast table joined on the partition id,
     so the data itself is neither shuffled nor collected.  Scan order is
-    file-split order, which is stable for a given input.
+    file-split order, which is stable for a given input; ``df`` must be a scan
+    (no shuffle in it), as its partitions are numbered in two jobs.
     """
     spark = df.sparkSession
     tagged = df.withColumn("_pid", F.spark_partition_id()) \
@@ -58,11 +59,11 @@ def parse_class_records(lines: DataFrame, col: str = "value") -> DataFrame:
     idx = F.get(F.col("t"), 0).try_cast("bigint")
     cls = F.get(F.col("t"), 1)
     bad = idx.isNull() | cls.isNull()
-    return toks.select(
-        F.when(bad, F.raise_error(F.concat(F.lit("malformed class record: "), F.col("_line"))))
-         .otherwise(idx).alias("idx"),
-        cls.alias("class"),
-    )
+    # the check stands in every column, so it holds whichever of them a query reads
+    error = F.raise_error(F.concat(F.lit("malformed class record: "),
+                                   F.coalesce("_line", F.lit("NULL"))))
+    return toks.select(F.when(bad, error).otherwise(idx).alias("idx"),
+                       F.when(bad, error).otherwise(cls).alias("class"))
 
 
 def read_class_records(spark: SparkSession, path: str) -> DataFrame:

@@ -78,3 +78,13 @@ def test_malformed_records_fail(spark, line):
 def test_bad_k(records):
     with pytest.raises(ValueError):
         classes.class_histogram_by_part(records, 0)
+
+
+@pytest.mark.parametrize("line", ["x A", "1", "", "2A"])
+def test_bad_records_fail_whichever_column_is_read(spark, line):
+    from farpoint.sources.files import parse_class_records
+    rec = parse_class_records(spark.createDataFrame([("0 A",), (line,), ("2 B",)], "value string"))
+    for run in (classes.class_count, classes.most_frequent_class,
+                lambda r: r.select("idx"), lambda r: r.select("class")):
+        with pytest.raises(Exception, match="malformed"):
+            run(rec).collect()

@@ -6,6 +6,7 @@ import os
 import pytest
 
 from conftest import SF_SMALL, have_testdata
+from farpoint.plans import ORACLE_SQL, QUERIES
 
 pytestmark = pytest.mark.skipif(not have_testdata(), reason="driver tables not present")
 
@@ -29,21 +30,20 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.count() >= 1
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {"max_partition_spark",
-                                                      "diversity_baseline_config"}
+    assert set(QUERIES) <= set(E.queries())
+    assert set(QUERIES) - set(E.oracle_sql()) == {"diversity_baseline_config"}
 
 
 def test_oracle_agreement(spark):
     duckdb = pytest.importorskip("duckdb")
-    import __spark_entry__ as E
     con = duckdb.connect()
     for t in TABLES:
         p = os.path.join(SF_SMALL, f"{t}.parquet")
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
-    sqls = E.oracle_sql()
-    to_duck = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
-    for name, q in E.queries().items():
+    sqls = ORACLE_SQL
+    to_duck = {"boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    for name, q in QUERIES.items():
         frame = q(spark, SF_SMALL)
         sdf = frame.toPandas()
         if name not in sqls:

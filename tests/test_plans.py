@@ -7,6 +7,7 @@ import re
 import pytest
 
 from conftest import SF_SMALL, have_testdata
+from farpoint.plans import QUERIES
 
 pytestmark = pytest.mark.skipif(not have_testdata(), reason="driver tables not present")
 
@@ -19,20 +20,18 @@ def plan_of(df, mode="formatted"):
 
 
 def test_no_cartesian_or_nested_loop_joins(spark):
-    import __spark_entry__ as E
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         plan = plan_of(q(spark, SF_SMALL), "extended")
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "CrossJoin"):
             assert bad not in plan, f"{name}: {bad}"
 
 
 def test_counts_prune_columns_and_combine_map_side(spark):
-    import __spark_entry__ as E
-    # word_count reads text, plus doc_id when the small input is spread by it
-    for name, allowed in [("word_count", {"struct<text:string>",
-                                          "struct<doc_id:bigint,text:string>"}),
-                          ("class_count", {"struct<event_type:string>"})]:
-        plan = plan_of(E.queries()[name](spark, SF_SMALL))
+    for name, allowed, exchanges in [("word_count", {"struct<text:string>"}, 1),
+                                     ("word_count_salted", {"struct<text:string>"}, 2),
+                                     ("class_count", {"struct<event_type:string>"}, 2)]:
+        plan = plan_of(QUERIES[name](spark, SF_SMALL))
+        assert len(re.findall(r"^\(\d+\) Exchange", plan, flags=re.M)) == exchanges, name
         schemas = set(re.findall(r"ReadSchema: (\S+)", plan))
         assert schemas and schemas <= allowed, (name, schemas)
         assert "partial_count" in plan, name
@@ -63,11 +62,10 @@ def test_tiles_shuffle_once_per_tile_group(spark):
 
 def test_limits_only_where_they_are_the_feature(spark):
     """Whole tables: a row limit appears only in the sample and top-1 queries."""
-    import __spark_entry__ as E
     # the K-sample (X1) and the queries built on it, and the top-1 class
     allowed = {"random_sample_k", "sample_complement", "sample_max_distance",
                "most_frequent_class"}
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         plan = plan_of(q(spark, SF_SMALL), "extended")
         limited = any(op in plan for op in ("GlobalLimit", "LocalLimit", "CollectLimit",
                                             "TakeOrderedAndProject"))

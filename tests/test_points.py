@@ -9,7 +9,7 @@ import math
 import numpy as np
 import pytest
 
-from farpoint.operators import centers, diversity, pairwise, sampling
+from farpoint.operators import bounded, centers, diversity, pairwise, sampling
 from farpoint.sources.files import parse_points, read_points_csv, with_row_index
 
 
@@ -301,13 +301,16 @@ def test_block_size_setting(spark, cloud):
     assert got == pytest.approx(d.max(), abs=1e-9)
 
 
-def test_farthest_first_aggregate_path(spark, cloud, monkeypatch):
-    """Many-partition inputs use the executor-merged aggregate: same picks."""
+def test_farthest_first_lineage_cut(spark, cloud, monkeypatch):
+    """Recomputing from the points, or checkpointing beyond the broadcast limit: same picks."""
     pts = make_points(spark, cloud).repartition(6)
-    top1 = [r["id"] for r in centers.farthest_first_centers(pts, 7).orderBy("step").collect()]
-    monkeypatch.setattr(centers, "TOP1_MERGE_BYTES", 0)
-    agg = [r["id"] for r in centers.farthest_first_centers(pts, 7).orderBy("step").collect()]
-    assert top1 == agg == brute_ff(cloud, 7)
+
+    def ids():
+        got = centers.farthest_first_centers(pts, 9, checkpoint_every=2)
+        return [r["id"] for r in got.orderBy("step").collect()]
+    again = ids()
+    monkeypatch.setattr(bounded, "MAX_BROADCAST_ROWS", 0)
+    assert again == ids() == brute_ff(cloud, 9)
 
 
 def test_coreset_spark_parts(spark, cloud):
@@ -329,10 +332,82 @@ def test_greedy_plan_choice():
     assert diversity.choose_greedy_plan(5000, 64, max_group_bytes=1024) == "rounds"
 
 
+NAN, INF = float("nan"), float("inf")
+
+
+def test_average_with_nan_is_nan_in_any_number_of_blocks(spark):
+    rng = np.random.default_rng(3)
+    arr = rng.normal(size=(30, 3))
+    arr[4, 1] = NAN
+    for b in (1, 2, 3, 5):
+        got = pairwise.avg_pairwise_distance(make_points(spark, arr), n_blocks_hint=b).first()[0]
+        assert math.isnan(got), b
+
+
+def test_infinite_distances_count(spark):
+    pts = make_points(spark, [[0, 0], [3, 4], [INF, 0], [1, 1]])
+    for prune in (False, True):
+        assert pairwise.max_pairwise_distance(pts, prune=prune).first()[0] == INF
+    assert pairwise.avg_pairwise_distance(pts).first()[0] == INF
+
+
+def test_unequal_lengths_fail(spark):
+    pts = make_points(spark, [[0, 0], [3, 4], [1, 2, 3]])
+    for prune in (False, True, "auto"):
+        with pytest.raises(ValueError):
+            pairwise.max_pairwise_distance(pts, prune=prune)
+    with pytest.raises(Exception, match="dimension"):
+        centers.farthest_first_centers(pts, 2).collect()
+
+
+def test_coreset_plans_sum_in_one_order(spark):
+    # all points but the origin equally far: the last bit decides the picks
+    rng = np.random.default_rng(11)
+    arr = rng.normal(size=(201, 24))
+    arr /= np.sqrt((arr ** 2).sum(axis=1, keepdims=True))
+    arr[0] = 0
+    pts = make_points(spark, arr)
+    group, lockstep = (sorted(tuple(r) for r in diversity.partition_coreset(
+        pts, 5, 2, plan=p).collect()) for p in ("group", "lockstep"))
+    assert group == lockstep
+
+
+@pytest.mark.parametrize("plan", ["group", "steps", "rounds"])
+def test_greedy_returns_min_k_n_with_nan_points(spark, plan):
+    pts = make_points(spark, [[0.0], [NAN], [NAN], [NAN]])
+    got = [r["id"] for r in diversity.greedy_pairs(pts, 2, plan=plan).orderBy("pick").collect()]
+    assert got == [0, 1]
+    pts = make_points(spark, [[0.0], [5.0], [NAN], [1.0], [NAN], [NAN]])
+    got = [r["id"] for r in diversity.greedy_pairs(pts, 5, plan=plan).orderBy("pick").collect()]
+    assert got == [0, 1, 2, 3, 4]
+
+
+def test_nothing_stays_cached(spark, cloud):
+    spark.catalog.clearCache()
+    pts = make_points(spark, cloud)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    sampling.sample_max_distance(pts, 20, 3).collect()
+    diversity.diversity_two_round(pts, 4, 3).collect()
+    for plan in ("steps", "rounds"):
+        diversity.greedy_pairs(pts, 4, plan=plan).collect()
+    centers.farthest_first_centers(pts, 4).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_k_must_be_below_n(spark, cloud):
+    pts = make_points(spark, cloud[:5])
+    for k in (0, 5, 6):
+        with pytest.raises(ValueError):
+            centers.kcenter_max_distance(pts, k)
+    seeded = centers.farthest_first_centers(pts, 3, seed=4)
+    want = pairwise.max_pairwise_distance(centers.center_points(pts, seeded)).first()[0]
+    assert centers.kcenter_max_distance(pts, 3, seed=4).first()[0] == want
+
+
 def test_sample_max_distance_tile_fallback(spark, cloud, monkeypatch):
     pts = make_points(spark, cloud)
     direct = sampling.sample_max_distance(pts, 25, 7).first()[0]
-    monkeypatch.setattr(sampling, "MAX_BROADCAST_ROWS", 0)    # force the tiled path
+    monkeypatch.setattr(bounded, "MAX_BROADCAST_ROWS", 0)    # force the tiled path
     tiled = sampling.sample_max_distance(pts, 25, 7).first()[0]
     sample = {r["id"] for r in sampling.random_sample(pts, 25, 7).collect()}
     rest = [i for i in range(len(cloud)) if i not in sample]
@@ -344,7 +419,7 @@ def test_nearest_center_tile_fallback(spark, cloud, monkeypatch):
     pts = make_points(spark, cloud)
     cen = centers.farthest_first_centers(pts, 5)
     direct = sorted(tuple(r) for r in centers.nearest_center(pts, cen).collect())
-    monkeypatch.setattr(centers, "MAX_BROADCAST_ROWS", 0)      # force the tiled path
+    monkeypatch.setattr(bounded, "MAX_BROADCAST_ROWS", 0)      # force the tiled path
     tiled = sorted(tuple(r) for r in centers.nearest_center(pts, cen).collect())
     assert [r[:2] for r in direct] == [r[:2] for r in tiled]
     assert all(abs(a[2] - b[2]) < 1e-12 for a, b in zip(direct, tiled))

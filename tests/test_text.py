@@ -119,3 +119,16 @@ def test_text_file_source(spark, tmp_path):
     assert docs.count() == 3
     got = {r["word"]: r["n"] for r in text.word_count(docs).collect()}
     assert got == {"a": 1, "b": 2, "c": 2, "": 1}
+
+
+def test_line_ends_and_null_text(spark):
+    rows = [(1, "a b\r\nc\rd\n"), (2, None), (3, "e\r"), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            assert text.line_count(docs).first()["n"] == 3 + 0 + 1 + 1
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+    got = {r["word"]: r["n"] for r in text.word_count(docs).collect()}
+    assert got == {"a": 1, "b": 1, "c": 1, "d": 1, "e": 1, "": 1}
