@@ -15,11 +15,12 @@ share then rarely stand in a prefix), the others by three different hashes:
    intersected;
 3. the survivors are verified on their whole sets.
 
-Equal sets are one class from the start, and classes that agree in most of
-their least n-grams under six hashes are tried against one pivot first; the
-index then makes pairs only between classes not yet known to be connected, so a
-large group of copies costs as many pairs as it has members.  Links inside a
-known component are not needed for the classes that the join returns.
+Equal sets are one class from the start.  Where many classes share an n-gram,
+they are first tried against one or two pivots (the classes whose n-grams are
+the most shared, such as the original of near copies).
+The index then makes pairs only between classes not yet known to be connected,
+so a large group of near copies costs few pairs more than it has members.  Links
+inside a known component are not needed for the classes that the join returns.
 
 Which n-grams count as frequent changes the speed only, never the result.
 
@@ -34,6 +35,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from farpoint.llm import bloom
@@ -43,8 +45,8 @@ from farpoint.llm.scratch import Scratch
 
 N = 5                     # words of an n-gram
 NUM, DEN = 3, 4           # similarity threshold 3/4
-PIVOT_SEEDS = (11, 12, 13, 14, 15, 16)
-PIVOT_AGREE = 4           # least n-grams in which a class must agree with its pivot
+STAR_GROUP = 16           # classes that share an n-gram in a large group
+STAR_PIVOTS = 2           # pivots that a class is tried against in a round
 ORDER_SEEDS = (21, 22, 23)
 FLUSH = 1 << 21           # n-grams counted together inside a task
 MIN_HOT = 32              # an n-gram counted this often is frequent
@@ -138,17 +140,15 @@ def row_key(fp: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    names = ["doc_id", "n_shingles", "fp", "k", *[f"m{k}" for k in range(len(PIVOT_SEEDS))]]
+    names = ["doc_id", "n_shingles", "fp", "k"]
 
     def fn(it):
         for ids, sets in it:
             fp = np.array([set_fingerprint(s) for s in sets], U)
-            least = [[W.mix(s ^ U(seed)).min() if len(s) else U(0) for s in sets]
-                     for seed in PIVOT_SEEDS]
             num = np.asarray(ids.fill_null(0), dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(s) for s in sets], pa.int64()), _i64(fp),
-                 _i64(row_key(fp, num)), *[_i64(x) for x in least]], names=names)
+                 _i64(row_key(fp, num))], names=names)
     return _pass(docs, fn, ", ".join(f"{x} bigint" for x in names))
 
 
@@ -293,6 +293,42 @@ def _try_pairs(docs, pairs, classes, order, scratch) -> DataFrame:
     return links
 
 
+def _mixed_entries(entries: DataFrame, comp: DataFrame | None, scratch: Scratch) -> DataFrame:
+    """(h, fp, n, c, d): entries of n-grams in two components or more; d = classes that share h."""
+    if comp is None:
+        known = entries.withColumn("c", F.col("fp"))
+    else:
+        known = entries.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
+            "h", "fp", "n", F.coalesce("label", "fp").alias("c"))
+    known = scratch.save(known)
+    mixed = scratch.save(known.groupBy("h").agg(
+        F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("d"))
+        .filter("lo < hi").select("h", "d"))
+    out = scratch.save(known.join(mixed, "h"))
+    scratch.drop(known, mixed)
+    return out
+
+
+def _star_pairs(mixed: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of pivots and the other classes of large groups: STAR_PIVOTS each, at most.
+
+    The pivot of an n-gram is the class with the largest sum of group sizes.
+    """
+    large = mixed.filter(F.col("d") >= STAR_GROUP)
+    score = large.groupBy("fp").agg(F.sum("d").alias("score"))
+    large = scratch.save(large.join(score, "fp"))
+    pivot = scratch.save(large.groupBy("h").agg(F.max_by(
+        F.struct(F.col("fp").alias("a"), F.col("c").alias("c_a"), F.col("n").alias("n_a")),
+        F.struct("score", "fp")).alias("p")).select("h", "p.*"))
+    tried = (large.join(pivot, "h").filter(
+        (F.col("c") != F.col("c_a"))
+        & (DEN * F.least("n", "n_a") >= NUM * F.greatest("n", "n_a")))
+        .groupBy("a", F.col("fp").alias("b")).agg(F.count(F.lit(1)).alias("shared")))
+    best = Win.partitionBy("b").orderBy(F.desc("shared"), "a")
+    return scratch.save(tried.withColumn("r", F.row_number().over(best))
+                        .filter(F.col("r") <= STAR_PIVOTS).select("a", "b"))
+
+
 def jaccard_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -300,41 +336,25 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = scratch.save(_signatures(texts))
     some = rows.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    least = [f"m{k}" for k in range(len(PIVOT_SEEDS))]
     classes = scratch.save(some.groupBy("fp").agg(
         F.min("doc_id").alias("rep"), F.min_by("k", "doc_id").alias("k"),
-        F.max("n_shingles").alias("n"), *[F.max(m).alias(m) for m in least]))
+        F.max("n_shingles").alias("n")))
     known = texts.filter(F.col("doc_id").isNotNull())
     order = spark.sparkContext.broadcast(_frequent(known, scratch))
 
-    # one pivot per least n-gram: as many pairs as classes and orders, at most
-    keyed = classes.select("fp", F.explode(F.array(*[F.struct(
-        F.lit(i).alias("i"), F.col(m).alias("m")) for i, m in enumerate(least)])).alias("x")
-        ).select("fp", "x.i", "x.m")
-    pivots = scratch.save(keyed.groupBy("i", "m").agg(
-        F.min("fp").alias("a"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"))
-    # each least n-gram of a class has one pivot; one in which most of them agree is tried
-    stars = scratch.save(keyed.join(pivots, ["i", "m"]).filter("fp > a")
-                         .groupBy("a", F.col("fp").alias("b")).agg(F.count(F.lit(1)).alias("c"))
-                         .filter(F.col("c") >= PIVOT_AGREE).select("a", "b"))
-    links = _try_pairs(known, stars, classes, order, scratch)
-    comp = connected_components(links, scratch)
-
     # index of order 1: n-grams that stand in the prefixes of two sets or more
     live = scratch.save(_prefix_index(known, order).groupBy("h").agg(
         F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo < hi").select("h"))
     possible = spark.sparkContext.broadcast(bloom.build(live, "h", live.count()))
-    entries = (_prefix_index(known, order, possible).distinct()
-               .join(live, "h")
-               .join(classes.select("fp", "n"), "fp")
-               .join(comp.withColumnRenamed("node", "fp"), "fp", "left")
-               .select("h", "fp", "n", F.coalesce("label", "fp").alias("c")))
-    entries = scratch.save(entries)
-    mixed = scratch.save(entries.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-                         .filter("lo < hi").select("h"))
-    entries = scratch.save(entries.join(mixed, "h"))
-    a, b = (entries.select("h", F.col("fp").alias(x), F.col("n").alias(f"n_{x}"),
-                           F.col("c").alias(f"c_{x}")) for x in "ab")
+    entries = scratch.save(_prefix_index(known, order, possible).distinct()
+                           .join(live, "h").join(classes.select("fp", "n"), "fp"))
+    mixed = _mixed_entries(entries, None, scratch)
+    links = _try_pairs(known, _star_pairs(mixed, scratch), classes, order, scratch)
+    scratch.drop(mixed)
+    comp = connected_components(links, scratch)
+    mixed = _mixed_entries(entries, comp, scratch)
+    a, b = (mixed.select("h", F.col("fp").alias(x), F.col("n").alias(f"n_{x}"),
+                         F.col("c").alias(f"c_{x}")) for x in "ab")
     # other components only, each pair once; sizes and shared prefix n-grams within reach
     sized = DEN * F.least("n_a", "n_b") >= NUM * F.greatest("n_a", "n_b")
     pairs = scratch.save(a.join(b, "h").filter((F.col("c_a") < F.col("c_b")) & sized)
