@@ -214,6 +214,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             F.collect_set(F.struct("start", "end")).alias("ranges"))
         .withColumn("k", F.xxhash64("doc_id", "fp"))
         .withColumnsRenamed({"doc_id": "r_id", "fp": "r_fp"}))
+    scratch.keep_only(ranges)
     blocks = bloom.build(ranges, "k", ranges.count())
     # a null doc_id counts as 0 in the passes over the texts
     keyed = texts.withColumn("id0", F.coalesce("doc_id", F.lit(0)))

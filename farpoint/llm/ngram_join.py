@@ -370,6 +370,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     first = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     classes_out = scratch.save(named.join(first, "label").select(
         F.col("fp").alias("class"), "component_id"))
+    scratch.keep_only(rows, classes_out)
     empty = rows.filter((F.col("n_shingles") == 0) | F.col("doc_id").isNull())
     return (some.join(classes_out, F.col("fp") == F.col("class"))
             .select("doc_id", "n_shingles", "component_id")

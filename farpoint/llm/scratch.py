@@ -25,15 +25,15 @@ class Scratch:
             spark.conf.set(BATCH, str(BATCH_ROWS))
         self.spark = spark
         self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        self.count = 0
+        self.saved: list[DataFrame] = []
 
     def save(self, df: DataFrame) -> DataFrame:
         """Write ``df`` once and return the table read back."""
-        self.count += 1
-        path = f"{self.base}/t{self.count}"
+        path = f"{self.base}/t{len(self.saved) + 1}"
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
+        self.saved.append(out)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
@@ -43,3 +43,8 @@ class Scratch:
         for t in tables:
             p = jvm.org.apache.hadoop.fs.Path(t.scratch_path)
             p.getFileSystem(conf).delete(p, True)
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Delete all saved tables but these, which a result still reads."""
+        kept = {t.scratch_path for t in tables}
+        self.drop(*[t for t in self.saved if t.scratch_path not in kept])
