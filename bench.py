@@ -50,6 +50,7 @@ def main() -> None:
     for name in names:
         runs = []
         for _ in range(REPEAT):
+            spark.catalog.clearCache()                     # no run reads another's results
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
