@@ -28,7 +28,7 @@ from farpoint.operators.bounded import (
     nearest_in_set,
     semi_by_ids,
 )
-from farpoint.operators.pairwise import max_pairwise_distance, n_blocks, size_and_dim
+from farpoint.operators.pairwise import by_task, max_pairwise_distance, n_blocks, size_and_dim
 from farpoint.session import conf_int, ensure_checkpoint_dir
 
 CHECKPOINT_EVERY = 8
@@ -151,7 +151,8 @@ def _nearest_tiled(points: DataFrame, cen: DataFrame, dim: int) -> DataFrame:
                     F.lit(1).alias("side"), F.col("step").cast("int").alias("step"))
     rt = rt.select("*", F.explode(F.sequence(F.lit(0), F.lit(bl - 1))).alias("a"))
     cols = ["a", "b", "side", "id", "v", "step"]
-    tiles = lt.select(*cols).unionByName(rt.select(*cols)).repartition(bl * br, "a", "b")
+    tiles = by_task(lt.select(*cols).unionByName(rt.select(*cols)), bl * br,
+                    F.col("a") * br + F.col("b"))
 
     def run(pdf):
         import pandas as pd
@@ -165,7 +166,7 @@ def _nearest_tiled(points: DataFrame, cen: DataFrame, dim: int) -> DataFrame:
                             "step": [by_id.get(int(x), -1) for x in c]})
         return out[out["center_id"] >= 0]
 
-    per_tile = tiles.groupBy("a", "b").applyInPandas(
+    per_tile = tiles.groupBy("task").applyInPandas(
         run, "id long, center_id long, dist double, step int")
     best = per_tile.groupBy("id").agg(
         F.min_by(F.struct("center_id", "dist"), F.struct("dist", "step")).alias("b"))

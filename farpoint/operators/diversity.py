@@ -42,6 +42,7 @@ from farpoint.operators.bounded import semi_by_ids
 from farpoint.operators.pairwise import (
     MAX_BLOCK_ROWS,
     avg_pairwise_distance,
+    by_task,
     farthest_partner,
     farthest_partner_in,
     size_and_dim,
@@ -91,7 +92,7 @@ def with_part(points: DataFrame, l_parts: int, part_col: str | None = None,
     return points.select(part.alias("part"), "id", "v")
 
 
-def _coreset_group_plan(parted: DataFrame, k: int, l_parts: int) -> DataFrame:
+def _coreset_group_plan(parted: DataFrame, k: int, l_parts: int, numbered: bool) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         picks = K.farthest_first(pdf["id"].to_numpy(np.int64), K.stack(pdf["v"]), k)
         part = int(pdf["part"].iat[0])
@@ -100,8 +101,10 @@ def _coreset_group_plan(parted: DataFrame, k: int, l_parts: int) -> DataFrame:
                              "id": [i for _, i in picks]}).astype(
             {"part": "int32", "step": "int32", "id": "int64"})
 
-    # spread parts over tasks: AQE would pack these small-in-bytes but
-    # CPU-heavy groups into few tasks; an explicit count is never coalesced
+    if numbered:                # parts 0 .. L-1: one task each
+        return by_task(parted, l_parts, F.col("part")).groupBy("task") \
+            .applyInPandas(run, "part int, step int, id long")
+    # user parts have any numbers: spread by hash; an explicit count is never coalesced
     n_parts = max(int(l_parts), parted.sparkSession.sparkContext.defaultParallelism)
     return parted.repartition(n_parts, "part").groupBy("part") \
         .applyInPandas(run, "part int, step int, id long")
@@ -217,7 +220,7 @@ def partition_coreset(points: DataFrame, k: int, l_parts: int, part_col: str | N
         biggest = int(stats["n"] or 0) * 8 * max(1, int(stats["d"] or 0))
         plan = "group" if biggest <= max_group_bytes else "lockstep"
     if plan == "group":
-        return _coreset_group_plan(parted, k, l_parts)
+        return _coreset_group_plan(parted, k, l_parts, part_col is None)
     return _coreset_lockstep_plan(parted, k, checkpoint_every)
 
 

@@ -55,15 +55,21 @@ def _self_tiles(points: DataFrame, b: int) -> DataFrame:
                      "blk", "id", "v")
 
 
-def _by_tile(tiles: DataFrame, b: int, keys=("lo", "hi")) -> DataFrame:
-    """One shuffle partition per tile.
+def by_task(rows: DataFrame, n: int, number) -> DataFrame:
+    """Send the rows with group number i (0 <= i < n) to task i, as column ``task``.
 
-    Tiles are CPU-heavy but small in bytes, so AQE would pack several into
-    one task; an explicit partition count is never coalesced, and the
-    following ``groupBy`` on the same keys reuses this partitioning.
+    Tiles and parts are CPU-heavy but small in bytes: hash partitioning would
+    put several on one task while others stay idle, and AQE would pack them.
+    An explicit partition count is never coalesced, and a ``groupBy("task")``
+    reuses this partitioning.
     """
-    n_tiles = b * (b + 1) // 2 if keys == ("lo", "hi") else b
-    return tiles.repartition(max(1, n_tiles), *keys)
+    return rows.withColumn("task", number.cast("int")).repartitionById(max(1, n), F.col("task"))
+
+
+def _by_tile(tiles: DataFrame, b: int) -> DataFrame:
+    """One task per self tile (lo, hi), lo <= hi < b."""
+    lo, hi = F.col("lo").cast("bigint"), F.col("hi").cast("bigint")
+    return by_task(tiles, b * (b + 1) // 2, lo * b - lo * (lo - 1) / 2 + (hi - lo))
 
 
 def _split_tile(pdf: pd.DataFrame):
@@ -135,7 +141,7 @@ def _block_bytes(points: DataFrame, block_bytes: int | None) -> int:
 
 def _tiled_max(points: DataFrame, n_blocks_hint: int | None, block_bytes: int) -> DataFrame:
     b = _blocks_for(points, n_blocks_hint, block_bytes)
-    per_tile = _by_tile(_self_tiles(points.select("id", "v"), b), b).groupBy("lo", "hi") \
+    per_tile = _by_tile(_self_tiles(points.select("id", "v"), b), b).groupBy("task") \
         .applyInPandas(_tile_max, "m2 double")
     return per_tile.agg(F.sqrt(F.coalesce(F.max("m2"), F.lit(0.0))).alias("max_dist"))
 
@@ -220,7 +226,7 @@ def avg_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
     NaN when a distance is NaN, in any number of blocks.
     """
     b = _blocks_for(points, n_blocks_hint, block_bytes)
-    per_tile = _by_tile(_self_tiles(points.select("id", "v"), b), b).groupBy("lo", "hi") \
+    per_tile = _by_tile(_self_tiles(points.select("id", "v"), b), b).groupBy("task") \
         .applyInPandas(_tile_sum, "s double, c long, nan boolean")
     agg = per_tile.agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.max("nan").alias("nan"))
     return agg.select(F.when(F.col("nan"), F.lit(float("nan"))).when(
@@ -234,7 +240,7 @@ def farthest_partner(points: DataFrame, n_blocks_hint: int | None = None,
     Points without any partner (a one-point set) are absent.
     """
     b = _blocks_for(points, n_blocks_hint, block_bytes)
-    per_tile = _by_tile(_self_tiles(points.select("id", "v"), b), b).groupBy("lo", "hi") \
+    per_tile = _by_tile(_self_tiles(points.select("id", "v"), b), b).groupBy("task") \
         .applyInPandas(_tile_partner, "id long, partner long, d2 double")
     # one block: every id is in exactly one tile, nothing to reduce
     return per_tile if b == 1 else _reduce_partner(per_tile)
@@ -294,9 +300,9 @@ def farthest_partner_in(left: DataFrame, right: DataFrame,
         nl, nr, d = sizes
     block_bytes = _block_bytes(left, block_bytes)
     bl, br = n_blocks(nl, d, block_bytes), n_blocks(nr, d, block_bytes)
-    per_tile = _by_tile(_cross_tiles(left.select("id", "v"), right.select("id", "v"), bl, br),
-                        bl * br, keys=("a", "b")) \
-        .groupBy("a", "b").applyInPandas(
+    tiles = _cross_tiles(left.select("id", "v"), right.select("id", "v"), bl, br)
+    per_tile = by_task(tiles, bl * br, F.col("a") * br + F.col("b")) \
+        .groupBy("task").applyInPandas(
             _cross_partner, "id long, v array<double>, partner long, d2 double")
     if br == 1:             # one right block: every left id is in exactly one tile
         return per_tile

@@ -54,12 +54,20 @@ def test_tiles_shuffle_once_per_tile_group(spark):
     from farpoint.sources.tables import points_from
     pts = points_from(spark, SF_SMALL, "embeddings")
     plan = plan_of(pairwise.avg_pairwise_distance(pts, n_blocks_hint=3))
-    # explicit tile partitioning (6 tiles), reused by the grouping: one exchange before the UDF
-    assert "hashpartitioning(lo" in plan and ", 6)" in plan
+    # tile i on task i (6 tiles), reused by the grouping: one exchange before the UDF
+    assert "shufflepartitionidpassthrough" in plan and ", 6)" in plan
     exchanges = re.findall(r"^\(\d+\) Exchange", plan, flags=re.M)
     assert len(exchanges) == 2      # tile exchange + final single-row aggregate
 
 
+def test_one_part_per_task(spark):
+    from pyspark.sql import functions as F
+    from farpoint.operators.pairwise import by_task
+    parts = by_task(spark.range(400).withColumn("part", F.col("id") % 16), 16, F.col("part"))
+    got = parts.select("part", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(got) == 16 and len({r["task"] for r in got}) == 16
+
+
 def test_limits_only_where_they_are_the_feature(spark):
     """Whole tables: a row limit appears only in the sample and top-1 queries."""
     # the K-sample (X1) and the queries built on it, and the top-1 class
