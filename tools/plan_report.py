@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-import __spark_entry__ as E  # noqa: E402
+from farpoint.plans import QUERIES  # noqa: E402
 
 NODE_KINDS = {
     "exch": {"Exchange"},
@@ -87,12 +87,12 @@ def main() -> None:
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     sc = spark.sparkContext
-    names = list(E.queries())
+    names = list(QUERIES)
     for name in names:
         # the job group rides on every job; the call site would be overwritten
         # by collect()/first() inside the operators
         sc.setJobGroup(name, name)
-        E.queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.stop()
 
     plans, exec_query, stage_exec = {}, {}, {}
