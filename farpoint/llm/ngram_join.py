@@ -271,7 +271,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     for p in ("p2", "p3"):
         both = F.size(F.array_intersect(f"{p}_a", f"{p}_b"))
         few = few.filter(_reaches(both, F.col("n_a"), F.col("n_b")))
-    few = scratch.save(few.select("a", "b"))
+    few = scratch.save(few.select("a", "b").distinct())
     both = F.size(F.array_intersect("s_a", "s_b"))
     out = (few.join(_side(sets, "a", ["n", "s"]), "a").join(_side(sets, "b", ["n", "s"]), "b")
            .withColumn("i", both)
@@ -293,35 +293,19 @@ def _try_pairs(docs, pairs, classes, order, scratch) -> DataFrame:
     return links
 
 
-def _mixed_entries(entries: DataFrame, comp: DataFrame | None, scratch: Scratch) -> DataFrame:
-    """(h, fp, n, c, d): entries of n-grams in two components or more; d = classes that share h."""
-    if comp is None:
-        known = entries.withColumn("c", F.col("fp"))
-    else:
-        known = entries.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
-            "h", "fp", "n", F.coalesce("label", "fp").alias("c"))
-    known = scratch.save(known)
-    mixed = scratch.save(known.groupBy("h").agg(
-        F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("d"))
-        .filter("lo < hi").select("h", "d"))
-    out = scratch.save(known.join(mixed, "h"))
-    scratch.drop(known, mixed)
-    return out
-
-
-def _star_pairs(mixed: DataFrame, scratch: Scratch) -> DataFrame:
+def _star_pairs(entries: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) of pivots and the other classes of large groups: STAR_PIVOTS each, at most.
 
     The pivot of an n-gram is the class with the largest sum of group sizes.
     """
-    large = mixed.filter(F.col("d") >= STAR_GROUP)
+    large = entries.filter(F.col("d") >= STAR_GROUP)
     score = large.groupBy("fp").agg(F.sum("d").alias("score"))
     large = scratch.save(large.join(score, "fp"))
     pivot = scratch.save(large.groupBy("h").agg(F.max_by(
-        F.struct(F.col("fp").alias("a"), F.col("c").alias("c_a"), F.col("n").alias("n_a")),
+        F.struct(F.col("fp").alias("a"), F.col("n").alias("n_a")),
         F.struct("score", "fp")).alias("p")).select("h", "p.*"))
     tried = (large.join(pivot, "h").filter(
-        (F.col("c") != F.col("c_a"))
+        (F.col("fp") != F.col("a"))
         & (DEN * F.least("n", "n_a") >= NUM * F.greatest("n", "n_a")))
         .groupBy("a", F.col("fp").alias("b")).agg(F.count(F.lit(1)).alias("shared")))
     best = Win.partitionBy("b").orderBy(F.desc("shared"), "a")
@@ -329,6 +313,52 @@ def _star_pairs(mixed: DataFrame, scratch: Scratch) -> DataFrame:
                         .filter(F.col("r") <= STAR_PIVOTS).select("a", "b"))
 
 
+def _open_pairs(entries: DataFrame, comp: DataFrame, scratch: Scratch) -> DataFrame:
+    """Candidate pairs (a, b) of classes in different components, by the filter of order 1.
+
+    Components are compared first: the n-grams that two of them share bound
+    what any two of their members share.  For components of one class each
+    that is the pair's own count; only the others are taken apart.
+    """
+    known = scratch.save(entries.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "h", "fp", "n", F.coalesce("label", "fp").alias("c")))
+    groups = scratch.save(known.groupBy("h", "c").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi")))
+    mixed = scratch.save(groups.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
+                         .filter("k > 1").select("h"))
+    groups = scratch.save(groups.join(mixed, "h"))
+    a, b = (groups.select("h", *[F.col(x).alias(f"{x}_{y}") for x in ("c", "lo", "hi")])
+            for y in "ab")
+    # some sizes within the ranges must be within the threshold
+    sized = (DEN * F.col("hi_a") >= NUM * F.col("lo_b")) & (DEN * F.col("hi_b") >= NUM * F.col("lo_a"))
+    shared = F.col("shared")
+    both = scratch.save(a.join(b, "h").filter((F.col("c_a") < F.col("c_b")) & sized)
+                        .groupBy("c_a", "c_b").agg(
+        F.count(F.lit(1)).alias("shared"), F.min("lo_a").alias("lo_a"), F.max("hi_a").alias("hi_a"),
+        F.min("lo_b").alias("lo_b"), F.max("hi_b").alias("hi_b"))
+        # (NUM + DEN) * (shared + rest) >= NUM * (n_a + n_b) for the best sizes, rest <= 3/4 n
+        .filter((28 * shared >= 12 * F.col("lo_a") - 9 * F.col("hi_b"))
+                | (28 * shared >= 12 * F.col("lo_b") - 9 * F.col("hi_a"))))
+    scratch.drop(groups, mixed)
+    # a component of one class is named by it unless the class is linked: then it has two or more
+    linked = comp.select(F.col("label").alias("c")).distinct()
+    is_a, is_b = linked.withColumnRenamed("c", "c_a"), linked.withColumnRenamed("c", "c_b")
+    flagged = scratch.save(both.join(is_a.withColumn("x", F.lit(True)), "c_a", "left")
+                           .join(is_b.withColumn("y", F.lit(True)), "c_b", "left"))
+    single = F.col("x").isNull() & F.col("y").isNull()
+    direct = (flagged.filter(single).filter(_reaches(shared, F.col("lo_a"), F.col("lo_b")))
+              .select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
+    wide = flagged.filter(~single).select("c_a", "c_b")
+    left = known.select("h", F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
+    right = known.select("h", F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
+    members = (left.join(wide, "c_a").join(right, ["h", "c_b"])
+               .filter(DEN * F.least("n_a", "n_b") >= NUM * F.greatest("n_a", "n_b"))
+               .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"),
+                                      F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+               .filter(_reaches(shared, F.col("n_a"), F.col("n_b"))).select("a", "b"))
+    return scratch.save(direct.unionByName(members))
+
+
 def jaccard_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -344,24 +374,14 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 
     # index of order 1: n-grams that stand in the prefixes of two sets or more
     live = scratch.save(_prefix_index(known, order).groupBy("h").agg(
-        F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo < hi").select("h"))
+        F.min("fp").alias("lo"), F.max("fp").alias("hi"), F.count(F.lit(1)).alias("d"))
+        .filter("lo < hi").select("h", "d"))
     possible = spark.sparkContext.broadcast(bloom.build(live, "h", live.count()))
     entries = scratch.save(_prefix_index(known, order, possible).distinct()
                            .join(live, "h").join(classes.select("fp", "n"), "fp"))
-    mixed = _mixed_entries(entries, None, scratch)
-    links = _try_pairs(known, _star_pairs(mixed, scratch), classes, order, scratch)
-    scratch.drop(mixed)
+    links = _try_pairs(known, _star_pairs(entries, scratch), classes, order, scratch)
     comp = connected_components(links, scratch)
-    mixed = _mixed_entries(entries, comp, scratch)
-    a, b = (mixed.select("h", F.col("fp").alias(x), F.col("n").alias(f"n_{x}"),
-                         F.col("c").alias(f"c_{x}")) for x in "ab")
-    # other components only, each pair once; sizes and shared prefix n-grams within reach
-    sized = DEN * F.least("n_a", "n_b") >= NUM * F.greatest("n_a", "n_b")
-    pairs = scratch.save(a.join(b, "h").filter((F.col("c_a") < F.col("c_b")) & sized)
-                         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"),
-                                                F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
-                         .filter(_reaches(F.col("shared"), F.col("n_a"), F.col("n_b")))
-                         .select("a", "b"))
+    pairs = _open_pairs(entries, comp, scratch)
     more = _try_pairs(known, pairs, classes, order, scratch)
     comp = connected_components(links.unionByName(more), scratch)
 
