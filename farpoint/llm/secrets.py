@@ -184,16 +184,20 @@ def redact_text(text: str | None, spans, mask: str = "[SECRET]") -> str | None:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with the found secrets masked in the text; n_chars, if there, follows."""
+    Scratch(docs.sparkSession, "secrets")        # small batches of texts
+    dictionary = identifier_dictionary(docs)
     cols = docs.columns
     at = cols.index("text")
 
     def run(batches):
+        novelty = Novelty(dictionary)
         for b in batches:
-            text = pa.array([redact_text(t.as_py(), s.as_py()) for t, s in
-                             zip(b.column(at), b.column(len(cols)))], pa.string())
-            yield pa.RecordBatch.from_arrays([text if i == at else b.column(i)
+            texts = [t.as_py() for t in b.column(at)]
+            out = pa.array([redact_text(t, [{"start": s, "end": e} for s, _, e in scan(t, novelty)])
+                            for t in texts], pa.string())
+            yield pa.RecordBatch.from_arrays([out if i == at else b.column(i)
                                               for i in range(len(cols))], names=cols)
-    out = scan_secrets(docs).mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(run, docs.schema)
     if "n_chars" in cols:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(

@@ -8,6 +8,7 @@ fingerprints is taken as equality of the words (or windows) behind them.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,6 +62,15 @@ class Chunk:
         return self.hi - self.lo
 
 
+def give_back() -> None:
+    """Return freed memory to the system: reused Python workers otherwise keep their largest use."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # a C library without it
+        pass
+
+
 def chunks(text: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """Cut one Arrow string column into chunks of whole documents; null counts as empty."""
     if text.null_count:
@@ -79,6 +89,7 @@ def chunks(text: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
         hi = min(hi, n)
         yield Chunk(lo, hi, buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
         lo = hi
+    give_back()
 
 
 @dataclass
