@@ -60,9 +60,10 @@ def chunk_metrics(c: W.Chunk) -> list[np.ndarray]:
         le = le - brk[le - 1]
         solid_sum = np.concatenate([[0], np.cumsum(solid, dtype=np.int64)])
         has = solid_sum[le] > solid_sum[ls]
-        doc = np.searchsorted(c.off, ls, "right") - 1
-        h = W.segment_hash(c.buf, ls, le, ~brk)[has]
-        doc = doc[has]
+        # only lines with a word are hashed; the bytes of the others don't count for the line before
+        of_word_line = np.repeat(has, np.diff(np.append(ls, len(c.buf))))
+        doc = np.searchsorted(c.off, ls[has], "right") - 1
+        h = W.segment_hash(c.buf, ls[has], le[has], of_word_line & ~brk)
         n_lines = np.bincount(doc, minlength=c.n)
         _, at = np.unique(h ^ W.mix(doc.astype(W.U) + W.U(1)), return_index=True)
         n_dup = n_lines - np.bincount(doc[at], minlength=c.n)
