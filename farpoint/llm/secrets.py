@@ -2,11 +2,12 @@
 
 Base kinds are found left to right without overlap, each kind on its own; a
 match that fails its length test is dropped.  The method adds spans of kind
-``novel``: strings that follow a sensitive word and that add nearly their own
-length to the compressed size of the surrounding text, with a dictionary of the
-corpus's identifiers primed; what the context or the identifiers predict
-compresses, random secrets don't.  Marginal bytes are
-size(context + string) - size(context).
+``novel``: whole strings that follow a sensitive word and hold a piece that adds
+nearly all that its alphabet can carry to the compressed size of the surrounding
+text, with a dictionary of the corpus's identifiers primed; what the context or
+the identifiers predict compresses, random secrets don't.  Marginal bytes are
+size(context + piece) - size(context).  Pieces overlap and have one length, so the
+score of a random string does not fall with its length.
 
 Defined cases: null or empty text: no spans; repeated rows are scanned each;
 equal starts: kinds in the order of ``KINDS``; offsets are code points, end
@@ -17,6 +18,7 @@ are carried untouched, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -42,11 +44,16 @@ SENSITIVE = re.compile(r"(?:key|secret|token|passw|pwd|auth|credential|bearer|pr
                        re.I | re.A)
 SENSITIVE_HINTS = ("key", "secret", "token", "passw", "pwd", "auth", "credential", "bearer",
                    "private", "signature")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,256}", re.A)
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.A)
 IDENTIFIER = re.compile(r"[A-Za-z_]{4,32}", re.A)
 CONTEXT = 256             # code points before and after a candidate
-NOVELTY = 0.75            # least marginal compressed bytes per byte
+PIECE = 32                # code points of a candidate that are scored together ...
+STEP = 16                 # ... a new piece every so many, the last one at the end
+NOVELTY = 0.75            # least marginal compressed bytes per byte (6 bits: 64 symbols) ...
+SLACK = 0.9               # ... smaller alphabets: this share of their bits (short pieces vary)
+CLASSES = (("0-9", 10), ("a-f", 6), ("g-z", 20), ("A-F", 6), ("G-Z", 20), ("+/_=-", 5))
 DICTIONARY = 2000         # most frequent identifiers near candidates (the dictionary's bound)
+ALPHABET = [(re.compile(f"[{x}]", re.A), n) for x, n in CLASSES]
 SPANS_TYPE = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -64,20 +71,30 @@ def base_spans(text: str, low: str) -> list[tuple[int, int, str]]:
 
 
 def candidates(text: str, low: str) -> list[tuple[int, int]]:
-    """Strings with letters and digits that directly follow a sensitive word."""
+    """Whole strings that directly follow a sensitive word."""
     if not any(h in low for h in SENSITIVE_HINTS):
         return []
     out, last = [], 0
     for m in SENSITIVE.finditer(text):
-        c = CANDIDATE.match(text, m.end())
-        if c and c.start() >= last:
-            s = c[0]
-            if any(x.isdigit() for x in s) and any(x.isalpha() for x in s):
-                out.append((c.start(), c.end()))
-                last = c.end()
+        c = CANDIDATE.match(text, m.end()) if m.end() >= last else None
+        if c:
+            out.append((c.start(), c.end()))
+            last = c.end()
     return out
 
 
+def pieces(string: str) -> list[str]:
+    """Overlapping pieces of PIECE code points that cover the string."""
+    ends = [*range(PIECE, len(string), STEP), len(string)]
+    return [string[max(0, e - PIECE):e] for e in ends]
+
+
+def bar(piece: str) -> float:
+    """Least marginal bytes per byte of a novel piece, by the bits of its alphabet."""
+    symbols = sum(n for x, n in ALPHABET if x.search(piece))
+    return NOVELTY if symbols >= 62 else NOVELTY * SLACK * math.log2(symbols) / 6
+
+
 def context_of(text: str, start: int, end: int) -> str:
     """The text around a candidate, without the candidate itself, wherever it stands."""
     near = text[max(0, start - CONTEXT):start] + "\n" + text[end:end + CONTEXT]
@@ -99,6 +116,10 @@ class Novelty:
         ctx = context.encode("utf-8", "surrogatepass")
         return (len(self.c.compress(ctx + string.encode())) - len(self.c.compress(ctx))) / len(string)
 
+    def found(self, string: str, context: str) -> bool:
+        """Whether a piece of the string is novel."""
+        return any(self.of(p, context) >= bar(p) for p in pieces(string))
+
 
 def scan(text: str | None, novelty: Novelty) -> list[tuple[int, int, str]]:
     """All spans of one text, by start, then kind."""
@@ -108,8 +129,9 @@ def scan(text: str | None, novelty: Novelty) -> list[tuple[int, int, str]]:
     found = base_spans(text, low)
     covered = sorted((s, e) for s, _, e in found)
     for s, e in candidates(text, low):
-        if not any(a < e and s < b for a, b in covered):
-            if novelty.of(text[s:e], context_of(text, s, e)) >= NOVELTY:
+        # a base span inside a longer string covers only a part of it
+        if not any(a <= s and e <= b for a, b in covered):
+            if novelty.found(text[s:e], context_of(text, s, e)):
                 found.append((s, 3, e))
     return sorted(found)
 
