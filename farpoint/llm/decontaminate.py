@@ -1,8 +1,10 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Benchmark items are normalised (A-Z lower-cased, runs of white space as one
-space) and cut into pieces of PIECE to 2 * PIECE - 1 bytes (shorter items are
-one piece).  A piece of m bytes may differ from a document's region by
+space) and cut into disjoint pieces of PIECE to 2 * PIECE - 1 bytes (shorter items
+are one piece), and into pieces of PIECE bytes that start every STEP bytes, the
+last one at the item's end: every excerpt of PIECE + STEP - 1 bytes holds one of
+these.  The first kind has larger budgets of edits, the second finds excerpts.  A piece of m bytes may differ from a document's region by
 e = floor(EDIT_RATE * m) edits.  By the q-gram lemma such a region shares
 m + 1 - q * (e + 1) q-grams or more with the piece, all on diagonals that
 differ by e at most.  Every document's shared q-grams are counted in
@@ -34,6 +36,7 @@ from farpoint.llm.scratch import Scratch
 Q = 12
 EDIT_RATE = 0.06
 PIECE = 100
+STEP = 50
 SLICE_BYTES = 4 << 20
 TABLE_BITS = 21
 
@@ -56,7 +59,11 @@ def cut_pieces(text: str) -> list[bytes]:
     raw = norm.tobytes().strip()
     n = max(1, len(raw) // PIECE)
     cut = [len(raw) * i // n for i in range(n + 1)]
-    return [p for p in (raw[a:b] for a, b in zip(cut, cut[1:])) if len(p) >= Q]
+    ranges = set(zip(cut, cut[1:]))
+    if len(raw) > PIECE:
+        starts = [*range(0, len(raw) - PIECE, STEP), len(raw) - PIECE]
+        ranges.update((a, a + PIECE) for a in starts)
+    return [raw[a:b] for a, b in sorted(ranges) if b - a >= Q]
 
 
 def edit_budget(m: int) -> int:
