@@ -5,7 +5,9 @@ mapped through the cumulative target shares to a source.  The slots of a
 source are ranked; slot rank r stands for block ``r mod n_blocks`` of that
 source in pass ``r div n_blocks``.  Blocks hold ``block_words`` consecutive
 words of the source's documents in hash-shuffled order, so all blocks of a
-source weigh the same (the last one excepted).
+source weigh the same (the last one excepted).  The slots grow with the input and
+a block keeps MIN_BLOCK_WORDS, so small sources come near their targets in tables of any
+size; with a cap on the slots (as in the SQL of op7) blocks coarsen instead.
 
 Ranks and running sums are taken in two steps (inside ranges or buckets, then
 over their totals), so no source passes through one task.
@@ -19,6 +21,8 @@ to fit one task (one row each).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
@@ -28,8 +32,8 @@ from farpoint.llm.scratch import Scratch
 WEIGHTS = (5, 2, 1)         # of the sources in code point order, repeating
 MAX_PASSES = 3              # a source is used at most this often
 MIN_BLOCK_WORDS = 16
-SLOTS = 1 << 20             # a block has total / SLOTS words, MIN_BLOCK_WORDS at least
-RANGE = 4096                # slots ranked together
+SLOTS = 1 << 20             # cap on the slots in the SQL: total / SLOTS words a block, then
+RANGE = 4096                # slots ranked together, at least (the root of their number)
 BUCKET_DOCS = 256           # documents summed together, about
 SEED = "mix"                # of the shuffled order
 CELLS = 4096                # cells of [0, 1) that join points to sources
@@ -72,19 +76,31 @@ def source_targets(sizes: DataFrame) -> DataFrame:
             .select("src", "source", "source_size", "n_docs", "target", "lo", "hi"))
 
 
+def golden_point(slot):
+    """frac(slot / golden ratio) on a grid of 2^-32, shifted within the grid each 2^32 slots.
+
+    No product passes 2^63: GOLDEN is odd, so 2^31 slots advance the point by one half.
+    """
+    low, half = slot.bitwiseAND(F.lit((1 << 31) - 1)), F.shiftright(slot, 31).bitwiseAND(F.lit(1))
+    on_grid = F.pmod(low * GOLDEN + half * (1 << 31), F.lit(1 << 32))
+    turn = F.pmod(F.shiftright(slot, 32) * GOLDEN, F.lit(1 << 32))
+    return (on_grid + F.shiftright(turn, 11) / (1 << 21)) / (1 << 32)
+
+
 def block_schedule(sources: DataFrame, total: int, block_words: int) -> DataFrame:
     """(slot, src, rank, pass, block): the schedule of the mix, one row per slot."""
     spark = sources.sparkSession
     n_slots = -(-total // block_words)
+    slots_together = max(RANGE, math.isqrt(n_slots))
     cells = (sources.filter(F.col("hi") > F.col("lo"))
              .select("src", "source_size", "lo", "hi", F.explode(F.sequence(
                  F.floor(F.col("lo") * CELLS), F.ceil(F.col("hi") * CELLS) - 1)).alias("cell")))
     slots = (spark.range(n_slots).withColumnRenamed("id", "slot")
-             .withColumn("point", F.pmod(F.col("slot") * GOLDEN, F.lit(1 << 32)) / (1 << 32))
+             .withColumn("point", golden_point(F.col("slot")))
              .withColumn("cell", F.floor(F.col("point") * CELLS)))
     s = (slots.join(cells, "cell")
          .filter((F.col("point") >= F.col("lo")) & (F.col("point") < F.col("hi")))
-         .withColumn("range", F.floor(F.col("slot") / RANGE))
+         .withColumn("range", F.floor(F.col("slot") / slots_together))
          .select("slot", "src", "source_size", "range"))
     per_range = s.groupBy("src", "range").agg(F.count(F.lit(1)).alias("n"))
     upto = Win.partitionBy("src").orderBy("range").rowsBetween(Win.unboundedPreceding, -1)
@@ -117,8 +133,11 @@ def shuffled_positions(sizes: DataFrame, n_docs: int) -> DataFrame:
             .withColumn("start", F.col("first") + F.col("before")).drop("h", "before", "first"))
 
 
-def mix_sources(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken): words of each document in the mix."""
+def mix_sources(docs: DataFrame, slots: int | None = None) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken): words of each document in the mix.
+
+    ``slots``: the most slots; beyond, blocks coarsen and small sources miss their targets.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("bigint")
@@ -128,7 +147,7 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     sources = scratch.save(source_targets(sizes))
     got = sources.agg(F.sum("source_size"), F.sum("n_docs")).first()
     total, n_docs = int(got[0] or 0), int(got[1] or 0)
-    block_words = max(MIN_BLOCK_WORDS, -(-total // SLOTS))
+    block_words = max(MIN_BLOCK_WORDS, -(-total // slots)) if slots else MIN_BLOCK_WORDS
     # each slot takes one block; the block's times are joined to the documents' pieces
     times = block_schedule(sources, total, block_words).groupBy("src", "block").agg(
         F.count(F.lit(1)).alias("times"))

@@ -51,7 +51,8 @@ def op6_debruijn_dedup(spark, sf_dir):
 
 
 def op7_mix_sources(spark, sf_dir):
-    return mixing.mix_sources(_docs(spark, sf_dir)).select(
+    # the SQL caps the slots
+    return mixing.mix_sources(_docs(spark, sf_dir), mixing.SLOTS).select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
