@@ -17,8 +17,8 @@ def quality_stage(spark, docs, sf_dir):
 
 
 def near_duplicate_stage(spark, docs, sf_dir):
-    """One document of each group of near copies stays."""
-    return ngram_join.keep_one(docs).select(*COLUMNS)
+    """One row of each group of near copies stays."""
+    return ngram_join.keep_one_row(docs).select(*COLUMNS)
 
 
 def decontamination_stage(spark, docs, sf_dir):

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farpoint.llm import bloom
 from farpoint.llm import words as W
@@ -359,17 +360,22 @@ def _open_pairs(entries: DataFrame, comp: DataFrame, scratch: Scratch) -> DataFr
     return scratch.save(direct.unionByName(members))
 
 
-def jaccard_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
+def _classes(docs: DataFrame, scratch: Scratch,
+             null_ids: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows with their signatures, (class, label, component_id) of the classes).
+
+    ``null_ids``: rows with a null doc_id are joined as well.  Components of different texts may have the same component_id where ids
+    repeat; their labels differ.
+    """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "ngram_join")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = scratch.save(_signatures(texts))
-    some = rows.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    joined = F.lit(True) if null_ids else F.col("doc_id").isNotNull()
+    some = rows.filter((F.col("n_shingles") > 0) & joined)
     classes = scratch.save(some.groupBy("fp").agg(
-        F.min("doc_id").alias("rep"), F.min_by("k", "doc_id").alias("k"),
+        F.min("doc_id").alias("rep"), F.coalesce(F.min_by("k", "doc_id"), F.min("k")).alias("k"),
         F.max("n_shingles").alias("n")))
-    known = texts.filter(F.col("doc_id").isNotNull())
+    known = texts.filter(joined)
     order = spark.sparkContext.broadcast(_frequent(known, scratch))
 
     # index of order 1: n-grams that stand in the prefixes of two sets or more
@@ -389,8 +395,15 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
              .withColumn("label", F.coalesce("label", "fp")))
     first = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     classes_out = scratch.save(named.join(first, "label").select(
-        F.col("fp").alias("class"), "component_id"))
+        F.col("fp").alias("class"), "label", "component_id"))
     scratch.keep_only(rows, classes_out)
+    return rows, classes_out
+
+
+def jaccard_classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
+    rows, classes_out = _classes(docs, Scratch(docs.sparkSession, "ngram_join"))
+    some = rows.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     empty = rows.filter((F.col("n_shingles") == 0) | F.col("doc_id").isNull())
     return (some.join(classes_out, F.col("fp") == F.col("class"))
             .select("doc_id", "n_shingles", "component_id")
@@ -401,7 +414,8 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group of linked documents stays: the one with the smallest doc_id.
 
-    Rows are removed by doc_id; rows with a null doc_id stay.  Whole rows are
+    Rows are removed by doc_id; rows with a null doc_id and copies of a row that
+    stays stay (``keep_one_row`` decides by row).  Whole rows are
     shuffled only where a Bloom filter says that they may have to go.
     """
     scratch = Scratch(docs.sparkSession, "ngram_join")
@@ -412,3 +426,50 @@ def keep_one(docs: DataFrame) -> DataFrame:
     maybe, stays = bloom.split(docs, key, blocks)
     return stays.unionByName(maybe.join(gone.select("gone_id"),
                                         F.col("doc_id") == F.col("gone_id"), "left_anti"))
+
+
+def _with_key(docs: DataFrame) -> DataFrame:
+    """(row, _k): the whole rows of ``docs`` and their row keys."""
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                        F.col("doc_id").cast("bigint").alias("_id"), F.col("text").alias("_text"))
+    schema = T.StructType([whole.schema["row"], T.StructField("_k", T.LongType())])
+
+    def run(batches):
+        for b in batches:
+            keys = [np.zeros(0, U)]
+            for c in W.chunks(b.column(2)):
+                fp = np.array([set_fingerprint(s) for s in shingle_sets(c)], U)
+                ids = b.column(1).slice(c.lo, c.n).fill_null(0)
+                keys.append(row_key(fp, np.asarray(ids, dtype=np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column(0), _i64(np.concatenate(keys))],
+                                             names=["row", "_k"])
+    return whole.mapInArrow(run, schema)
+
+
+def keep_one_row(docs: DataFrame) -> DataFrame:
+    """One row of each group of linked rows stays: the one with the smallest doc_id, null ids last.
+
+    Rows are told apart by doc_id and n-gram set, so ids may repeat; of rows alike
+    in both one stays.  Rows without words all stay.  Whole rows are read again and
+    shuffled only where a Bloom filter of the ids says that they may have to go.
+    """
+    scratch = Scratch(docs.sparkSession, "ngram_join")
+    rows, classes = _classes(docs, scratch, null_ids=True)
+    keys = scratch.save(rows.filter("n_shingles > 0").groupBy("k", "fp").agg(
+        F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n"))
+        .join(classes, F.col("fp") == F.col("class")).select("k", "label", "id", "n"))
+    first = keys.groupBy("label").agg(F.min_by("k", F.struct(
+        F.col("id").isNull(), "id", "k")).alias("k")).select("k")
+    gone = scratch.save(keys.join(first, "k", "left_anti").select("k", "id"))
+    ids = scratch.save(gone.select("id").unionByName(keys.filter("n > 1").select("id")).distinct()
+                       .select(F.xxhash64("id").alias("h")))
+    blocks = bloom.build(ids, "h", ids.count())
+    maybe, stays = bloom.split(docs, F.xxhash64(F.col("doc_id").cast("bigint")), blocks)
+    has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    plain = [f.name for f in docs.schema if isinstance(f.dataType, T.AtomicType)]
+    # rows of one key are copies: one is left of them before anything is shuffled
+    alike = _with_key(maybe.filter(has_word)).groupBy("_k").agg(F.min_by("row", F.struct(
+        F.col("row.doc_id").isNull(), "row.doc_id",
+        F.xxhash64(*[F.col("row")[c] for c in plain]))).alias("row"))
+    left = alike.join(gone.select(F.col("k").alias("_k")), "_k", "left_anti").select("row.*")
+    return stays.unionByName(maybe.filter(~has_word)).unionByName(left)
