@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from farpoint.llm import mixing, quality, rotation, urls
+from farpoint.llm import lexical, mixing, quality, rotation, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _url_sql() -> str:
@@ -158,9 +159,83 @@ LEFT JOIN lim u ON m.lang IS NOT DISTINCT FROM u.lang AND m.source IS NOT DISTIN
 """
 
 
+def _trie_sql() -> str:
+    return f"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS rank
+  FROM conversations WHERE conv_id IS NOT NULL),
+size AS (SELECT conv_id, count(*) AS n, conv_id::VARCHAR AS s FROM t GROUP BY conv_id),
+crc(conv_id, s, i, c) AS (
+  SELECT conv_id, s, 0, 4294967295::BIGINT FROM size
+  UNION ALL
+  SELECT conv_id, s, i + 1, xor(b >> 1, 3988292384 * (b & 1)) FROM (
+    SELECT *, CASE WHEN i % 8 = 0 THEN xor(c, ord(s[i // 8 + 1])::BIGINT) ELSE c END AS b
+    FROM crc WHERE i < 8 * length(s))),
+convs AS (
+  SELECT c.conv_id, c.conv_id - c.conv_id % 20 AS head, xor(c.c, 4294967295) % 4 AS k,
+    least(xor(c.c, 4294967295) % 4, coalesce(h.n, 0)) AS taken
+  FROM crc c LEFT JOIN size h ON h.conv_id = c.conv_id - c.conv_id % 20 WHERE c.i = 8 * length(c.s)),
+turns AS (
+  SELECT t.conv_id, rank - k + taken AS pos, role, text FROM t JOIN convs USING (conv_id) WHERE rank >= k
+  UNION ALL
+  SELECT c.conv_id, rank, role, text FROM convs c JOIN t ON t.conv_id = c.head WHERE rank < k),
+prefix AS (
+  SELECT conv_id, pos + 1 AS depth, list(md5(length(role) || ':' || role || text)) OVER (
+      PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS path,
+    len(regexp_extract_all(text, '{WORD}')) AS words FROM turns
+  UNION ALL SELECT conv_id, 0, [], 0 FROM convs),
+deep AS (SELECT conv_id, max(depth) AS depth FROM prefix GROUP BY conv_id),
+nodes AS (
+  SELECT p.path, p.depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+    sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id)
+      FILTER (p.depth = d.depth), '')) AS ends_sha256
+  FROM prefix p JOIN deep d USING (conv_id) GROUP BY p.path, p.depth),
+kids AS (SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k
+  ON n.path = k.path AND n.depth = k.depth),
+below AS (
+  SELECT path[1:d] AS path, d AS depth, sum((n_convs - 1) * words) AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM full_nodes) GROUP BY 1, 2)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+  b.leaves AS n_leaves, b.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN below b ON n.path = b.path AND n.depth = b.depth
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1] AND p.depth = n.depth - 1
+"""
+
+
+def _search_sql() -> str:
+    x = lexical
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH items AS (
+  SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all({lower}, '{TERM}')) AS terms
+  FROM benchmark),
+asked AS (SELECT q, item_id, unnest(terms) AS term FROM items),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({lower}, '{TERM}') AS terms FROM documents),
+having_terms AS (SELECT *, len(terms) AS n FROM d WHERE len(terms) > 0),
+al AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM having_terms),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM having_terms)
+  WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+wt AS (SELECT term, floor({x.WEIGHT_SCALE} * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), al),
+part AS (SELECT r, term, w * (({x.PART_SCALE} * tf) // ({x.TF_SCALE} * tf + {x.LENGTH_SCALE} *
+    (100 - {x.LENGTH_PART} + ({x.LENGTH_PART} * n * n_docs) // n_terms))) AS gain
+  FROM tf JOIN having_terms USING (r) JOIN wt USING (term), al),
+scored AS (SELECT q, item_id, r, sum(gain)::BIGINT AS score FROM asked JOIN part USING (term) GROUP BY q, item_id, r),
+ranked AS (SELECT q, item_id, doc_id, score, row_number() OVER (
+    PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored JOIN having_terms USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_perspective_rotation": _rotation_sql(),
     "op4_url_filters": _url_sql(),
     "op7_mix_sources": mix_sql(),
     "op10_quality_rules": quality_sql(),
+    "op12_prefix_trie": _trie_sql(),
+    "op13_lexical_search": _search_sql(),
 }

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farpoint.llm import crf, debruijn, decontaminate, mixing, ngram_join, quality, rotation, secrets, suffix_dedup, urls
+from farpoint.llm import (crf, debruijn, decontaminate, lexical, mixing, ngram_join, prefix_trie, quality, rotation,
+                          secrets, suffix_dedup, token_counts, urls)
 from farpoint.sources.tables import load_table
 
 
@@ -70,6 +71,19 @@ def op10_quality_rules(spark, sf_dir):
         "base_failed", "kept")
 
 
+def op11_token_counts(spark, sf_dir):
+    import public_tokenizers
+    return token_counts.count_tokens(_docs(spark, sf_dir), str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(load_table(spark, sf_dir, "conversations"), rebuild=True)
+
+
+def op13_lexical_search(spark, sf_dir):
+    return lexical.search(_docs(spark, sf_dir), load_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -81,4 +95,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_secret_scans": op9_secret_scans,
     "op10_quality_rules": op10_quality_rules,
+    "op11_token_counts": op11_token_counts,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_lexical_search": op13_lexical_search,
 }
