@@ -17,24 +17,31 @@ share then rarely stand in a prefix), the others by three different hashes:
 
 Equal sets are one class from the start.  Where many classes share an n-gram,
 they are first tried against one or two pivots (the classes whose n-grams are
-the most shared, such as the original of near copies).
-The index then makes pairs only between classes not yet known to be connected,
-so a large group of near copies costs few pairs more than it has members.  Links
-inside a known component are not needed for the classes that the join returns.
+the most shared, such as the original of near copies).  Then the components found
+are compared: each class that may still link to a component is tried against a few
+of its members that share the most prefix n-grams with it.  The index makes
+all pairs only between classes that are not connected by then, so a large group
+of near copies costs few pairs more than it has members.  Links inside a known
+component are not needed for the classes that the join returns.
+
+The texts are made into n-grams in three whole passes (signatures with the counts of
+the frequent n-grams, the index twice).  Whole sets are read again only for the rows whose
+hash of (doc_id, text) passes a Bloom filter of the classes under test.
 
 Which n-grams count as frequent changes the speed only, never the result.
 
 Defined cases: null or empty text or no words: empty set, linked with nothing;
 1 to 4 words: the whole sequence is the one n-gram; equal rows are copies of
-one another; rows with a null doc_id are returned with a null component;
-an empty table gives an empty result; only doc_id and text are read.
+one another; rows with a null doc_id link like others, and a component has
+the smallest doc_id of its rows (null if none has one); an empty table gives an empty
+result; only doc_id and text are read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,8 +55,10 @@ N = 5                     # words of an n-gram
 NUM, DEN = 3, 4           # similarity threshold 3/4
 STAR_GROUP = 16           # classes that share an n-gram in a large group
 STAR_PIVOTS = 2           # pivots that a class is tried against in a round
+BRIDGES = 4               # members of a component that a class outside is tried against
 ORDER_SEEDS = (21, 22, 23)
 FLUSH = 1 << 21           # n-grams counted together inside a task
+MIN_FLUSH = 4             # n-grams found less often in FLUSH n-grams are not counted
 MIN_HOT = 32              # an n-gram counted this often is frequent
 MAX_HOT = 1 << 20         # frequent n-grams that are broadcast (8 MB); the most frequent ones
 
@@ -124,57 +133,58 @@ def _lists(parts: list[np.ndarray], dtype) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(off), pa.array(flat.astype(dtype, copy=False)))
 
 
+def _row_key() -> Column:
+    """Fingerprint of (doc_id, text): names a row, and the representative row of a class."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+
+
 def _pass(docs: DataFrame, fn, schema: str) -> DataFrame:
-    """Run ``fn(iterator of (doc_id array, list of sets))`` over (doc_id, text)."""
+    """Run ``fn(iterator of (doc_id array, key array, list of sets))`` over (doc_id, text, k)."""
     def run(batches):
         def sets():
             for b in batches:
                 for c in W.chunks(b.column(1)):
-                    yield b.column(0).slice(c.lo, c.n), shingle_sets(c)
+                    yield b.column(0).slice(c.lo, c.n), b.column(2).slice(c.lo, c.n), shingle_sets(c)
         yield from fn(sets())
-    return docs.mapInArrow(run, schema)
-
-
-def row_key(fp: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Fingerprint of (set, doc_id): names the representative row of a class."""
-    return W.mix(fp ^ W.mix(ids.view(U)))
+    return docs.select("doc_id", "text", "k").mapInArrow(run, schema)
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    names = ["doc_id", "n_shingles", "fp", "k"]
-
-    def fn(it):
-        for ids, sets in it:
-            fp = np.array([set_fingerprint(s) for s in sets], U)
-            num = np.asarray(ids.fill_null(0), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], pa.int64()), _i64(fp),
-                 _i64(row_key(fp, num))], names=names)
-    return _pass(docs, fn, ", ".join(f"{x} bigint" for x in names))
+    """Rows (doc_id, k, n_shingles, fp) of the documents, and rows (h, n) of repeated n-grams."""
+    names = ["doc_id", "k", "n_shingles", "fp", "h", "n"]
 
+    def none(n):
+        return pa.nulls(n, pa.int64())
 
-def _frequent(docs: DataFrame, scratch: Scratch) -> tuple[np.ndarray, ...]:
-    """The order that puts the most frequent n-grams of all documents last."""
     def fn(it):
-        def flush(held):
-            v, n = np.unique(np.concatenate(held), return_counts=True)
-            v, n = v[n > 1], n[n > 1]
-            return pa.RecordBatch.from_arrays([_i64(v), pa.array(n.astype(np.int64))],
-                                              names=["h", "n"])
         held, size, seen = [], 0, set()
-        for _, sets in it:
-            for s in sets:
-                fp = int(set_fingerprint(s))
-                if len(s) and fp not in seen:
-                    seen.add(fp)
+
+        def flush():
+            v, n = np.unique(np.concatenate(held), return_counts=True)
+            v, n = v[n >= MIN_FLUSH], n[n >= MIN_FLUSH]
+            return pa.RecordBatch.from_arrays(
+                [*[none(len(v))] * 4, _i64(v), pa.array(n.astype(np.int64))], names=names)
+        for ids, keys, sets in it:
+            fp = np.array([set_fingerprint(s) for s in sets], U)
+            yield pa.RecordBatch.from_arrays(
+                [ids, keys, pa.array([len(s) for s in sets], pa.int64()), _i64(fp),
+                 none(len(sets)), none(len(sets))], names=names)
+            for x, s in zip(fp.tolist(), sets):
+                if len(s) and x not in seen:
+                    seen.add(x)
                     held.append(s)
                     size += len(s)
             if size >= FLUSH:
-                yield flush(held)
+                yield flush()
                 held, size, seen = [], 0, set()
         if held:
-            yield flush(held)
-    counts = scratch.save(_pass(docs, fn, "h bigint, n bigint").groupBy("h").agg(
+            yield flush()
+    return _pass(docs, fn, ", ".join(f"{x} bigint" for x in names))
+
+
+def _frequent(found: DataFrame, scratch: Scratch) -> tuple[np.ndarray, ...]:
+    """The order that puts the most frequent n-grams of all documents last."""
+    counts = scratch.save(found.filter("h is not null").groupBy("h").agg(
         F.sum("n").alias("n")).filter(F.col("n") >= MIN_HOT))
     # the least power of two at or above MIN_HOT that leaves MAX_HOT n-grams at most
     level = {int(r["k"]): r["c"] for r in counts.groupBy(F.floor(F.log2("n")).alias("k")).agg(
@@ -198,7 +208,7 @@ def _prefix_index(docs: DataFrame, order, live=None) -> DataFrame:
     """
     def fn(it):
         seen: set[int] = set()
-        for _, sets in it:
+        for _, _, sets in it:
             hs, fps = [], []
             for s in sets:
                 fp = set_fingerprint(s)
@@ -217,18 +227,19 @@ def _prefix_index(docs: DataFrame, order, live=None) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, order, scratch: Scratch) -> DataFrame:
-    """(fp, n, p2, p3, s) of the classes ``wanted`` (k): filters of orders 2 and 3, whole set."""
-    spark = docs.sparkSession
-    blocks = spark.sparkContext.broadcast(bloom.build(wanted, "k", wanted.count()))
+    """(fp, n, p2, p3, s) of the classes ``wanted`` (k): filters of orders 2 and 3, whole set.
+
+    Only rows that pass the Bloom filter of the keys reach Python; false hits do no harm.
+    """
+    maybe, _ = bloom.split(docs, F.col("k"), bloom.build(wanted, "k", wanted.count()))
 
     def fn(it):
         seen: set[int] = set()
-        for ids, sets in it:
-            num = np.asarray(ids.fill_null(0), dtype=np.int64)
+        for _, _, sets in it:
             fp = np.array([set_fingerprint(s) for s in sets], U)
             ok = []
-            for i in np.flatnonzero(bloom.hits(blocks.value, row_key(fp, num))):
-                if int(fp[i]) not in seen and len(sets[i]):
+            for i, s in enumerate(sets):
+                if int(fp[i]) not in seen and len(s):
                     seen.add(int(fp[i]))
                     ok.append(i)
             for j in range(0, len(ok), 256):
@@ -240,20 +251,20 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, order, scratch: Scratch) -> Dat
                       for k in (1, 2)],
                     _lists([s.view(np.int64) for s in keep], np.int64)],
                     names=["fp", "n", "p2", "p3", "s"])
-    return scratch.save(_pass(docs, fn, "fp bigint, n bigint, p2 array<bigint>, p3 array<bigint>, "
-                                        "s array<bigint>"))
+    return scratch.save(_pass(maybe, fn, "fp bigint, n bigint, p2 array<bigint>, p3 array<bigint>, "
+                                         "s array<bigint>"))
 
 
 def _side(t: DataFrame, key: str, cols: list[str]) -> DataFrame:
     return t.select(F.col("fp").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in cols])
 
 
-def _rest(n) -> F.Column:
+def _rest(n) -> Column:
     """n-grams of a set of n beyond its prefix, as a column."""
     return F.ceil(n * NUM / DEN).cast("bigint") - 1
 
 
-def _reaches(shared, n_a, n_b) -> F.Column:
+def _reaches(shared, n_a, n_b) -> Column:
     """Whether ``shared`` prefix n-grams leave the threshold within reach.
 
     Of the two prefixes, take the one that ends first in the order: whatever
@@ -314,147 +325,130 @@ def _star_pairs(entries: DataFrame, scratch: Scratch) -> DataFrame:
                         .filter(F.col("r") <= STAR_PIVOTS).select("a", "b"))
 
 
-def _open_pairs(entries: DataFrame, comp: DataFrame, scratch: Scratch) -> DataFrame:
-    """Candidate pairs (a, b) of classes in different components, by the filter of order 1.
+def _component_pairs(entries: DataFrame, comp: DataFrame, scratch: Scratch):
+    """(entries with their component c, pairs of two lone classes, pairs (c_a, c_b) of the others).
 
-    Components are compared first: the n-grams that two of them share bound
-    what any two of their members share.  For components of one class each
-    that is the pair's own count; only the others are taken apart.
+    The n-grams that two components share bound what any two of their members
+    share.  For components of one class each that is the pair's own count.  Of the others
+    c_b is the one with linked classes, or the larger label if both have.
     """
     known = scratch.save(entries.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "h", "fp", "n", F.coalesce("label", "fp").alias("c")))
+        "h", "fp", "n", F.coalesce("label", "fp").alias("c"), F.col("label").isNotNull().alias("linked")))
     groups = scratch.save(known.groupBy("h", "c").agg(
-        F.min("n").alias("lo"), F.max("n").alias("hi")))
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("linked").alias("linked")))
     mixed = scratch.save(groups.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
                          .filter("k > 1").select("h"))
     groups = scratch.save(groups.join(mixed, "h"))
-    a, b = (groups.select("h", *[F.col(x).alias(f"{x}_{y}") for x in ("c", "lo", "hi")])
+    a, b = (groups.select("h", *[F.col(x).alias(f"{x}_{y}") for x in ("c", "lo", "hi", "linked")])
             for y in "ab")
     # some sizes within the ranges must be within the threshold
     sized = (DEN * F.col("hi_a") >= NUM * F.col("lo_b")) & (DEN * F.col("hi_b") >= NUM * F.col("lo_a"))
+    # each pair once: the lone class first, else the smaller label
+    once = (F.struct("linked_a", "c_a") < F.struct("linked_b", "c_b"))
     shared = F.col("shared")
-    both = scratch.save(a.join(b, "h").filter((F.col("c_a") < F.col("c_b")) & sized)
-                        .groupBy("c_a", "c_b").agg(
+    both = scratch.save(a.join(b, "h").filter(once & sized).groupBy("c_a", "c_b").agg(
         F.count(F.lit(1)).alias("shared"), F.min("lo_a").alias("lo_a"), F.max("hi_a").alias("hi_a"),
-        F.min("lo_b").alias("lo_b"), F.max("hi_b").alias("hi_b"))
+        F.min("lo_b").alias("lo_b"), F.max("hi_b").alias("hi_b"), F.max("linked_b").alias("linked"))
         # (NUM + DEN) * (shared + rest) >= NUM * (n_a + n_b) for the best sizes, rest <= 3/4 n
         .filter((28 * shared >= 12 * F.col("lo_a") - 9 * F.col("hi_b"))
                 | (28 * shared >= 12 * F.col("lo_b") - 9 * F.col("hi_a"))))
     scratch.drop(groups, mixed)
-    # a component of one class is named by it unless the class is linked: then it has two or more
-    linked = comp.select(F.col("label").alias("c")).distinct()
-    is_a, is_b = linked.withColumnRenamed("c", "c_a"), linked.withColumnRenamed("c", "c_b")
-    flagged = scratch.save(both.join(is_a.withColumn("x", F.lit(True)), "c_a", "left")
-                           .join(is_b.withColumn("y", F.lit(True)), "c_b", "left"))
-    single = F.col("x").isNull() & F.col("y").isNull()
-    direct = (flagged.filter(single).filter(_reaches(shared, F.col("lo_a"), F.col("lo_b")))
+    direct = (both.filter(~F.col("linked")).filter(_reaches(shared, F.col("lo_a"), F.col("lo_b")))
               .select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
-    wide = flagged.filter(~single).select("c_a", "c_b")
+    return known, direct, both.filter("linked").select("c_a", "c_b")
+
+
+def _bridges(known: DataFrame, wide: DataFrame) -> DataFrame:
+    """(a, b): the classes of c_a with the members of c_b that are most likely to link to them.
+
+    For every n-gram of c_b a few members stand, chosen by hashes of the member, so a member
+    stands for many of its n-grams; per class a those that share the most n-grams with it remain.
+    """
+    stand = known.filter("linked").groupBy("h", F.col("c").alias("c_b")).agg(F.array_distinct(F.array(*[
+        F.min_by("fp", F.xxhash64("fp", F.lit(k))) for k in range(BRIDGES)])).alias("bs"))
+    outside = known.select("h", F.col("fp").alias("a"), F.col("c").alias("c_a"))
+    tried = (outside.join(wide, "c_a").join(stand, ["h", "c_b"])
+             .select("a", F.explode("bs").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
+    best = Win.partitionBy("a").orderBy(F.desc("shared"), "b")
+    return tried.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= BRIDGES).select("a", "b")
+
+
+def _member_pairs(known: DataFrame, wide: DataFrame, comp: DataFrame) -> DataFrame:
+    """(a, b): the pairs of classes of ``wide`` components not connected by now, by the filter of order 1."""
+    def now(c):
+        return comp.select(F.col("node").alias(c), F.col("label").alias(f"{c}_now"))
+    left_over = (wide.join(now("c_a"), "c_a", "left").join(now("c_b"), "c_b", "left")
+                 .filter(F.coalesce("c_a_now", "c_a") != F.coalesce("c_b_now", "c_b")).select("c_a", "c_b"))
     left = known.select("h", F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
     right = known.select("h", F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-    members = (left.join(wide, "c_a").join(right, ["h", "c_b"])
-               .filter(DEN * F.least("n_a", "n_b") >= NUM * F.greatest("n_a", "n_b"))
-               .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"),
-                                      F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
-               .filter(_reaches(shared, F.col("n_a"), F.col("n_b"))).select("a", "b"))
-    return scratch.save(direct.unionByName(members))
+    return (left.join(left_over, "c_a").join(right, ["h", "c_b"])
+            .filter(DEN * F.least("n_a", "n_b") >= NUM * F.greatest("n_a", "n_b"))
+            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"),
+                                   F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+            .filter(_reaches(F.col("shared"), F.col("n_a"), F.col("n_b"))).select("a", "b"))
 
 
-def _classes(docs: DataFrame, scratch: Scratch,
-             null_ids: bool = False) -> tuple[DataFrame, DataFrame]:
+def _classes(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(rows with their signatures, (class, label, component_id) of the classes).
 
-    ``null_ids``: rows with a null doc_id are joined as well.  Components of different texts may have the same component_id where ids
-    repeat; their labels differ.
+    Components of different texts may have the same component_id where ids repeat; their
+    labels differ.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = scratch.save(_signatures(texts))
-    joined = F.lit(True) if null_ids else F.col("doc_id").isNotNull()
-    some = rows.filter((F.col("n_shingles") > 0) & joined)
-    classes = scratch.save(some.groupBy("fp").agg(
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                        F.col("text").cast("string").alias("text")).withColumn("k", _row_key())
+    found = scratch.save(_signatures(texts))
+    rows = found.filter("fp is not null").select("doc_id", "k", "n_shingles", "fp")
+    classes = scratch.save(rows.filter("n_shingles > 0").groupBy("fp").agg(
         F.min("doc_id").alias("rep"), F.coalesce(F.min_by("k", "doc_id"), F.min("k")).alias("k"),
         F.max("n_shingles").alias("n")))
-    known = texts.filter(joined)
-    order = spark.sparkContext.broadcast(_frequent(known, scratch))
+    order = spark.sparkContext.broadcast(_frequent(found, scratch))
 
     # index of order 1: n-grams that stand in the prefixes of two sets or more
-    live = scratch.save(_prefix_index(known, order).groupBy("h").agg(
+    live = scratch.save(_prefix_index(texts, order).groupBy("h").agg(
         F.min("fp").alias("lo"), F.max("fp").alias("hi"), F.count(F.lit(1)).alias("d"))
         .filter("lo < hi").select("h", "d"))
     possible = spark.sparkContext.broadcast(bloom.build(live, "h", live.count()))
-    entries = scratch.save(_prefix_index(known, order, possible).distinct()
+    entries = scratch.save(_prefix_index(texts, order, possible).distinct()
                            .join(live, "h").join(classes.select("fp", "n"), "fp"))
-    links = _try_pairs(known, _star_pairs(entries, scratch), classes, order, scratch)
+    links = _try_pairs(texts, _star_pairs(entries, scratch), classes, order, scratch)
+    known, direct, wide = _component_pairs(entries, connected_components(links, scratch), scratch)
+    near = scratch.save(direct.unionByName(_bridges(known, wide)).distinct())
+    links = scratch.save(links.unionByName(_try_pairs(texts, near, classes, order, scratch)))
     comp = connected_components(links, scratch)
-    pairs = _open_pairs(entries, comp, scratch)
-    more = _try_pairs(known, pairs, classes, order, scratch)
-    comp = connected_components(links.unionByName(more), scratch)
+    rest = scratch.save(_member_pairs(known, wide, comp).join(near, ["a", "b"], "left_anti"))
+    if rest.limit(1).count():
+        links = links.unionByName(_try_pairs(texts, rest, classes, order, scratch))
+        comp = connected_components(links, scratch)
 
     named = (classes.select("fp", "rep").join(comp.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("label", F.coalesce("label", "fp")))
     first = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     classes_out = scratch.save(named.join(first, "label").select(
         F.col("fp").alias("class"), "label", "component_id"))
-    scratch.keep_only(rows, classes_out)
+    scratch.keep_only(found, classes_out)
     return rows, classes_out
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     rows, classes_out = _classes(docs, Scratch(docs.sparkSession, "ngram_join"))
-    some = rows.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    empty = rows.filter((F.col("n_shingles") == 0) | F.col("doc_id").isNull())
+    some, empty = rows.filter("n_shingles > 0"), rows.filter("n_shingles = 0")
     return (some.join(classes_out, F.col("fp") == F.col("class"))
             .select("doc_id", "n_shingles", "component_id")
             .unionByName(empty.select("doc_id", "n_shingles",
                                       F.col("doc_id").alias("component_id"))))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group of linked documents stays: the one with the smallest doc_id.
-
-    Rows are removed by doc_id; rows with a null doc_id and copies of a row that
-    stays stay (``keep_one_row`` decides by row).  Whole rows are
-    shuffled only where a Bloom filter says that they may have to go.
-    """
-    scratch = Scratch(docs.sparkSession, "ngram_join")
-    gone = scratch.save(jaccard_classes(docs).filter("component_id <> doc_id").select(
-        F.col("doc_id").alias("gone_id")).distinct().withColumn("h", F.xxhash64("gone_id")))
-    blocks = bloom.build(gone, "h", gone.count())
-    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("bigint")))
-    maybe, stays = bloom.split(docs, key, blocks)
-    return stays.unionByName(maybe.join(gone.select("gone_id"),
-                                        F.col("doc_id") == F.col("gone_id"), "left_anti"))
-
-
-def _with_key(docs: DataFrame) -> DataFrame:
-    """(row, _k): the whole rows of ``docs`` and their row keys."""
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-                        F.col("doc_id").cast("bigint").alias("_id"), F.col("text").alias("_text"))
-    schema = T.StructType([whole.schema["row"], T.StructField("_k", T.LongType())])
-
-    def run(batches):
-        for b in batches:
-            keys = [np.zeros(0, U)]
-            for c in W.chunks(b.column(2)):
-                fp = np.array([set_fingerprint(s) for s in shingle_sets(c)], U)
-                ids = b.column(1).slice(c.lo, c.n).fill_null(0)
-                keys.append(row_key(fp, np.asarray(ids, dtype=np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), _i64(np.concatenate(keys))],
-                                             names=["row", "_k"])
-    return whole.mapInArrow(run, schema)
-
-
 def keep_one_row(docs: DataFrame) -> DataFrame:
     """One row of each group of linked rows stays: the one with the smallest doc_id, null ids last.
 
-    Rows are told apart by doc_id and n-gram set, so ids may repeat; of rows alike
+    Rows are told apart by doc_id and text, so ids may repeat; of rows alike
     in both one stays.  Rows without words all stay.  Whole rows are read again and
     shuffled only where a Bloom filter of the ids says that they may have to go.
     """
     scratch = Scratch(docs.sparkSession, "ngram_join")
-    rows, classes = _classes(docs, scratch, null_ids=True)
+    rows, classes = _classes(docs, scratch)
     keys = scratch.save(rows.filter("n_shingles > 0").groupBy("k", "fp").agg(
         F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n"))
         .join(classes, F.col("fp") == F.col("class")).select("k", "label", "id", "n"))
@@ -468,7 +462,9 @@ def keep_one_row(docs: DataFrame) -> DataFrame:
     has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     plain = [f.name for f in docs.schema if isinstance(f.dataType, T.AtomicType)]
     # rows of one key are copies: one is left of them before anything is shuffled
-    alike = _with_key(maybe.filter(has_word)).groupBy("_k").agg(F.min_by("row", F.struct(
+    whole = maybe.filter(has_word).select(
+        F.struct(*[maybe[c] for c in maybe.columns]).alias("row"), _row_key().alias("_k"))
+    alike = whole.groupBy("_k").agg(F.min_by("row", F.struct(
         F.col("row.doc_id").isNull(), "row.doc_id",
         F.xxhash64(*[F.col("row")[c] for c in plain]))).alias("row"))
     left = alike.join(gone.select(F.col("k").alias("_k")), "_k", "left_anti").select("row.*")

@@ -56,12 +56,37 @@ def test_jaccard_repeated_rows_null_ids_and_empty_table(spark):
     rows = documents()
     got = ngram_join.jaccard_classes(frame(spark, rows)).collect()
     assert len(got) == len(rows)
-    assert [r for r in got if r["doc_id"] is None][0]["component_id"] is None
+    # the row without id is a copy of the first prose text
+    first = next(r[0] for r in rows if r[1] == rows[-1][1])
+    assert [r for r in got if r["doc_id"] is None][0]["component_id"] == first
     assert ngram_join.jaccard_classes(frame(spark, [])).count() == 0
-    kept = ngram_join.keep_one(frame(spark, rows))
-    assert kept.columns == frame(spark, []).columns
-    gone = {r["doc_id"] for r in got if r["component_id"] != r["doc_id"]} - {None}
-    assert gone and {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows} - gone
+
+
+def test_jaccard_bridge_through_a_null_id(spark):
+    rng = random.Random(4)
+    w = prose(rng, 100, 10_000).split(" ")
+    far = w[:88] + ["x%d" % i for i in range(24)]
+    mid = w[:88] + ["x%d" % i for i in range(12)]
+    rows = [(1, " ".join(w), "en", "a"), (None, " ".join(mid), "en", "a"), (2, " ".join(far), "en", "a")]
+    assert [n for _, _, n in jaccard_components([(1, rows[0][1]), (2, rows[2][1])])] == [1, 2]
+    got = ngram_join.jaccard_classes(frame(spark, rows + [(None, "alone", "en", "a")])).collect()
+    assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=repr) == [
+        (1, 1), (2, 1), (None, 1), (None, None)]
+
+
+def test_jaccard_group_of_many_near_copies(spark):
+    # copies with many edits each: about half of the pairs link, so pivots alone don't connect them
+    rng = random.Random(12)
+    base = prose(rng, 150, 10_000).split(" ")
+    rows = []
+    for k in range(120):
+        w = list(base)
+        for i in rng.sample(range(150), 3 + k % 5):
+            w[i] = "edit%d" % rng.randrange(10_000)
+        rows.append((k, " ".join(w), "en", "a"))
+    rows += [(1000 + k, prose(rng, 60, 10_000), "en", "a") for k in range(60)]
+    got = ngram_join.jaccard_classes(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == jaccard_components(rows)
 
 
 def test_components_of_a_long_chain(spark):
