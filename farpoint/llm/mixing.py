@@ -6,11 +6,12 @@ source are ranked; slot rank r stands for block ``r mod n_blocks`` of that
 source in pass ``r div n_blocks``.  Blocks hold ``block_words`` consecutive
 words of the source's documents in hash-shuffled order, so all blocks of a
 source weigh the same (the last one excepted).  The slots grow with the input and
-a block keeps MIN_BLOCK_WORDS, so small sources come near their targets in tables of any
-size; with a cap on the slots (as in the SQL of op7) blocks coarsen instead.
+a block keeps BLOCK_WORDS, so small sources come near their targets in tables of any
+size.
 
-Ranks and running sums are taken in two steps (inside ranges or buckets, then
-over their totals), so no source passes through one task.
+Ranks and running sums are taken in two steps (inside ranges, then over their totals),
+so no source passes through one task.  The ranges of the documents are range partitions by
+(source, hash, doc_id, size) and the place in the scan, so equal and null ids are spread as well.
 
 Defined cases: null text = size 0, taken 0; null source is a source of its own,
 last in order; repeated rows are separate documents; equal hashes are ordered
@@ -31,10 +32,8 @@ from farpoint.llm.scratch import Scratch
 
 WEIGHTS = (5, 2, 1)         # of the sources in code point order, repeating
 MAX_PASSES = 3              # a source is used at most this often
-MIN_BLOCK_WORDS = 16
-SLOTS = 1 << 20             # cap on the slots in the SQL: total / SLOTS words a block, then
+BLOCK_WORDS = 16
 RANGE = 4096                # slots ranked together, at least (the root of their number)
-BUCKET_DOCS = 256           # documents summed together, about
 SEED = "mix"                # of the shuffled order
 CELLS = 4096                # cells of [0, 1) that join points to sources
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,8 +47,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     weight of all sources with a larger such cap; sorted by cap / weight these
     come first, so one running sum finds the fixed point of the resharing.
     """
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"),
-                                      F.count(F.lit(1)).alias("n_docs"))
+    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     order = Win.orderBy(F.col("source").asc_nulls_last())
     w = F.array(*[F.lit(float(x)) for x in WEIGHTS])
     per = (per.withColumn("src", (F.row_number().over(order) - 1).cast("bigint"))
@@ -73,7 +71,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     share = F.when(t_all > 0, F.sum("target").over(upto) / t_all).otherwise(F.lit(0.0))
     per = per.withColumn("hi", share)
     return (per.withColumn("lo", F.coalesce(F.lag("hi").over(Win.orderBy("src")), F.lit(0.0)))
-            .select("src", "source", "source_size", "n_docs", "target", "lo", "hi"))
+            .select("src", "source", "source_size", "target", "lo", "hi"))
 
 
 def golden_point(slot):
@@ -87,7 +85,7 @@ def golden_point(slot):
     return (on_grid + F.shiftright(turn, 11) / (1 << 21)) / (1 << 32)
 
 
-def block_schedule(sources: DataFrame, total: int, block_words: int) -> DataFrame:
+def block_schedule(sources: DataFrame, total: int, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(slot, src, rank, pass, block): the schedule of the mix, one row per slot."""
     spark = sources.sparkSession
     n_slots = -(-total // block_words)
@@ -115,29 +113,25 @@ def block_schedule(sources: DataFrame, total: int, block_words: int) -> DataFram
             .select("slot", "src", "rank", "pass", "block"))
 
 
-def shuffled_positions(sizes: DataFrame, n_docs: int) -> DataFrame:
+def shuffled_positions(sizes: DataFrame, scratch: Scratch) -> DataFrame:
     """Adds ``start``: the first word of the document in its source's shuffled order."""
-    n_buckets = n_docs // BUCKET_DOCS + 1
     h = F.md5(F.concat_ws("/", F.lit(SEED), F.col("doc_id").cast("string")))
-    # buckets follow the order of the hash: first 32 bits, scaled
-    first32 = F.conv(F.substring("h", 1, 8), 16, 10).cast("bigint")
-    d = sizes.withColumn("h", h).withColumn(
-        "bucket", F.shiftright(first32 * n_buckets, 32))
-    sums = d.groupBy("src", "bucket").agg(F.sum("size").alias("s"))
-    upto = Win.partitionBy("src").orderBy("bucket").rowsBetween(Win.unboundedPreceding, -1)
+    order = ["src", "h", "doc_id", "size", "place"]
+    d = scratch.save(sizes.withColumn("h", h).withColumn("place", F.monotonically_increasing_id())
+                     .repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    sums = d.groupBy("src", "range").agg(F.sum("size").alias("s"))
+    upto = Win.partitionBy("src").orderBy("range").rowsBetween(Win.unboundedPreceding, -1)
     first = sums.withColumn("first", F.coalesce(F.sum("s").over(upto), F.lit(0))).drop("s")
-    inside = (Win.partitionBy("src", "bucket").orderBy("h", "doc_id", "size")
+    inside = (Win.partitionBy("src", "range").orderBy("h", "doc_id", "size", "place")
               .rowsBetween(Win.unboundedPreceding, -1))
     return (d.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-            .join(first, ["src", "bucket"])
-            .withColumn("start", F.col("first") + F.col("before")).drop("h", "before", "first"))
-
+            .join(first, ["src", "range"])
+            .withColumn("start", F.col("first") + F.col("before"))
+            .drop("h", "place", "range", "before", "first"))
 
-def mix_sources(docs: DataFrame, slots: int | None = None) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken): words of each document in the mix.
 
-    ``slots``: the most slots; beyond, blocks coarsen and small sources miss their targets.
-    """
+def mix_sources(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken): words of each document in the mix."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("bigint")
@@ -145,24 +139,22 @@ def mix_sources(docs: DataFrame, slots: int | None = None) -> DataFrame:
                                      F.col("source").cast("string").alias("source"),
                                      size.alias("size")))
     sources = scratch.save(source_targets(sizes))
-    got = sources.agg(F.sum("source_size"), F.sum("n_docs")).first()
-    total, n_docs = int(got[0] or 0), int(got[1] or 0)
-    block_words = max(MIN_BLOCK_WORDS, -(-total // slots)) if slots else MIN_BLOCK_WORDS
+    total = int(sources.agg(F.sum("source_size")).first()[0] or 0)
     # each slot takes one block; the block's times are joined to the documents' pieces
-    times = block_schedule(sources, total, block_words).groupBy("src", "block").agg(
+    times = block_schedule(sources, total).groupBy("src", "block").agg(
         F.count(F.lit(1)).alias("times"))
     keyed = sizes.alias("d").join(sources.alias("s"),
                                   F.col("d.source").eqNullSafe(F.col("s.source"))).select(
         "doc_id", F.col("d.source").alias("source"), "size", "src", "source_size", "target")
-    placed = scratch.save(shuffled_positions(keyed, n_docs))
+    placed = scratch.save(shuffled_positions(keyed, scratch))
     end = F.col("start") + F.col("size")
     pieces = (placed.filter(F.col("size") > 0)
               .select("src", "start", "size", F.explode(F.sequence(
-                  F.floor(F.col("start") / block_words),
-                  F.floor((end - 1) / block_words))).alias("block"))
+                  F.floor(F.col("start") / BLOCK_WORDS),
+                  F.floor((end - 1) / BLOCK_WORDS))).alias("block"))
               .withColumn("words", F.least(F.col("start") + F.col("size"),
-                                           (F.col("block") + 1) * block_words)
-                          - F.greatest(F.col("start"), F.col("block") * block_words)))
+                                           (F.col("block") + 1) * BLOCK_WORDS)
+                          - F.greatest(F.col("start"), F.col("block") * BLOCK_WORDS)))
     taken = (pieces.join(times, ["src", "block"])
              .groupBy("src", "start").agg(F.sum(F.col("words") * F.col("times")).alias("taken")))
     # (src, start) names one document with words; those without words take nothing

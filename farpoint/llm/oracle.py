@@ -76,7 +76,7 @@ tg AS (SELECT *, CASE WHEN stopped THEN cap ELSE w * (s_all
 sh AS (SELECT src, source, source_size, target, s_all::BIGINT AS total,
          sum(target) OVER (ORDER BY src) / nullif(sum(target) OVER (), 0) AS hi FROM tg),
 src AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY src), 0) AS lo,
-          greatest({m.MIN_BLOCK_WORDS}, (total + {m.SLOTS - 1}) // {m.SLOTS}) AS bw FROM sh),
+          {m.BLOCK_WORDS}::BIGINT AS bw FROM sh),
 slots AS (SELECT i AS slot, ((i * {m.GOLDEN}) % 4294967296) / 4294967296 AS point
   FROM (SELECT unnest(range((total + bw - 1) // bw)) AS i
         FROM (SELECT max(total) AS total, max(bw) AS bw FROM src))),
