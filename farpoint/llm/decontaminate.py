@@ -4,15 +4,19 @@ Benchmark items are normalised (A-Z lower-cased, runs of white space as one
 space) and cut into disjoint pieces of PIECE to 2 * PIECE - 1 bytes (shorter items
 are one piece), and into pieces of PIECE bytes that start every STEP bytes, the
 last one at the item's end: every excerpt of PIECE + STEP - 1 bytes holds one of
-these.  The first kind has larger budgets of edits, the second finds excerpts.  A piece of m bytes may differ from a document's region by
+these.  The first kind has larger budgets of edits, the second finds excerpts.
+A piece of m bytes may differ from a document's region by
 e = floor(EDIT_RATE * m) edits.  By the q-gram lemma such a region shares
 m + 1 - q * (e + 1) q-grams or more with the piece, all on diagonals that
 differ by e at most.  Every document's shared q-grams are counted in
 overlapping diagonal bands (2 (e + 1) wide, a new one every e + 1), so one band
 holds them all; bands that reach the bound are verified by a banded alignment.
 
-The pieces are worked off in slices of SLICE_BYTES at most; one slice is
-broadcast at a time, each is compared with all documents.
+The distinct pieces are worked off in slices of about SLICE_BYTES; one slice is
+broadcast at a time, each is compared with all documents.  Pieces that many items
+have in common are compared once; Spark joins the items to the matches.  The
+shared q-grams of a chunk of documents are counted HITS at a time, so pieces
+that are alike (near copies of one item) cost no more memory.
 
 Defined cases: null or empty texts match nothing; items of fewer than Q bytes
 after normalising match nothing (no q-gram); repeated rows are judged each;
@@ -39,8 +43,7 @@ PIECE = 100
 STEP = 50
 SLICE_BYTES = 4 << 20
 TABLE_BITS = 21
-
-MATCH_SCHEMA = "doc_id bigint, item_id bigint, piece int, start bigint, end bigint, edits int"
+HITS = 1 << 21              # shared q-grams that are counted together
 
 
 def normalise(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,10 +87,10 @@ def qgram_codes(norm: np.ndarray) -> np.ndarray:
     return W.mix(eight[:n] * W.U(0x9E3779B97F4A7C15) ^ (eight[4:n + 4] * W.U(0xC2B2AE3D27D4EB4F)))
 
 
-def build_index(pieces: list[tuple[int, int, bytes]]) -> dict:
-    """The q-gram postings of the pieces (item_id, piece, bytes) of one slice."""
+def build_index(pieces: list[bytes]) -> dict:
+    """The q-gram postings of the distinct pieces of one slice."""
     code, owner, pos = [], [], []
-    for i, (_, _, raw) in enumerate(pieces):
+    for i, raw in enumerate(pieces):
         c = qgram_codes(np.frombuffer(raw, np.uint8))
         code.append(c)
         owner.append(np.full(len(c), i, np.int64))
@@ -98,7 +101,7 @@ def build_index(pieces: list[tuple[int, int, bytes]]) -> dict:
     grams, first = np.unique(code, return_index=True)
     table = np.zeros(1 << TABLE_BITS, bool)
     table[(grams >> W.U(64 - TABLE_BITS)).astype(np.int64)] = True
-    m = np.array([len(p[2]) for p in pieces], np.int64)
+    m = np.array([len(p) for p in pieces], np.int64)
     e = np.array([edit_budget(x) for x in m], np.int64)
     return {"grams": grams, "first": np.append(first, len(code)), "table": table,
             "owner": np.concatenate(owner)[order] if len(code) else np.zeros(0, np.int64),
@@ -148,6 +151,35 @@ def align(piece: bytes, text: np.ndarray, diag: int, e: int) -> tuple[int, int,
     return edits, end - (m + int(np.argmin(r)) - e), end
 
 
+def band_counts(ix: dict, p: np.ndarray, g: np.ndarray, doc: np.ndarray, lowest: int,
+                bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, piece and band as one key, shared q-grams) of the hits: q-gram g at position p.
+
+    At most HITS pairs of a hit and a piece (or those of one hit) are held at once.
+    """
+    n = ix["first"][g + 1] - ix["first"][g]
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    cut = np.append(0, np.cumsum(n))
+    lo = 0
+    while lo < len(p):
+        hi = max(lo + 1, int(np.searchsorted(cut, cut[lo] + HITS, "right")) - 1)
+        k = n[lo:hi]
+        which = lo + np.repeat(np.arange(hi - lo), k)
+        post = np.arange(len(which)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(ix["first"][g[lo:hi]], k)
+        owner = ix["owner"][post]
+        band = (p[which] - ix["pos"][post] + lowest) // (ix["e"][owner] + 1)
+        key = (doc[which] * len(ix["m"]) + owner) * bands + band
+        key, count = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        if len(keys):
+            both = np.concatenate([keys, key])
+            key, back = np.unique(both, return_inverse=True)
+            total = np.zeros(len(key), np.int64)
+            np.add.at(total, back, np.concatenate([counts, count]))
+            count = total
+        keys, counts, lo = key, count, hi
+    return keys, counts
+
+
 def chunk_matches(c: W.Chunk, ix: dict) -> list[tuple[int, int, int, int, int]]:
     """(row of the chunk, piece, start, end, edits): best region of each matching piece."""
     norm, at = normalise(c.buf) if len(c.buf) else (c.buf, np.zeros(0, np.int64))
@@ -161,16 +193,9 @@ def chunk_matches(c: W.Chunk, ix: dict) -> list[tuple[int, int, int, int, int]]:
     doc = np.searchsorted(c.off, at[p], "right") - 1
     ok = at[np.minimum(p + Q - 1, len(at) - 1)] < c.off[doc + 1]
     p, g, doc = p[ok], g[ok], doc[ok]
-    n = ix["first"][g + 1] - ix["first"][g]
-    which = np.repeat(np.arange(len(p)), n)
-    post = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ix["first"][g], n)
-    owner = ix["owner"][post]
-    step = ix["e"][owner] + 1
     lowest = int(ix["m"].max())
-    band = (p[which] - ix["pos"][post] + lowest) // step
     bands = len(norm) + lowest + 2
-    key = (doc[which] * len(ix["m"]) + owner) * bands + band
-    key, count = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+    key, count = band_counts(ix, p, g, doc, lowest, bands)
     owner = key // bands % len(ix["m"])
     full = count >= ix["need"][owner]
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
@@ -178,7 +203,7 @@ def chunk_matches(c: W.Chunk, ix: dict) -> list[tuple[int, int, int, int, int]]:
         d, b = int(k // bands // len(ix["m"])), int(k % bands)
         a, z = np.searchsorted(at, c.off[d]), np.searchsorted(at, c.off[d + 1])
         e = int(ix["e"][o])
-        got = align(ix["pieces"][o][2], norm[a:z], b * (e + 1) - lowest - a, e)
+        got = align(ix["pieces"][o], norm[a:z], b * (e + 1) - lowest - a, e)
         if got and got < best.get((d, int(o)), (1 << 30, 0, 0)):
             best[d, int(o)] = got
     return [(d, o, int(at[np.searchsorted(at, c.off[d]) + s] - c.off[d]),
@@ -186,8 +211,8 @@ def chunk_matches(c: W.Chunk, ix: dict) -> list[tuple[int, int, int, int, int]]:
             for (d, o), (ed, s, t) in sorted(best.items())]
 
 
-def _slices(benchmark: DataFrame) -> Iterator[dict]:
-    """Indexes of the benchmark's pieces, each of SLICE_BYTES of text or about."""
+def benchmark_pieces(benchmark: DataFrame) -> DataFrame:
+    """(item_id, piece, raw, piece_id) of every piece of every item, as a written table."""
     def run(batches):
         for b in batches:
             out = [(i.as_py(), k, p) for i, t in zip(b.column(0), b.column(1)) if t.is_valid
@@ -195,23 +220,30 @@ def _slices(benchmark: DataFrame) -> Iterator[dict]:
             yield pa.RecordBatch.from_arrays([
                 pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()),
                 pa.array([x[2] for x in out], pa.binary())], names=["item_id", "piece", "raw"])
-    pieces = Scratch(benchmark.sparkSession, "benchmark").save(benchmark.select(
+    return Scratch(benchmark.sparkSession, "benchmark").save(benchmark.select(
         F.col("item_id").cast("bigint").alias("item_id"), "text")
-        .mapInArrow(run, "item_id bigint, piece int, raw binary"))
-    size = pieces.agg(F.sum(F.length("raw"))).first()[0] or 0
+        .mapInArrow(run, "item_id bigint, piece int, raw binary")
+        .withColumn("piece_id", F.xxhash64("raw")))
+
+
+def _slices(pieces: DataFrame) -> Iterator[tuple[dict, np.ndarray]]:
+    """(index, piece_id) of the distinct pieces, each of SLICE_BYTES of text or about."""
+    distinct = pieces.select("raw", "piece_id").distinct()
+    size = distinct.agg(F.sum(F.length("raw"))).first()[0] or 0
     n = max(1, -(-size // SLICE_BYTES))
     for i in range(n):
-        part = pieces if n == 1 else pieces.filter(F.pmod(F.xxhash64("raw"), F.lit(n)) == i)
-        rows = part.orderBy("item_id", "piece", "raw").collect()
+        part = distinct if n == 1 else distinct.filter(F.pmod("piece_id", F.lit(n)) == i)
+        rows = part.orderBy("raw").collect()
         if rows:
-            yield build_index([(r["item_id"], r["piece"], bytes(r["raw"])) for r in rows])
+            yield build_index([bytes(r["raw"]) for r in rows]), np.array([r["piece_id"] for r in rows])
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and matching piece; start and end are bytes of the document's text."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    names = [x.split()[0] for x in MATCH_SCHEMA.split(", ")]
+    schema = "doc_id bigint, piece_id bigint, start bigint, end bigint, edits int"
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def against(index):
         ix = spark.sparkContext.broadcast(index)
@@ -219,21 +251,21 @@ def find_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches):
             for b in batches:
                 out = [(c.lo + d, *rest) for c in W.chunks(b.column(1))
-                       for d, *rest in chunk_matches(c, ix.value)]
-                item = ix.value["pieces"]
-                cols = [[item[x[1]][0] for x in out], [item[x[1]][1] for x in out],
-                        *[[x[k] for x in out] for k in (2, 3, 4)]]
+                       for d, *rest in chunk_matches(c, ix.value[0])]
+                row, piece, start, end, edits = (
+                    np.array([x[k] for x in out], np.int64) for k in range(5))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array([x[0] for x in out], pa.int64())),
-                     *[pa.array(v, t) for v, t in zip(cols, (
-                         pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()))]], names=names)
-        return texts.mapInArrow(run, MATCH_SCHEMA)
+                    [b.column(0).take(pa.array(row)), pa.array(ix.value[1][piece]), pa.array(start),
+                     pa.array(end), pa.array(edits.astype(np.int32))], names=names)
+        return texts.mapInArrow(run, schema)
 
-    parts = [against(index) for index in _slices(benchmark)]
-    out = parts[0] if parts else spark.createDataFrame([], MATCH_SCHEMA)
+    pieces = benchmark_pieces(benchmark)
+    parts = [against(index) for index in _slices(pieces)]
+    out = parts[0] if parts else spark.createDataFrame([], schema)
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return out.join(pieces.drop("raw"), "piece_id").select(
+        "doc_id", "item_id", "piece", "start", "end", "edits")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -254,10 +286,10 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches):
             for b in batches:
                 bad = {c.lo + x[0] for c in W.chunks(b.column(at))
-                       for x in chunk_matches(c, ix.value)}
+                       for x in chunk_matches(c, ix.value[0])}
                 yield b.filter(pa.array([i not in bad for i in range(b.num_rows)], pa.bool_()))
         return frame.mapInArrow(run, frame.schema)
 
-    for index in _slices(benchmark):
+    for index in _slices(benchmark_pieces(benchmark)):
         docs = without(docs, index)
     return docs
