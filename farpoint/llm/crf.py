@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from farpoint.llm import words as W
@@ -148,11 +149,17 @@ def marginals(e: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np.ndarray
 
 
 def training_segments(docs: DataFrame, counts: dict[str, int]) -> list[tuple[str, list[bytes]]]:
-    """Word segments of the sampled documents (doc_id, text, lang), in a fixed order."""
+    """Word segments of the sampled documents (doc_id, text, lang), in a fixed order.
+
+    Per language the TRAIN_DOCS rows with the least hashes of (doc_id, text) are taken; rows
+    are thinned to twice as many in expectation before they are ranked.
+    """
     share = F.create_map(*[x for k, v in counts.items()
-                           for x in (F.lit(k), F.lit(min(1.0, TRAIN_DOCS / v)))])
-    point = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(1 << 30)) / (1 << 30)
-    picked = docs.filter(point < share[F.col("lang")])
+                           for x in (F.lit(k), F.lit(min(1.0, 2 * TRAIN_DOCS / v)))])
+    point = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 30))
+    first = Win.partitionBy("lang").orderBy("point", F.col("doc_id").asc_nulls_last(), "text")
+    picked = (docs.withColumn("point", point).filter(F.col("point") / (1 << 30) < share[F.col("lang")])
+              .withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= TRAIN_DOCS))
 
     def run(batches):
         for b in batches:
@@ -176,7 +183,7 @@ def training_segments(docs: DataFrame, counts: dict[str, int]) -> list[tuple[str
     rows = (picked.select("doc_id", "text", "lang").mapInArrow(
         run, "lang string, key bigint, words binary").collect())
     return [(r["lang"], bytes(r["words"]).split(b" ")) for r in
-            sorted(rows, key=lambda r: (r["lang"], r["key"], bytes(r["words"])))]
+            sorted(rows, key=lambda r: (r["lang"], r["key"] is None, r["key"] or 0, bytes(r["words"])))]
 
 
 def fit(segments: list[tuple[str, list[bytes]]]) -> Model | None:

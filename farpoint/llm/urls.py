@@ -44,11 +44,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return (F.when(has, host).otherwise(F.lit("")), F.when(has, path).otherwise(F.lit("")))
 
 
-def _candidate_keys(lengths: list[int]) -> Column:
-    """``host-suffix + path-prefix`` keys of the columns host and path."""
+def _candidate_keys(lengths: list[int], labels: int) -> Column:
+    """``host-suffix + path-prefix`` keys of the columns host and path.
+
+    Suffixes have ``labels`` labels at most, as many as the longest listed host.
+    """
     label = F.split(F.col("host"), r"\.")
     n = F.size(label)
-    suffix = F.transform(F.sequence(F.lit(1), n),
+    suffix = F.transform(F.sequence(F.greatest(F.lit(1), n - labels + 1), n),
                          lambda i: F.array_join(F.slice(label, i, n - i + 1), "."))
     prefixes = F.array(*[F.when(F.length("path") >= k, F.substring("path", 1, k)) for k in lengths])
     return F.flatten(F.transform(suffix, lambda s: F.transform(
@@ -64,11 +67,12 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow") ->
         "key", F.concat("host", "path")).withColumn("h", F.xxhash64("host", "path"))
         .groupBy("key", "h").agg(F.min("verdict").alias("rule_verdict")))
     lengths = [r[0] for r in rules.select(F.length("path").alias("n")).distinct().orderBy("n").collect()]
+    labels = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0]
     blocks = bloom.build(listed, "h", listed.count())
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     distinct = rows.select("host", "path").distinct()
-    keyed = distinct.withColumn("k", _candidate_keys(lengths) if lengths else F.array().cast(
+    keyed = distinct.withColumn("k", _candidate_keys(lengths, labels) if lengths else F.array().cast(
         "array<struct<key:string,h:bigint>>"))
 
     def possible(batches):

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cases import documents, frame, prose, words
 from farpoint.llm import bloom, crf, decontaminate, mixing, quality, rotation, secrets, urls
@@ -95,6 +96,20 @@ def test_url_verdicts(spark):
     assert urls.url_verdicts(pages.limit(0), rules).count() == 0
 
 
+def test_url_with_very_many_labels(spark):
+    long = "http://" + "a." * 100_000 + "www.example.com/en/" + "b/" * 50_000
+    data = [(1, long), (2, "http://" + "x" * 200_000 + ".net/fr/"), (3, "http://" + "." * 100_000 + "com/")]
+    pages = spark.createDataFrame(data, "page_id bigint, url string")
+    rules = spark.createDataFrame(urls.RULES, urls.RULE_SCHEMA)
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"])
+           for r in urls.url_verdicts(pages, rules).collect()}
+    assert got == {i: url_verdict(u) for i, u in data}
+    # a key has as many labels as the longest listed host at most
+    keys = pages.select(*[c.alias(n) for c, n in zip(urls.host_and_path(F.col("url")), ("host", "path"))]).select(
+        F.aggregate(urls._candidate_keys([1, 4], 3), F.lit(0), lambda n, k: n + F.length(k["key"])).alias("n"))
+    assert max(r["n"] for r in keys.collect()) < 2_000_000
+
+
 def test_bloom_has_no_misses_and_few_false_hits(spark):
     keys = spark.range(5000).selectExpr("xxhash64(id) AS h")
     blocks = bloom.build(keys, "h", 5000)
@@ -121,7 +136,7 @@ def test_qgram_filter_loses_nothing():
     some = lambda n: "".join(rng.choice(letters) for _ in range(n))     # noqa: E731
     for _ in range(20):
         item = some(rng.randint(40, 260))
-        pieces = [(7, k, p) for k, p in enumerate(decontaminate.cut_pieces(item))]
+        pieces = decontaminate.cut_pieces(item)
         if not pieces:
             continue
         index = decontaminate.build_index(pieces)
@@ -142,7 +157,7 @@ def test_qgram_filter_loses_nothing():
         exp = {}
         for d, t in enumerate(docs):
             norm = decontaminate.normalise(np.frombuffer(t.encode(), np.uint8))[0].tobytes()
-            for o, (_, _, p) in enumerate(pieces):
+            for o, p in enumerate(pieces):
                 best = distance(p, norm)
                 if best <= decontaminate.edit_budget(len(p)):
                     exp[d, o] = best
@@ -265,7 +280,7 @@ def test_mix_targets_and_totals(spark):
         assert 0 <= r["taken"] <= 3 * r["size"]
         taken[r["source"]] += r["taken"]
     for s, t in target.items():
-        assert abs(taken[s] - t) <= 8 * mixing.MIN_BLOCK_WORDS
+        assert abs(taken[s] - t) <= 8 * mixing.BLOCK_WORDS
     again = mixing.mix_sources(frame(spark, rows)).collect()
     assert sorted(map(repr, out)) == sorted(map(repr, again))
     assert mixing.mix_sources(frame(spark, [])).count() == 0
@@ -299,6 +314,38 @@ LANGS = {"aa": ["kalo", "mika", "tolu", "sanka", "keto"], "bb": ["the", "ofing",
          "cc": ["übrig", "schön", "zeit", "lichkeit", "ung"]}
 
 
+def test_language_id_with_null_and_repeated_ids_in_training(spark):
+    rng = random.Random(3)
+    text = lambda l, n: " ".join(rng.choice(LANGS[l]) for _ in range(n))
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, text(l, 20), l, "a")
+            for i, l in enumerate(list(LANGS) * 40)]
+    df = frame(spark, rows)
+    model = crf.train(df)
+    assert crf.train(df.repartition(7)).langs == model.langs == sorted(LANGS)
+    got = crf.predict(df.withColumn("n", F.length("text")), model).collect()
+    assert len(got) == len(rows)
+    texts = spark.createDataFrame([(k, t, None, "a") for k, (_, t, *_) in enumerate(rows)],
+                                  "doc_id bigint, text string, lang string, source string")
+    right = {r["doc_id"]: r["lang_pred"] for r in crf.predict(texts, model).collect()}
+    assert sum(right[k] == r[2] for k, r in enumerate(rows)) >= 0.97 * len(rows)
+
+
+def test_language_id_training_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(crf, "TRAIN_DOCS", 10)
+    rows = [(None, "kalo mika tolu", "aa", "a")] * 500 + [(i, "the ofing %d" % i, "bb", "a") for i in range(500)]
+    got = crf.training_segments(frame(spark, rows), {"aa": 500, "bb": 500})
+    assert {x for x, _ in got} <= set(LANGS) and len(got) <= 2 * 10 * crf.SEGMENTS
+
+
+def test_language_id_of_a_text_of_many_blocks(spark):
+    rows = [(i, " ".join(LANGS[l] * 6), l, "a") for i, l in enumerate(list(LANGS) * 30)]
+    model = crf.train(frame(spark, rows))
+    long = " ".join(LANGS["aa"] * 40_000)
+    tie = [(1, long, None, "a"), (2, long + " " + " ".join(LANGS["cc"] * 10), None, "a")]
+    got = {r["doc_id"]: r for r in crf.predict(frame(spark, tie), model).collect()}
+    assert got[1]["lang_pred"] == got[2]["lang_pred"] == "aa" and got[2]["n_switches"] == 1
+
+
 def test_language_id_learns_and_switches(spark):
     rng = random.Random(2)
     text = lambda l, n: " ".join(rng.choice(LANGS[l]) + rng.choice(["", "s", "x"])
