@@ -16,12 +16,3 @@ def hash_part(idx: Column | str, k: int) -> Column:
     """Hash partition key: balanced even for sequential or clustered ids."""
     c = F.col(idx) if isinstance(idx, str) else idx
     return F.pmod(F.xxhash64(c), F.lit(int(k))).cast("int")
-
-
-def salt_key(k: int, *cols: Column | str) -> Column:
-    """Salt in ``[0, k)`` from a hash of the given columns.
-
-    Deterministic, so a retried task sends every row to the same salt.
-    """
-    cs = [F.col(c) if isinstance(c, str) else c for c in cols]
-    return F.pmod(F.xxhash64(*cs), F.lit(int(k))).cast("int")

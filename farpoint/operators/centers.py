@@ -28,6 +28,7 @@ from farpoint.operators.bounded import (
     nearest_in_set,
     semi_by_ids,
 )
+from farpoint.operators.center_groups import CenterGroups, nearest_by_groups
 from farpoint.operators.pairwise import by_task, max_pairwise_distance, n_blocks, size_and_dim
 from farpoint.session import conf_int, ensure_checkpoint_dir
 
@@ -35,6 +36,8 @@ CHECKPOINT_EVERY = 8
 # above this many coordinates in the state, unroll the distance into
 # generated code (one compile per step, faster per row)
 UNROLL_MIN_VALUES = 50_000_000
+# from this many centers on, groups of centers with bounds beat distances to all of them
+GROUPS_MIN_CENTERS = 512
 
 
 def farthest_first_centers(points: DataFrame, k: int, start_id: int | None = None,
@@ -128,14 +131,17 @@ def kcenter_max_distance(points: DataFrame, k: int, start_id: int | None = None,
 
 def nearest_center(points: DataFrame, centers: DataFrame) -> DataFrame:
     """``(id, center_id, dist)`` nearest center of every point; ties to the
-    earlier center.  Centers (bounded by k) are broadcast to a map-only scan;
-    a center set beyond the broadcast limit goes through bipartite tiles."""
+    earlier center.  Centers (bounded by k) are broadcast to a map-only scan, many
+    of them in groups that bounds can skip (``center_groups``); a center set
+    beyond the broadcast limit goes through bipartite tiles."""
     cen = center_points(points, centers)
     n_cen = centers.count()                     # k rows
     head = points.select(F.size("v").alias("d")).first()    # one row, not a scan
     dim = max(0, head["d"] or 0) if head else 0
     if fits_broadcast(n_cen, dim):
         cid, cx, crank = collect_bounded(cen, extra="step")
+        if n_cen >= GROUPS_MIN_CENTERS:
+            return nearest_by_groups(points, CenterGroups.build(cid, cx, crank))
         return nearest_in_set(points, cid, cx, crank)
     return _nearest_tiled(points.select("id", "v"), cen, dim)
 

@@ -124,12 +124,13 @@ def check_pairs(points: DataFrame, n: int) -> None:
             "sample_max_distance / kcenter_max_distance / diversity_two_round, or raise the limit")
 
 
-def _blocks_for(points: DataFrame, n_blocks_hint: int | None, block_bytes: int | None) -> int:
+def _blocks_for(points: DataFrame, n_blocks_hint: int | None, block_bytes: int | None,
+                min_blocks: int = 1) -> int:
     if n_blocks_hint:
         return int(n_blocks_hint)
     n, d = size_and_dim(points)
     check_pairs(points, n)
-    return n_blocks(n, d, _block_bytes(points, block_bytes))
+    return max(min_blocks, n_blocks(n, d, _block_bytes(points, block_bytes)))
 
 
 def _block_bytes(points: DataFrame, block_bytes: int | None) -> int:
@@ -189,7 +190,7 @@ def prune_for_diameter(points: DataFrame):
 
 def max_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
                           block_bytes: int | None = None,
-                          prune: bool | str = "auto") -> DataFrame:
+                          prune: bool | str = "auto", min_blocks: int = 1) -> DataFrame:
     """``(max_dist)`` exact maximum Euclidean distance over all pairs.
 
     0.0 for fewer than two points.  Points with a NaN coordinate have only
@@ -198,6 +199,7 @@ def max_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
     tile) runs the all-pairs tiles only over the points that can still be an
     end of the farthest pair: in low dimension a handful, in high dimension
     often all (then three linear scans were spent for nothing).
+    ``min_blocks`` cuts a small set into more tiles than its size asks for.
     """
     clean = points.select("id", "v").filter(~F.exists("v", lambda x: F.isnan(x)))
     block_bytes = _block_bytes(points, block_bytes)
@@ -205,7 +207,7 @@ def max_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
     if n_blocks_hint is None:
         if prune is False:
             check_pairs(points, n)
-        n_blocks_hint = n_blocks(n, d, block_bytes)
+        n_blocks_hint = max(min_blocks, n_blocks(n, d, block_bytes))
     if prune is False or (prune == "auto" and n_blocks_hint == 1):
         return _tiled_max(clean, n_blocks_hint, block_bytes)
     lb, cand = prune_for_diameter(clean)
@@ -219,13 +221,13 @@ def max_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
 
 
 def avg_pairwise_distance(points: DataFrame, n_blocks_hint: int | None = None,
-                          block_bytes: int | None = None) -> DataFrame:
+                          block_bytes: int | None = None, min_blocks: int = 1) -> DataFrame:
     """``(avg_dist)`` mean Euclidean distance over unordered pairs.
 
     Equal to the reference's mean over ordered pairs; NULL for < 2 points,
     NaN when a distance is NaN, in any number of blocks.
     """
-    b = _blocks_for(points, n_blocks_hint, block_bytes)
+    b = _blocks_for(points, n_blocks_hint, block_bytes, min_blocks)
     per_tile = _by_tile(_self_tiles(points.select("id", "v"), b), b).groupBy("task") \
         .applyInPandas(_tile_sum, "s double, c long, nan boolean")
     agg = per_tile.agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.max("nan").alias("nan"))

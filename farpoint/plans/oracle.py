@@ -270,3 +270,62 @@ FROM cen a JOIN cen b ON a.id < b.id"""
 
 ORACLE_SQL["max_partition_spark"] = f"""
 SELECT count(*) AS n, CAST({P.K_PARTS} AS BIGINT) AS n_parts, true AS within_bounds FROM orders"""
+
+
+def _tree_level(i: int, src: str, k: int) -> str:
+    """Coreset of every part of the view ``src(part, id, v)``, as ``c<i>(part, step, id, ids)``."""
+    return f"""c{i}(part, step, id, ids) AS (
+  SELECT part, 0, min(id), [min(id)] FROM {src} GROUP BY part
+  UNION ALL
+  SELECT c{i}.part, c{i}.step + 1, nx.id, list_append(c{i}.ids, nx.id)
+  FROM c{i}, LATERAL (
+    SELECT p.id, min(list_distance(p.v, c.v)) AS md
+    FROM {src} p JOIN {src} c ON c.part = p.part
+    WHERE p.part = c{i}.part AND list_contains(c{i}.ids, c.id)
+    GROUP BY p.id
+    ORDER BY md DESC, p.id
+    LIMIT 1) nx
+  WHERE c{i}.step + 1 < {k} AND nx.md > 0
+)"""
+
+
+def _tree() -> tuple[str, str]:
+    """(the rounds as CTEs, name of the last): as many as leave at most TREE_ROWS points."""
+    ctes = [f"r0 AS (SELECT CAST(id % {P.TREE_L} AS INTEGER) AS part, id, v FROM pts)"]
+    i, parts = 0, P.TREE_L
+    while True:
+        ctes.append(_tree_level(i, f"r{i}", P.DIVERSITY_K))
+        if parts == 1 or parts * P.DIVERSITY_K <= P.TREE_ROWS:      # every part has k points here
+            return ", ".join(ctes), f"c{i}"
+        parts = -(-parts // P.TREE_FAN_IN)
+        ctes.append(f"r{i + 1} AS (SELECT CAST(c.part // {P.TREE_FAN_IN} AS INTEGER) AS part, p.id, p.v "
+                    f"FROM c{i} c JOIN pts p ON p.id = c.id)")
+        i += 1
+
+
+_TREE, _LAST = _tree()
+
+ORACLE_SQL.update({
+    "coreset_tree": f"""
+WITH RECURSIVE {_PTS}, {_TREE}
+SELECT part, CAST(step AS INTEGER) AS step, CAST(id AS BIGINT) AS id FROM {_LAST}""",
+
+    "diversity_tree": f"""
+WITH RECURSIVE {_PTS}, {_TREE},
+core AS (SELECT p.id, p.v FROM pts p WHERE p.id IN (SELECT id FROM {_LAST})),
+{_greedy("core", P.DIVERSITY_K)}
+SELECT CAST(pick AS INTEGER) AS pick, CAST(id AS BIGINT) AS id FROM picks""",
+
+    "farthest_first_lazy": f"""
+WITH RECURSIVE {_ORDERS_PTS}, {_FF}
+SELECT CAST(step AS INTEGER) AS step, CAST(id AS BIGINT) AS id FROM ff""",
+
+    "max_pairwise_distance_balls": ORACLE_SQL["max_pairwise_distance"],
+
+    "nearest_center_many": f"""
+WITH {_ORDERS_PTS},
+cen AS (SELECT id, v FROM pts
+  ORDER BY md5(concat_ws(':', '{P.SAMPLE_SEED}', CAST(id AS VARCHAR))), id LIMIT {P.MANY_CENTERS}),
+best AS (SELECT p.id, min(struct_pack(d := list_distance(p.v, c.v), c := c.id)) AS b FROM pts p, cen c GROUP BY p.id)
+SELECT CAST(id AS BIGINT) AS id, CAST(b.c AS BIGINT) AS center_id, round(b.d, 6) AS dist FROM best""",
+})

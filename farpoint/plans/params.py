@@ -17,3 +17,7 @@ DIVERSITY_L = 4      # L parts for the coreset round
 GREEDY_K = 7         # k for greedy pairs on the whole point table (odd: exercises the extra pick)
 ORDERS_DIV_K = 20    # a smaller diversity run on orders that SQL can check
 ORDERS_DIV_L = 8
+TREE_L = 32          # parts of the coreset tree; 4 are merged per round until TREE_ROWS points remain
+TREE_FAN_IN = 4
+TREE_ROWS = 30
+MANY_CENTERS = 1000  # centers (a seeded sample) of the nearest-center query with many centers

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farpoint.operators import centers, classes, diversity, pairwise, sampling, text
+from farpoint.operators import (ball_tiles, centers, classes, coreset_tree, diversity, lazy_centers, pairwise, sampling,
+                                text)
 from farpoint.plans import params as P
 from farpoint.functions.vectors import parse_vector
 from farpoint.sources.files import parse_class_records
@@ -165,12 +166,12 @@ def q_kcenter_random_start(spark, sf_dir):
 # the plans for large inputs, each forced on a given table
 
 def q_max_pairwise_distance_tiled(spark, sf_dir):
-    return _r6(pairwise.max_pairwise_distance(_emb(spark, sf_dir), n_blocks_hint=3, prune=False),
+    return _r6(pairwise.max_pairwise_distance(_emb(spark, sf_dir), min_blocks=3, prune=False),
                "max_dist")
 
 
 def q_avg_pairwise_distance_tiled(spark, sf_dir):
-    return _r6(pairwise.avg_pairwise_distance(_emb(spark, sf_dir), n_blocks_hint=3), "avg_dist")
+    return _r6(pairwise.avg_pairwise_distance(_emb(spark, sf_dir), min_blocks=3), "avg_dist")
 
 
 def q_partition_coreset_lockstep(spark, sf_dir):
@@ -223,6 +224,32 @@ def _with_score(sol, score):
     return sol.withColumn("avg_dist", F.round(F.lit(value).cast("double"), 6))
 
 
+# coresets in rounds, bounds instead of whole scans
+
+def q_coreset_tree(spark, sf_dir):
+    return coreset_tree.coreset_tree(_emb(spark, sf_dir), P.DIVERSITY_K, P.TREE_L, P.TREE_FAN_IN, P.TREE_ROWS).select(
+        "part", "step", "id")
+
+
+def q_diversity_tree(spark, sf_dir):
+    return coreset_tree.diversity_tree(_emb(spark, sf_dir), P.DIVERSITY_K, P.TREE_L, fan_in=P.TREE_FAN_IN,
+                                       max_rows=P.TREE_ROWS)
+
+
+def q_farthest_first_lazy(spark, sf_dir):
+    return lazy_centers.farthest_first_lazy(_orders_pts(spark, sf_dir), P.CENTERS_K).select("step", "id")
+
+
+def q_max_pairwise_distance_balls(spark, sf_dir):
+    return _r6(ball_tiles.max_pairwise_distance_balls(_emb(spark, sf_dir)), "max_dist")
+
+
+def q_nearest_center_many(spark, sf_dir):
+    pts = _orders_pts(spark, sf_dir)
+    cen = sampling.random_sample(pts, P.MANY_CENTERS, P.SAMPLE_SEED).select(F.col("id").alias("step"), "id")
+    return _r6(centers.nearest_center(pts, cen), "dist")
+
+
 def q_diversity_score(spark, sf_dir):
     pts = _emb(spark, sf_dir)
     sol = diversity.diversity_two_round(pts, P.DIVERSITY_K, P.DIVERSITY_L)
@@ -267,5 +294,10 @@ QUERIES: dict[str, Query] = {
     "diversity_score": q_diversity_score,
     "max_pairwise_distance_orders": q_max_pairwise_distance_orders,
     "diversity_orders": q_diversity_orders,
+    "coreset_tree": q_coreset_tree,
+    "diversity_tree": q_diversity_tree,
+    "farthest_first_lazy": q_farthest_first_lazy,
+    "max_pairwise_distance_balls": q_max_pairwise_distance_balls,
+    "nearest_center_many": q_nearest_center_many,
     "diversity_baseline_config": q_diversity_baseline_config,
 }
