@@ -1,23 +1,24 @@
-"""Substring dedup by prefix doubling: bytes covered by a repeated WIDTH-byte string.
-
-Positions are ranked by growing contexts, and those whose rank is unique
-retire, as in prefix doubling; equality is all that dedup needs of a rank, so a
-rank is a 64-bit fingerprint of the context, and the rank pair (p, p + h) of
-the next round is the fingerprint of the longer context, taken in place
-instead of by a join.
-
-Round 1 (GRAM bytes).  Only the minimizers of the WIDTH-byte windows are
-ranked: a window is repeated only if its minimizer is (see ``runs``).  Spark
-groups the ranks; a position whose rank is unique retires with all its windows.
-Round 2 (the run of windows around the minimizer, up to 2 WIDTH - GRAM bytes).
-Runs with equal ranks are repeated as a whole.  Where runs with one minimizer
-differ, one run for each distinct rank goes on.
-Round 3 (WIDTH - BLOCK + 1 bytes).  The windows are taken in blocks of BLOCK by
-their distance to the minimizer; the bytes common to a block are ranked.
-Unique ones retire, blocks equal as a whole are repeated.
-Round 4 (WIDTH bytes).  The windows of the blocks still open are ranked.
-
-Texts are read again in each round and hashed anew; only ranks are shuffled.
+"""Substring dedup by distributed prefix doubling: bytes covered by a repeated WIDTH-byte string.
+
+Round 0 (GRAM bytes).  Only the minimizers of the WIDTH-byte windows are looked
+at: a window is repeated only if its minimizer is (see ``runs``).  A minimizer
+that occurs once retires with all its windows.  Runs of windows around equal
+minimizers whose whole bytes are equal are repeated as a whole; where the runs
+of one minimizer differ, one run for each distinct content goes on.
+
+Prefix doubling.  The positions that are left (a grid of every STEP bytes,
+counted from the minimizer, so that equal windows have equal grids) are ranked
+by their first START bytes.  Each round pairs a position's rank with the rank
+of the position ``h`` bytes on, sorts and groups the pairs, and reranks: the new
+rank of a class is its least position.  Positions whose pair is unique, or
+whose partner has retired, retire.  ``h`` doubles with the ranked length until
+that is CORE bytes: the bytes common to STEP neighbouring windows.
+
+Last round (WIDTH bytes).  Blocks of windows with equal ranks that are equal as
+a whole are repeated; in the others each window pairs its block's rank with the
+rank of the bytes that it has besides the core.
+
+Texts are read again for each emission of positions; only ranks are shuffled.
 
 Defined cases: null text = empty: nothing removed; rows that repeat are
 documents of their own (their strings of WIDTH bytes occur elsewhere); rows
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farpoint.llm import bloom, runs
@@ -38,9 +39,12 @@ from farpoint.llm.scratch import Scratch
 
 WIDTH = 200
 GRAM = 100
-BLOCK = 10
+STEP = 10                   # bytes between ranked positions = windows in a block
+START = 50                  # length of the first ranks (a multiple of STEP)
+CORE = WIDTH - STEP         # bytes that all windows of a block have
 
 U = W.U
+_CELL = 0x5851F42D4C957F    # any odd number below 2^55: tells the cells of a place apart
 
 
 def _i64(x: np.ndarray) -> pa.Array:
@@ -52,10 +56,27 @@ def _place(ids: np.ndarray, fp: np.ndarray, lo: np.ndarray) -> np.ndarray:
     return W.mix(W.mix(W.mix(ids.view(U)) ^ fp.view(U)) + lo.astype(U))
 
 
+def _cell(place: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Id of the position ``x`` steps after a place's minimizer."""
+    return place ^ (x.astype(np.int64) * np.int64(_CELL)).view(U)
+
+
+def _cell_column() -> Column:
+    """``_cell`` of the columns place and x."""
+    return F.col("place").bitwiseXOR(F.col("x").cast("bigint") * F.lit(_CELL))
+
+
 def _int(col: pa.Array) -> np.ndarray:
     return np.asarray(col.fill_null(0), dtype=np.int64)
 
 
+def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index, value) of all values ``first .. last`` of each index."""
+    n = last - first + 1
+    i = np.repeat(np.arange(len(n)), n)
+    return i, np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + first[i]
+
+
 def _run_pass(texts: DataFrame, fn, schema: str) -> DataFrame:
     """Run ``fn(ids, fps, chunk, sequence, runs) -> RecordBatch or None`` over all chunks."""
     def run(batches):
@@ -71,6 +92,43 @@ def _run_pass(texts: DataFrame, fn, schema: str) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
+def rerank(pairs: DataFrame) -> DataFrame:
+    """Positions (cell, rank, next, ...) whose pair (rank, next) is not unique, with their new rank."""
+    classes = (pairs.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("n"), F.min("cell").alias("least"))
+               .filter("n > 1").select("rank", "next", "least"))
+    return pairs.join(classes, ["rank", "next"]).drop("rank", "next").withColumnRenamed("least", "rank")
+
+
+def double_ranks(cells: DataFrame, scratch: Scratch, length: int, goal: int) -> DataFrame:
+    """Ranks of ``goal`` bytes from the ranks of ``length`` bytes in ``cells`` (place, x, rank, ...).
+
+    ``x`` counts the positions of a place in steps of STEP bytes.  A place has at most
+    (2 WIDTH - GRAM) / STEP positions, which bounds the window that looks up the partner.
+    """
+    ranks = cells
+    while length < goal:
+        h = min(length, goal - length)
+        on = Window.partitionBy("place").orderBy("x").rangeBetween(h // STEP, h // STEP)
+        pairs = ranks.withColumn("next", F.max("rank").over(on)).filter("next is not null")
+        done = scratch.save(rerank(pairs.withColumn("cell", _cell_column())).drop("cell"))
+        if ranks is not cells:
+            scratch.drop(ranks)
+        ranks, length = done, length + h
+    return ranks
+
+
+def _once(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """One row of each (doc_id, fp): rows that repeat have the same places."""
+    key = F.xxhash64("doc_id", "fp")
+    again = scratch.save(texts.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
+                         .filter("n > 1").select("k"))
+    n = again.count()
+    if not n:
+        return texts
+    some, single = bloom.split(texts, key, bloom.build(again, "k", n))
+    return single.unionByName(some.groupBy("doc_id", "fp").agg(F.first("text").alias("text")))
+
+
 def repeated_ranges(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, fp, start, end): byte ranges whose WIDTH-byte strings all occur elsewhere too.
 
@@ -107,73 +165,85 @@ def repeated_ranges(texts: DataFrame, scratch: Scratch) -> DataFrame:
     # only documents with an open run are read on
     owners = scratch.save(occ.join(open_, "place").select(
         F.xxhash64("doc_id", "fp").alias("k")).distinct())
-    fewer, _ = bloom.split(texts, F.xxhash64(F.coalesce("doc_id", F.lit(0)), "fp"),
+    fewer, _ = bloom.split(texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(0))),
+                           F.xxhash64("doc_id", "fp"),
                            bloom.build(owners, "k", owners.count()))
+    fewer = _once(fewer, scratch)
 
     def open_runs(ids, fps, c, r):
         place = _place(ids[r.doc], fps[r.doc], r.lo - c.off[r.doc])
         return np.flatnonzero(bloom.hits(wanted.value, place)), place
 
-    def split_blocks(r, k, place):
+    def split_blocks(r, k):
         """(index into k, block, least and largest distance of its windows to the minimizer)."""
         near, far = r.at[k] - r.hi[k], r.at[k] - r.lo[k]
-        j0, j1 = near // BLOCK, far // BLOCK
-        n = j1 - j0 + 1
-        i = np.repeat(np.arange(len(k)), n)
-        j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + j0[i]
-        return i, j, np.maximum(j * BLOCK, near[i]), np.minimum(j * BLOCK + BLOCK - 1, far[i])
-
-    def block_place(place, j):
-        return W.mix(place + W.mix(j.astype(U)))
+        i, j = _spread(near // STEP, far // STEP)
+        return i, j, np.maximum(j * STEP, near[i]), np.minimum(j * STEP + STEP - 1, far[i])
 
-    def blocks(ids, fps, c, seq, r):
+    def positions(ids, fps, c, seq, r):
         k, place = open_runs(ids, fps, c, r)
         if not len(k):
             return None
-        i, j, a1, a2 = split_blocks(r, k, place)
+        place, near, far = place[k], r.at[k] - r.hi[k], r.at[k] - r.lo[k]
+        i, x = _spread(-(far // STEP), (CORE - START) // STEP - near // STEP)
+        at = r.at[k][i] + x * STEP
+        rank = W.mix(seq.ranges(at, at + START) ^ W.mix(r.gram[k][i] + x.astype(U)))
+        # the first position of a block of windows has the block with it
+        head = x <= -(near // STEP)[i]
+        a1, a2 = np.maximum(-x * STEP, near[i]), np.minimum(-x * STEP + STEP - 1, far[i])
         at = r.at[k][i]
-        core = seq.ranges(at - j * BLOCK, at - j * BLOCK + (WIDTH - BLOCK + 1))
-        core = W.mix(core ^ W.mix(r.gram[k][i] + j.astype(U)))
-        span = W.mix(seq.ranges(at - a2, at - a1 + WIDTH) ^ W.mix((a1 * WIDTH + a2).astype(U)))
+        a1, a2 = np.where(head, a1, 0), np.where(head, a2, 0)
+        span = W.mix(seq.ranges(np.where(head, at - a2, 0), np.where(head, at - a1 + WIDTH, 0))
+                     ^ W.mix((a1 * WIDTH + a2).astype(U)))
         off = at - r.lo[k][i]
         return pa.RecordBatch.from_arrays(
-            [_i64(core), _i64(span), _i64(place[k][i]), _i64(block_place(place[k][i], j)),
-             pa.array((off - a2).astype(np.int32)), pa.array((off - a1).astype(np.int32))],
-            names=["core", "span", "place", "bp", "d1", "d2"])
-
-    blk = scratch.save(_run_pass(fewer, blocks, "core bigint, span bigint, place bigint, "
-                                 "bp bigint, d1 int, d2 int"))
-    sorts = scratch.save(blk.groupBy("core", "span").agg(
-        F.count(F.lit(1)).alias("n"), F.min("bp").alias("bp")))
-    some = sorts.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")
-                                     ).filter("k > 1 and least = 1").select("core")
-    open_blocks = scratch.save(sorts.join(some, "core").select("bp"))
+            [_i64(place[i]), pa.array(x.astype(np.int16)), _i64(rank),
+             pa.array(span.view(np.int64), mask=~head),
+             pa.array((off - a2).astype(np.int16), mask=~head),
+             pa.array((off - a1).astype(np.int16), mask=~head)],
+            names=["place", "x", "rank", "span", "d1", "d2"])
+
+    cells = scratch.save(_run_pass(fewer, positions, "place bigint, x smallint, rank bigint, "
+                                   "span bigint, d1 smallint, d2 smallint"))
+    blk = double_ranks(cells, scratch, START, CORE).filter("span is not null").withColumn(
+        "cell", _cell_column())
+    if START < CORE:
+        scratch.drop(cells)
+    sorts = scratch.save(blk.groupBy("rank", "span").agg(
+        F.count(F.lit(1)).alias("n"), F.min("cell").alias("cell")))
+    some = sorts.groupBy("rank").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")
+                                     ).filter("k > 1 and least = 1").select("rank")
+    open_blocks = scratch.save(sorts.join(some, "rank").select("cell", "rank"))
     wanted_blocks = spark.sparkContext.broadcast(
-        bloom.build(open_blocks, "bp", open_blocks.count()))
+        bloom.build(open_blocks, "cell", open_blocks.count()))
 
     def single_windows(ids, fps, c, seq, r):
         k, place = open_runs(ids, fps, c, r)
         if not len(k):
             return None
-        i, j, a1, a2 = split_blocks(r, k, place)
-        ok = bloom.hits(wanted_blocks.value, block_place(place[k][i], j))
-        i, a1, a2 = i[ok], a1[ok], a2[ok]
-        n = a2 - a1 + 1
-        which = np.repeat(np.arange(len(i)), n)
-        dist = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + a1[which]
+        i, j, a1, a2 = split_blocks(r, k)
+        cell = _cell(place[k][i], -j)
+        ok = bloom.hits(wanted_blocks.value, cell)
+        i, j, cell, a1, a2 = i[ok], j[ok], cell[ok], a1[ok], a2[ok]
+        which, dist = _spread(a1, a2)
         k = k[i][which]
-        s = r.at[k] - dist
+        s, core = r.at[k] - dist, r.at[k] - j[which] * STEP
+        # what the window has before and after the core
+        edge = W.mix(seq.ranges(s, core) ^ W.mix(seq.ranges(core + CORE, s + WIDTH)
+                                                 + (core - s).astype(U)))
         return pa.RecordBatch.from_arrays(
-            [_i64(seq.ranges(s, s + WIDTH)), _i64(place[k]),
-             pa.array((s - r.lo[k]).astype(np.int32))], names=["w", "place", "d"])
+            [_i64(cell[which]), _i64(edge), _i64(place[k]), pa.array((s - r.lo[k]).astype(np.int16))],
+            names=["cell", "edge", "place", "d"])
 
-    wins = scratch.save(_run_pass(fewer, single_windows, "w bigint, place bigint, d int"))
-    again = scratch.save(wins.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-                         .select("w"))
+    wins = scratch.save(_run_pass(fewer, single_windows, "cell bigint, edge bigint, place bigint, d smallint")
+                        .join(open_blocks, "cell").select("rank", F.col("edge").alias("next"), "place", "d"))
+    again = scratch.save(wins.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("n"))
+                         .filter("n > 1").select("rank", "next"))
     # windows d1 .. d2 of a run, counted from its first; at most WIDTH - GRAM + 1 of them
-    equal = sorts.filter("n > 1").select("core", "span")
-    hit = (blk.join(equal, ["core", "span"]).select("place", "d1", "d2").unionByName(
-        wins.join(again, "w").select("place", F.col("d").alias("d1"), F.col("d").alias("d2")))
+    equal = sorts.filter("n > 1").select("rank", "span")
+    hit = (blk.join(equal, ["rank", "span"]).select("place", "d1", "d2").unionByName(
+        wins.join(again, ["rank", "next"]).select(
+            "place", F.col("d").alias("d1"), F.col("d").alias("d2")))
         .groupBy("place").agg(F.collect_set(F.struct("d1", "d2")).alias("ds")))
     parts = (occ.join(hit, "place").select("doc_id", "fp", "lo", F.explode("ds").alias("x"))
              .select("doc_id", "fp", (F.col("lo") + F.col("x.d1")).alias("start"),

@@ -97,8 +97,9 @@ def test_components_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
 
 
-@pytest.mark.parametrize("periodic", [False, True])
-def test_suffix_dedup_matches_brute_force(spark, periodic):
+@pytest.mark.parametrize("periodic,start", [(False, 50), (True, 50), (True, 10), (False, 190)])
+def test_suffix_dedup_matches_brute_force(spark, monkeypatch, periodic, start):
+    monkeypatch.setattr(suffix_dedup, "START", start)       # more or fewer rounds, same result
     rows = documents()
     if periodic:
         rng = random.Random(2)
@@ -115,6 +116,37 @@ def test_suffix_dedup_matches_brute_force(spark, periodic):
     assert any(x[2] for x in exp) and any(not x[2] for x in exp)
 
 
+def test_suffix_dedup_of_a_hot_passage_and_of_repeated_rows(spark):
+    # one passage in a third of the rows, cut at every length about the limit; one row many times
+    rng = random.Random(6)
+    passage = prose(rng, 60, 10_000)
+    rows = [(k, prose(rng, 20 + k % 7, 10_000) + " " + (passage[k % 9:190 + k] if k % 3 == 0 else "")
+             + prose(rng, 30, 10_000), "en", "a") for k in range(90)]
+    rows += [rows[3]] * 20 + [(None, rows[4][1], "en", "a")] * 10 + [(None, passage[:230], "en", "a")]
+    got = sorted(map(tuple, suffix_dedup.remove_repeats(frame(spark, rows)).select(
+        "doc_id", "n_bytes", "n_removed").collect()), key=repr)
+    raw = [(t or "").encode() for _, t, *_ in rows]
+    assert got == sorted(((r[0], len(b), sum(m)) for r, b, m in zip(
+        rows, raw, repeated(raw, suffix_dedup.WIDTH))), key=repr)
+
+
+def test_prefix_doubling_ranks_by_growing_contexts(spark):
+    # two places agree on 150 bytes from their first position, a third on 60 of them
+    step = suffix_dedup.STEP
+    texts = ["".join(chr(97 + i % 23) for i in range(200))]
+    texts += [texts[0][:150] + "Z" * 50, texts[0][:60] + "Y" * 140]
+    cells = spark.createDataFrame(
+        [(p, x, hash(t[x * step:x * step + 50])) for p, t in enumerate(texts) for x in range(16)],
+        "place bigint, x smallint, rank bigint")
+
+    def alike(goal):
+        got = suffix_dedup.double_ranks(cells, Scratch(spark, "test"), 50, goal).collect()
+        first = {r["place"]: r["rank"] for r in got if r["x"] == 0}
+        return sorted(p for p, k in first.items() if list(first.values()).count(k) > 1)
+    assert [alike(n) for n in (60, 100, 150)] == [[0, 1, 2], [0, 1], [0, 1]]
+    assert alike(160) == []
+
+
 @pytest.mark.parametrize("periodic", [False, True])
 def test_debruijn_dedup_matches_brute_force(spark, periodic):
     rows = documents()
