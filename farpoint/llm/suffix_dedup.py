@@ -117,15 +117,13 @@ def double_ranks(cells: DataFrame, scratch: Scratch, length: int, goal: int) ->
     return ranks
 
 
-def _once(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """One row of each (doc_id, fp): rows that repeat have the same places."""
-    key = F.xxhash64("doc_id", "fp")
-    again = scratch.save(texts.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
-                         .filter("n > 1").select("k"))
+def _once(texts: DataFrame, owners: DataFrame) -> DataFrame:
+    """One row of each (doc_id, fp): rows that repeat have the same places (``owners``: k, n rows)."""
+    again = owners.filter("n > 1")
     n = again.count()
     if not n:
         return texts
-    some, single = bloom.split(texts, key, bloom.build(again, "k", n))
+    some, single = bloom.split(texts, F.xxhash64("doc_id", "fp"), bloom.build(again, "k", n))
     return single.unionByName(some.groupBy("doc_id", "fp").agg(F.first("text").alias("text")))
 
 
@@ -163,12 +161,13 @@ def repeated_ranges(texts: DataFrame, scratch: Scratch) -> DataFrame:
     open_ = scratch.save(kinds.join(mixed, "g").select("place"))
     wanted = spark.sparkContext.broadcast(bloom.build(open_, "place", open_.count()))
     # only documents with an open run are read on
-    owners = scratch.save(occ.join(open_, "place").select(
-        F.xxhash64("doc_id", "fp").alias("k")).distinct())
+    owners = scratch.save(occ.join(open_, "place").groupBy("place").agg(
+        F.max(F.xxhash64("doc_id", "fp")).alias("k"), F.count(F.lit(1)).alias("n"))
+        .groupBy("k").agg(F.max("n").alias("n")))
     fewer, _ = bloom.split(texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(0))),
                            F.xxhash64("doc_id", "fp"),
                            bloom.build(owners, "k", owners.count()))
-    fewer = _once(fewer, scratch)
+    fewer = _once(fewer, owners)
 
     def open_runs(ids, fps, c, r):
         place = _place(ids[r.doc], fps[r.doc], r.lo - c.off[r.doc])
