@@ -45,6 +45,31 @@ def with_row_index(df: DataFrame, name: str = "id") -> DataFrame:
             .drop("_pid", "_mid", "_off"))
 
 
+def with_file_row_id(df: DataFrame, name: str = "id") -> DataFrame:
+    """Add each row's 0-based position in the Parquet files that ``df`` reads, files by path.
+
+    ``df`` is any plan of narrow steps (filters, projections) over one Parquet scan; a row that a
+    filter drops keeps its number, so ids agree between a table and its filtered views, and
+    however files are split.  The position inside a file comes with the scan (``row_index`` of its
+    metadata).  Only the files' row counts are read besides, with no column of the data; they
+    travel as a small table of one row per file, as the scan's own file listing does.
+    """
+    spark, meta = df.sparkSession, F.col("_metadata")
+    files = df.inputFiles()
+    if not files:
+        return df.withColumn(name, F.lit(None).cast("bigint"))
+    counts = (spark.read.parquet(*files).groupBy(meta["file_path"].alias("path"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    offsets, run = [], 0
+    for r in sorted(counts.collect()):
+        offsets.append((r["path"], run))
+        run += r["n"]
+    table = spark.createDataFrame(offsets, "_path string, _off long")
+    return (df.select("*", meta["file_path"].alias("_path"), meta["row_index"].alias("_row"))
+            .join(F.broadcast(table), "_path")
+            .withColumn(name, F.col("_off") + F.col("_row")).drop("_path", "_row", "_off"))
+
+
 def read_text_documents(spark: SparkSession, path: str, num_partitions: int | None = None) -> DataFrame:
     """Every line of the text file(s) at ``path`` is one document."""
     df = spark.read.text(path).withColumnRenamed("value", "text")
