@@ -16,13 +16,16 @@ the plan of a round does not contain the rounds before.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import Any
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farpoint.operators import kernels as K
-from farpoint.operators.diversity import MAX_GROUP_BYTES, greedy_pairs, partition_coreset, with_part
+from farpoint.operators.diversity import MAX_GROUP_BYTES, greedy_pairs, group_bytes, partition_coreset, with_part
 from farpoint.operators.pairwise import MAX_BLOCK_ROWS
 from farpoint.session import conf_int, ensure_checkpoint_dir
 
@@ -31,14 +34,11 @@ CORE_SCHEMA = "part int, step int, id long, v array<double>"
 
 def _group_round(rows: DataFrame, k: int, n_parts: int) -> DataFrame:
     """Coreset ``(part, step, id, v)`` of every part, one numpy group each."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = pdf["id"].to_numpy(np.int64)
-        picks = K.farthest_first(ids, K.stack(pdf["v"]), k)
-        order = np.argsort(ids, kind="stable")
-        at = order[np.searchsorted(ids[order], [i for _, i in picks])]
-        return pd.DataFrame({"part": np.full(len(picks), pdf["part"].iat[0], np.int32),
-                             "step": np.array([s for s, _ in picks], np.int32),
-                             "id": ids[at], "v": pdf["v"].iloc[at].to_numpy()})
+    def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        picks = K.farthest_first_chunks(K.batch_points(batches), k)
+        yield pd.DataFrame({"part": np.full(len(picks), key[0], np.int32),
+                            "step": np.array([s for s, _, _ in picks], np.int32),
+                            "id": np.array([i for _, i, _ in picks], np.int64), "v": [v for _, _, v in picks]})
 
     # a task takes many small parts; an explicit count is never coalesced
     spark = rows.sparkSession
@@ -49,8 +49,8 @@ def _group_round(rows: DataFrame, k: int, n_parts: int) -> DataFrame:
 def _first_round(points: DataFrame, k: int, l_parts: int, part_key: str, max_group_bytes: int) -> DataFrame:
     parted = with_part(points, l_parts, None, part_key)
     size = (parted.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d"))
-            .agg(F.max(F.col("n") * F.greatest(F.col("d"), F.lit(1)) * 8).alias("b")).first()["b"] or 0)
-    if size <= max_group_bytes:
+            .agg(F.max("n").alias("n"), F.max("d").alias("d")).first())
+    if group_bytes(size["n"] or 0, size["d"] or 0) <= max_group_bytes:
         return _group_round(parted, k, l_parts)
     # lockstep: no part is gathered; its k * L picks get their vectors by a join
     picks = partition_coreset(points, k, l_parts, part_key=part_key, plan="lockstep")

@@ -5,7 +5,8 @@ greedy farthest pairs on the coreset (D6), end to end (D7), and the score
 D5 has two exact plans with the same result:
 
 * group plan -- ``groupBy(part).applyInPandas``: one Python task runs the
-  farthest-first traversal of one part in numpy.  Used only when the largest
+  farthest-first traversal of one part in numpy, which it reads batch by batch
+  into compact arrays (``group_bytes``).  Used only when the largest
   part (one ``groupBy(part).count()``, L rows) fits ``max_group_bytes``.
 * lockstep plan -- all parts advance together, one Spark step per center:
   a ``groupBy(part)`` ``max_by`` picks every part's farthest point (L rows),
@@ -30,6 +31,9 @@ coordinates in the same order, so the picks equal the sequential greedy's.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import Any
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -92,13 +96,17 @@ def with_part(points: DataFrame, l_parts: int, part_col: str | None = None,
     return points.select(part.alias("part"), "id", "v")
 
 
+def group_bytes(n: int, dim: int) -> int:
+    """What the group plan holds of a part of n points: ids, coordinates and distances."""
+    return n * 8 * (max(1, dim) + 2)
+
+
 def _coreset_group_plan(parted: DataFrame, k: int, l_parts: int, numbered: bool) -> DataFrame:
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        picks = K.farthest_first(pdf["id"].to_numpy(np.int64), K.stack(pdf["v"]), k)
-        part = int(pdf["part"].iat[0])
-        return pd.DataFrame({"part": [part] * len(picks),
-                             "step": [s for s, _ in picks],
-                             "id": [i for _, i in picks]}).astype(
+    def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        picks = K.farthest_first_chunks(K.batch_points(batches), k)
+        yield pd.DataFrame({"part": [int(key[0])] * len(picks),
+                            "step": [s for s, _, _ in picks],
+                            "id": [i for _, i, _ in picks]}).astype(
             {"part": "int32", "step": "int32", "id": "int64"})
 
     if numbered:                # parts 0 .. L-1: one task each
@@ -217,7 +225,7 @@ def partition_coreset(points: DataFrame, k: int, l_parts: int, part_col: str | N
         stats = (parted.groupBy("part").agg(F.count(F.lit(1)).alias("n"),
                                              F.max(F.size("v")).alias("d"))
                  .agg(F.max("n").alias("n"), F.max("d").alias("d")).first())
-        biggest = int(stats["n"] or 0) * 8 * max(1, int(stats["d"] or 0))
+        biggest = group_bytes(int(stats["n"] or 0), int(stats["d"] or 0))
         plan = "group" if biggest <= max_group_bytes else "lockstep"
     if plan == "group":
         return _coreset_group_plan(parted, k, l_parts, part_col is None)

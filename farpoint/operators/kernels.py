@@ -17,6 +17,8 @@ import pandas as pd
 
 # bytes of one float64 work matrix (rows x cols) per chunk
 CHUNK_BYTES = 64 << 20
+# rows per step of a scan over coordinates
+CHUNK_ROWS = 16_384
 
 
 def stack(col: pd.Series) -> np.ndarray:
@@ -205,22 +207,46 @@ def farthest_first(ids, x, k):
     Stops early when every remaining point coincides with a center, so the
     result has at most min(k, number of distinct points) centers.
     """
-    if len(ids) == 0 or k < 1:
+    return [(step, i) for step, i, _ in farthest_first_chunks([(ids, x)], k)]
+
+
+def farthest_first_chunks(chunks, k):
+    """``farthest_first`` of a set that comes in chunks (ids, x): list of (step, id, coordinates).
+
+    Of a point only its id, coordinates and distance are held: 8 * (dimension + 2) bytes.
+    Ties go to the smallest id, whatever the chunks.
+    """
+    cut = [(ids[s:s + CHUNK_ROWS], x[s:s + CHUNK_ROWS])
+           for ids, x in chunks for s in range(0, len(ids), CHUNK_ROWS)]
+    if not cut or k < 1:
         return []
-    order = np.argsort(ids, kind="stable")
-    ids, x = ids[order], x[order]
-    picks = [(0, int(ids[0]))]
-    dist = np.sqrt(exact_sq(x, np.broadcast_to(x[0], x.shape)))
+    i, v = min(((int(ids[j]), x[j]) for ids, x in cut for j in [np.argmin(ids)]), key=lambda p: p[0])
+    picks = [(0, i, v)]
+    dist = [np.full(len(ids), np.nan) for ids, _ in cut]
     for step in range(1, k):
-        score = np.where(np.isnan(dist), -np.inf, dist)
-        j = int(np.argmax(score))
-        if not score[j] > 0:
+        best = (0.0, 0, None)
+        for (ids, x), d in zip(cut, dist):
+            np.fmin(d, np.sqrt(exact_sq(x, np.broadcast_to(v, x.shape))), out=d)     # NaN: not farther, not nearer
+            m = np.fmax.reduce(d)
+            if m > 0 and m >= best[0]:
+                at = np.flatnonzero(d == m)
+                j = at[np.argmin(ids[at])]
+                if m > best[0] or ids[j] < best[1]:
+                    best = (m, int(ids[j]), x[j])
+        _, i, v = best
+        if v is None:
             break
-        picks.append((step, int(ids[j])))
-        dist = np.fmin(dist, np.sqrt(exact_sq(x, np.broadcast_to(x[j], x.shape))))
+        picks.append((step, i, v))
     return picks
 
 
+def batch_points(batches):
+    """(ids, x) of each batch of a group, as compact arrays; the frames are let go."""
+    for pdf in batches:
+        if len(pdf):
+            yield pdf["id"].to_numpy(np.int64, copy=True), stack(pdf["v"])
+
+
 def greedy_pairs(ids, x, k):
     """Greedy farthest pairs of one bounded set: list of picked ids in order.
 
