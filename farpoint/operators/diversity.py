@@ -255,6 +255,11 @@ def _greedy_group_plan(pts: DataFrame, k: int) -> DataFrame:
         .applyInPandas(run, "pick int, id long")
 
 
+def _n_stale(stale: DataFrame, n_alive: int) -> int:
+    """Rows to recompute: the live rows are sent once per block of them.  A set of one block needs no count."""
+    return stale.count() if n_alive > MAX_BLOCK_ROWS else n_alive
+
+
 def _greedy_rounds_plan(pts: DataFrame, n: int, dim: int, k: int) -> list[int]:
     """Greedy picks by rounds of locally dominant pairs (exact).
 
@@ -297,7 +302,7 @@ def _greedy_rounds_plan(pts: DataFrame, n: int, dim: int, k: int) -> list[int]:
         matched = marked.filter("mutual").select(F.col("id").alias("partner"))
         stale = rest.join(matched, "partner", "left_semi").select("id", "v")
         fresh = rest.join(matched, "partner", "left_anti")
-        redo = farthest_partner_in(stale, rest.select("id", "v"), sizes=(n_alive, n_alive, dim))
+        redo = farthest_partner_in(stale, rest.select("id", "v"), sizes=(_n_stale(stale, n_alive), n_alive, dim))
         nxt = fresh.select("id", "v", "partner", "d2").unionByName(redo).checkpoint(eager=True)
         marked.unpersist()
         state = nxt
@@ -375,8 +380,8 @@ def greedy_pairs(core: DataFrame, k: int, checkpoint_every: int = GREEDY_CHECKPO
         alive = rest.select("id", "v")
         stale = rest.filter(hit).select("id", "v")
         fresh = rest.filter(~hit | F.col("partner").isNull())
-        n_alive = n - 2 * (t + 1)       # known: no counting job per step
-        redo = farthest_partner_in(stale, alive, sizes=(n_alive, n_alive, dim))
+        n_alive = n - 2 * (t + 1)
+        redo = farthest_partner_in(stale, alive, sizes=(_n_stale(stale, n_alive), n_alive, dim))
         nxt = fresh.select("id", "v", "partner", "d2").unionByName(redo)
         if checkpoint_every and (t + 1) % checkpoint_every == 0:
             ensure_checkpoint_dir(spark)

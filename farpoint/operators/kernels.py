@@ -2,7 +2,8 @@
 
 They only see one tile / group / batch that Spark has already partitioned;
 nothing here reads or writes data on its own.  Squared distances come from
-the Gram identity (BLAS) and every value that decides a result is
+the Gram identity (BLAS; for farthest pairs in single precision with a bound
+on its error, chunk by chunk) and every value that decides a result is
 recomputed exactly from coordinate differences, so answers match a plain
 ``sum((a - b)^2)``.
 
@@ -19,6 +20,10 @@ import pandas as pd
 CHUNK_BYTES = 64 << 20
 # rows per step of a scan over coordinates
 CHUNK_ROWS = 16_384
+# rows x columns of a single-precision chunk of distances: small enough for the cache
+FAST_ROWS, FAST_COLS = 512, 2048
+# larger coordinates are compared by differences: squares could overflow
+MAX_FAST = 1e150
 
 
 def stack(col: pd.Series) -> np.ndarray:
@@ -81,13 +86,47 @@ def _row_chunks(na_rows, nb_rows):
         yield s, min(na_rows, s + step)
 
 
-def max_sq(xa, ida, xb, idb, triangle: bool) -> float | None:
-    """Largest squared distance over pairs (a, b); ``triangle``: only ida < idb.
+def _fast_rows(x) -> np.ndarray:
+    with np.errstate(invalid="ignore"):
+        return np.abs(x).max(axis=1, initial=0.0) < MAX_FAST         # False for NaN
 
-    NaN distances are ignored; ``None`` when there is no pair.
+
+def _fast_sq(xa, xb, triangle=False):
+    """``(unit, tol, chunks)``: squared distances in single precision, in units of ``unit``.
+
+    Both sets are centred and scaled, so the error depends on their extent only.  A
+    chunk is (s, e, t, u, g), g the distances of rows s:e of A to rows t:u of B; g is used
+    again by the next one.  ``tol`` is more than twice the largest error of an entry.
+    ``triangle`` (A is B): chunks below the diagonal are left out.
     """
-    if len(ida) == 0 or len(idb) == 0:
-        return None
+    dim = xa.shape[1]
+    c = xa.mean(axis=0)
+    a, b = xa - c, xb - c
+    scale = max(np.abs(a).max(), np.abs(b).max(), 1e-140)
+    a, b = a / scale, b / scale
+    na, nb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+    r = np.sqrt(max(na.max(), nb.max()))
+    # rounding of the product, its inputs and the norms; of the centring; of the exact form
+    shift = 2.0 ** -51 * np.sqrt(dim) * max(np.abs(xa).max(), np.abs(xb).max()) / scale
+    err = (dim + 8) * 2.0 ** -24 * 4 * r * r + 8 * r * shift + 4 * shift * shift + 1e-30
+    left = np.column_stack([-2.0 * a, na, np.ones(len(a))]).astype(np.float32)
+    right = np.ascontiguousarray(np.column_stack([b, np.ones(len(b)), nb]).astype(np.float32).T)
+
+    def chunks():
+        buf = np.empty(FAST_ROWS * FAST_COLS, np.float32)
+        for s in range(0, len(left), FAST_ROWS):
+            e = min(len(left), s + FAST_ROWS)
+            for t in range(s // FAST_COLS * FAST_COLS if triangle else 0, right.shape[1], FAST_COLS):
+                u = min(right.shape[1], t + FAST_COLS)
+                g = buf[:(e - s) * (u - t)].reshape(e - s, u - t)
+                np.matmul(left[s:e], right[:, t:u], out=g)
+                yield s, e, t, u, g
+
+    return scale * scale, 2.5 * err, chunks()
+
+
+def _max_sq_masked(xa, ida, xb, idb, triangle):
+    """``max_sq`` in double precision, for any coordinates and a triangle of two sets."""
     na, nb = np.einsum("ij,ij->i", xa, xa), np.einsum("ij,ij->i", xb, xb)
     tol = _tol(na, nb)
     best = None
@@ -109,6 +148,33 @@ def max_sq(xa, ida, xb, idb, triangle: bool) -> float | None:
     return best
 
 
+def max_sq(xa, ida, xb, idb, triangle: bool) -> float | None:
+    """Largest squared distance over pairs (a, b); ``triangle``: only ida < idb.
+
+    NaN distances are ignored; ``None`` when there is no pair.
+    """
+    if len(ida) == 0 or len(idb) == 0:
+        return None
+    if (triangle and xa is not xb) or not (_fast_rows(xa).all() and _fast_rows(xb).all()):
+        return _max_sq_masked(xa, ida, xb, idb, triangle)
+    best = None
+    unit, tol, chunks = _fast_sq(xa, xb, triangle)
+    for s, e, t, u, g in chunks:
+        m = g.max()
+        low = m if best is None else max(m, best / unit)
+        if m < low - tol:
+            continue
+        at = np.flatnonzero(g >= low - tol)
+        r, c = at // (u - t), at % (u - t)
+        if triangle:                    # all pairs of a set: either order is one of them
+            other = ida[s + r] != idb[t + c]
+            r, c = r[other], c[other]
+        if len(r):
+            v = float(exact_pairs(xa, xb, s + r, t + c).max())
+            best = v if best is None else max(best, v)
+    return best
+
+
 def sum_dist(xa, ida, xb, idb, triangle: bool) -> tuple[float, int]:
     """Sum of Euclidean distances and number of pairs; ``triangle``: ida < idb."""
     total, count = 0.0, 0
@@ -129,41 +195,87 @@ def sum_dist(xa, ida, xb, idb, triangle: bool) -> tuple[float, int]:
     return total, count
 
 
+def _keep_better(d, p, rows, ex, ids):
+    """Of each row the larger distance, then the smaller id."""
+    o = np.lexsort((ids, -ex, rows))
+    rows, ex, ids = rows[o], ex[o], ids[o]
+    first = np.ones(len(rows), bool)
+    first[1:] = rows[1:] != rows[:-1]
+    rows, ex, ids = rows[first], ex[first], ids[first]
+    win = (ex > d[rows]) | ((ex == d[rows]) & (ids < p[rows]))
+    d[rows[win]], p[rows[win]] = ex[win], ids[win]
+
+
+def _equal_ids(ida, idb):
+    """Positions (in A, in B) of equal ids, by position in A."""
+    order = np.argsort(idb, kind="stable")
+    lo, hi = (np.searchsorted(idb, ida, side, sorter=order) for side in ("left", "right"))
+    r = np.repeat(np.arange(len(ida)), hi - lo)
+    at = np.arange(len(r)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[r]
+    return r, order[at]
+
+
+def _candidates(g, best, tol):
+    """Entries of g that may be their row's largest and not below the row's best so far."""
+    m = g.max(axis=1)
+    rows = np.flatnonzero((m >= best - tol) & (m > -np.inf))
+    if len(rows) == 0:
+        return rows, rows
+    at = np.flatnonzero(g[rows] >= (np.maximum(m[rows], best[rows]) - tol)[:, None])     # faster than in two dimensions
+    return rows[at // g.shape[1]], at % g.shape[1]
+
+
+def partners(xa, ida, xb, idb, both: bool):
+    """``best_partner`` of A in B and, with ``both``, of B in A, from one pass over the distances."""
+    da, pa = np.full(len(ida), -np.inf), np.full(len(ida), np.iinfo(np.int64).max)
+    db, pb = np.full(len(idb), -np.inf), np.full(len(idb), np.iinfo(np.int64).max)
+    if len(ida) and len(idb):
+        fa, fb = _fast_rows(xa), _fast_rows(xb)
+        # rows with an infinite or huge coordinate: by differences; with a NaN: no distance
+        for i in np.flatnonzero(~fa & ~np.isnan(xa).any(axis=1)):
+            ex = exact_sq(np.broadcast_to(xa[i], xb.shape), xb)
+            j = np.flatnonzero((idb != ida[i]) & ~np.isnan(ex))
+            _keep_better(da, pa, np.full(len(j), i), ex[j], idb[j])
+            _keep_better(db, pb, j, ex[j], np.full(len(j), ida[i]))
+        for j in np.flatnonzero(~fb & ~np.isnan(xb).any(axis=1)):
+            ex = exact_sq(xa, np.broadcast_to(xb[j], xa.shape))
+            i = np.flatnonzero((ida != idb[j]) & ~np.isnan(ex))
+            _keep_better(da, pa, i, ex[i], np.full(len(i), idb[j]))
+            _keep_better(db, pb, np.full(len(i), j), ex[i], ida[i])
+        if fa.any() and fb.any():
+            at_a, at_b = np.flatnonzero(fa), np.flatnonzero(fb)
+            ya, yb = (xa, xb) if fa.all() and fb.all() else (xa[at_a], xb[at_b])
+            same_r, same_c = _equal_ids(ida[at_a], idb[at_b])
+            unit, tol, chunks = _fast_sq(ya, yb)
+            for s, e, t, u, g in chunks:
+                lo, hi = np.searchsorted(same_r, [s, e])
+                sr, sc = same_r[lo:hi], same_c[lo:hi]
+                here = (sc >= t) & (sc < u)
+                g[sr[here] - s, sc[here] - t] = -np.inf
+                r, c = _candidates(g, da[at_a[s:e]] / unit, tol)
+                if len(r):
+                    _keep_better(da, pa, at_a[s + r], exact_pairs(ya, yb, s + r, t + c), idb[at_b[t + c]])
+                if both:
+                    m = g.max(axis=0)
+                    cols = np.flatnonzero((m >= db[at_b[t:u]] / unit - tol) & (m > -np.inf))
+                    if len(cols):
+                        c, r = _candidates(np.ascontiguousarray(g[:, cols].T), db[at_b[t + cols]] / unit, tol)
+                        c = cols[c]
+                        _keep_better(db, pb, at_b[t + c], exact_pairs(ya, yb, s + r, t + c), ida[at_a[s + r]])
+    a = da > -np.inf
+    if not both:
+        return ida[a], pa[a], da[a]
+    b = db > -np.inf
+    return np.concatenate([ida[a], idb[b]]), np.concatenate([pa[a], pb[b]]), np.concatenate([da[a], db[b]])
+
+
 def best_partner(xa, ida, xb, idb):
     """For each row of A, its farthest row of B with a different id.
 
     Ties go to the smallest partner id; NaN distances never win.  Returns
     (ids of A rows that have a partner, partner ids, exact squared distances).
     """
-    out_i, out_p, out_d = [], [], []
-    if len(ida) == 0 or len(idb) == 0:
-        return np.array([], np.int64), np.array([], np.int64), np.array([], np.float64)
-    order = np.argsort(idb, kind="stable")
-    xb, idb = xb[order], idb[order]
-    na, nb = np.einsum("ij,ij->i", xa, xa), np.einsum("ij,ij->i", xb, xb)
-    tol = _tol(na, nb)
-    for s, e in _row_chunks(len(ida), len(idb)):
-        g = _gram_sq(xa[s:e], na[s:e], xb, nb)
-        bad = np.isnan(g) | (ida[s:e, None] == idb[None, :])
-        g = np.where(bad, -np.inf, g)
-        m = g.max(axis=1)
-        cand = (g >= (m - tol)[:, None]) & ~bad
-        r, c = np.nonzero(cand)
-        if len(r) == 0:
-            continue
-        ex = exact_pairs(xa, xb, s + r, c)
-        ex = np.where(np.isnan(ex), -np.inf, ex)
-        # per row: largest exact value, then smallest partner id (c is id-sorted)
-        o = np.lexsort((c, -ex, r))
-        r, c, ex = r[o], c[o], ex[o]
-        first = np.ones(len(r), bool)
-        first[1:] = r[1:] != r[:-1]
-        out_i.append(ida[s + r[first]])
-        out_p.append(idb[c[first]])
-        out_d.append(ex[first])
-    if not out_i:
-        return np.array([], np.int64), np.array([], np.int64), np.array([], np.float64)
-    return np.concatenate(out_i), np.concatenate(out_p), np.concatenate(out_d)
+    return partners(xa, ida, xb, idb, both=False)
 
 
 def nearest(x, cx, cid, crank):

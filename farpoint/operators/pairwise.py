@@ -7,7 +7,7 @@ every point is sent to the ``B`` tiles ``(min(b, c), max(b, c))`` of its block
 one ``applyInPandas`` group that holds at most two blocks.  ``B`` follows
 from the row count and dimension so that a block stays under
 ``block_bytes``; the tiles are independent tasks, the number of tasks grows
-as B^2 / 2 and the replication as B.  Only one row per tile (maximum, sum)
+as B^2 / 2 and the replication as B, so blocks grow before there are more than ``MANY_BLOCKS``.  Only one row per tile (maximum, sum)
 or one row per point and tile (partner) leaves the Python worker; pairs are
 never materialised as rows.
 """
@@ -29,6 +29,10 @@ DEFAULT_BLOCK_BYTES = 16 << 20
 # a tile costs rows^2 distance evaluations: cap rows per block so one task
 # stays around a second of numpy work whatever the dimension
 MAX_BLOCK_ROWS = 8192
+# every row is sent once per block: from this many blocks on (300 tiles), blocks
+# grow before their number does, up to four times the rows and block_bytes
+MANY_BLOCKS = 24
+MAX_LARGE_BLOCK_ROWS = 4 * MAX_BLOCK_ROWS
 
 
 def size_and_dim(points: DataFrame) -> tuple[int, int]:
@@ -41,7 +45,8 @@ def size_and_dim(points: DataFrame) -> tuple[int, int]:
 
 
 def n_blocks(n: int, d: int, block_bytes: int = DEFAULT_BLOCK_BYTES) -> int:
-    rows = max(256, min(MAX_BLOCK_ROWS, block_bytes // max(8, 8 * d)))
+    rows = min(MAX_LARGE_BLOCK_ROWS, max(MAX_BLOCK_ROWS, math.ceil(n / MANY_BLOCKS)))
+    rows = max(256, min(rows, block_bytes // max(8, 8 * d)))
     return max(1, math.ceil(n / rows))
 
 
@@ -99,12 +104,7 @@ def _tile_sum(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _tile_partner(pdf: pd.DataFrame) -> pd.DataFrame:
     diag, ia, xa, ib, xb = _split_tile(pdf)
-    i1, p1, d1 = K.best_partner(xa, ia, xb, ib)
-    if diag:
-        i, p, d = i1, p1, d1
-    else:
-        i2, p2, d2 = K.best_partner(xb, ib, xa, ia)
-        i, p, d = np.concatenate([i1, i2]), np.concatenate([p1, p2]), np.concatenate([d1, d2])
+    i, p, d = K.partners(xa, ia, xb, ib, both=not diag)
     return pd.DataFrame({"id": i.astype(np.int64), "partner": p.astype(np.int64),
                          "d2": d.astype(np.float64)})
 
