@@ -4,8 +4,9 @@ The points are clustered into blocks (``lazy_centers.clustered``: around pivots,
 distance); every block has a ball around its own centroid.  No pair of two blocks is farther
 apart than the distance of the centroids plus both radii.  The pairs of blocks are worked off from
 the largest such bound down, a batch at a time; what a batch finds raises the best distance known,
-and pairs of blocks whose bound is below it are dropped.  A block larger than one tile's rows is cut by a
-hash of the id, so a tile holds at most two such cuts.
+and pairs of blocks whose bound is below it are dropped.  What is left is computed in tiles of two groups of
+neighbouring blocks, at most ``MANY_BLOCKS`` groups while they fit a task, so a row is sent once per group and
+batch and not once per block.  A block larger than ``block_rows`` is cut by a hash of the id.
 
 How much is dropped depends on the points: clustered ones lose nearly all tiles; points spread
 evenly over a sphere in many dimensions lose none, as every ball is then nearly as wide as the set.
@@ -21,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farpoint.operators import kernels as K
+from farpoint.operators.bounded import max_sq_to_set
 from farpoint.operators.lazy_centers import PIVOTS, RINGS, clustered
-from farpoint.operators.pairwise import MAX_BLOCK_ROWS, by_task, prune_for_diameter
+from farpoint.operators.pairwise import DEFAULT_BLOCK_BYTES, MANY_BLOCKS, MAX_BLOCK_ROWS, by_task, prune_for_diameter
 
 MIN_BLOCK_POINTS = 512    # pivots are as many as leave this many points each, at most PIVOTS
-FIRST_PAIRS = 32          # pairs of blocks of the first batch; each batch is twice as large
+FIRST_PAIRS = 32          # pairs of blocks of the first batch
+BATCH_GROWTH = 32         # a batch sends its rows anew: few batches, the first ones small
 
 
 def _balls(table: DataFrame) -> pd.DataFrame:
@@ -58,43 +61,77 @@ def _balls(table: DataFrame) -> pd.DataFrame:
                           "far": np.array(r["b"]["far"], np.float64)} for r in sorted(got, key=lambda r: r["block"])])
 
 
-def _tile(pdf: pd.DataFrame) -> pd.DataFrame:
-    side, ids, x = pdf["side"].to_numpy(), pdf["id"].to_numpy(np.int64), K.stack(pdf["v"])
-    a, b = side == 0, side == 1
-    own = bool((side == 2).any())               # a cut with itself
-    m = K.max_sq(x, ids, x, ids, triangle=True) if own else K.max_sq(x[a], ids[a], x[b], ids[b], triangle=False)
-    return pd.DataFrame({"m2": [m]}, dtype="float64")
+class _Groups:
+    """The blocks, cut to ``block_rows``, put together in neighbouring groups of about ``group_rows``.
 
+    A tile is a pair of groups.  So a row is sent at most once per group, however many
+    blocks its own one is compared with.
+    """
 
-def _max_of_pairs(table: DataFrame, pairs: list[tuple[int, int]], cuts: dict[int, int]) -> float:
-    """The largest distance over the given pairs of blocks."""
+    def __init__(self, blocks: list[int], n: list[int], block_rows: int, group_rows: int):
+        self.cuts = [-(-x // block_rows) for x in n]
+        self.of: dict[tuple[int, int], int] = {}            # (position of the block, cut) -> group
+        self.blocks, self.members, held = blocks, [], group_rows
+        for i, (rows, cuts) in enumerate(zip(n, self.cuts)):
+            for cut in range(cuts):
+                if held + rows // cuts > group_rows:
+                    self.members.append([])
+                    held = 0
+                held += -(-rows // cuts)
+                self.of[i, cut] = len(self.members) - 1
+                self.members[-1].append((i, cut))
+
+    def sent(self, need: np.ndarray) -> tuple[list[tuple[int, int, int, list[int]]], int]:
+        """(block, cuts, cut, tiles) of every cut that a tile needs, and the number of tiles."""
+        number: dict[tuple[int, int], int] = {}
+        in_group = [sorted({i for i, _ in m}) for m in self.members]
+        touch = np.stack([need[:, x].any(axis=1) for x in in_group])        # group x block
+        rows = []
+        for (i, cut), g in self.of.items():
+            tiles = [number.setdefault((min(g, h), max(g, h)), len(number)) for h in np.flatnonzero(touch[:, i]).tolist()]
+            if tiles:
+                rows.append((self.blocks[i], self.cuts[i], cut, tiles))
+        return rows, len(number)
+
+
+def _max_of_pairs(table: DataFrame, groups: _Groups, need: np.ndarray, best: float) -> float:
+    """The largest distance over the needed pairs of blocks (a symmetric matrix), or ``best``."""
     spark = table.sparkSession
-    rows, first = [], 0
-    for a, b in pairs:
-        rows.append((a, b, 0, first))
-        if a != b:
-            rows.append((b, a, 1, first))
-        first += cuts[a] * cuts[b]
-    sides = spark.createDataFrame([(a, cuts[a], o, cuts[o], s, f) for a, o, s, f in rows],
-                                  "block int, n_own int, other int, n_other int, side int, first long")
-    cut = F.pmod(F.xxhash64("id"), F.col("n_own")).cast("int")
-    sent = (table.join(F.broadcast(sides), "block").withColumn("own", cut)
-            .withColumn("oth", F.explode(F.sequence(F.lit(0), F.col("n_other") - 1))))
-    same = F.col("block") == F.col("other")
-    lo, hi = F.least("own", "oth"), F.greatest("own", "oth")
-    number = (F.when(same, F.col("first") + lo * F.col("n_own") + hi)
-              .when(F.col("side") == 0, F.col("first") + F.col("own") * F.col("n_other") + F.col("oth"))
-              .otherwise(F.col("first") + F.col("oth") * F.col("n_own") + F.col("own")))
-    side = (F.when(same & (F.col("own") == F.col("oth")), F.lit(2))
-            .when(same, (F.col("own") > F.col("oth")).cast("int")).otherwise(F.col("side")))
-    tiles = by_task(sent.select("id", "v", side.alias("side"), number.alias("number")), first, F.col("number"))
-    got = tiles.groupBy("task").applyInPandas(_tile, "m2 double").agg(F.max("m2").alias("m2")).first()["m2"]
-    return float(np.sqrt(got)) if got is not None else 0.0
+    rows, n_tiles = groups.sent(need)
+    sent = spark.createDataFrame(rows, "block int, cuts int, cut int, tiles array<int>")
+    at = {b: i for i, b in enumerate(groups.blocks)}
+    shared = spark.sparkContext.broadcast((groups.of, at, need))
+
+    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
+        of, at, need = shared.value
+        ids, x, m = pdf["id"].to_numpy(np.int64), K.stack(pdf["v"]), best * best
+        parts = {(at[b], c): rows for (b, c), rows in pdf.groupby(["block", "cut"]).indices.items()}
+        group = {of[p] for p in parts}
+        for p, mine in parts.items():
+            if of[p] != min(group):
+                continue
+            # every other cut once; in a tile of two groups those of the other one
+            rest = [q for q in parts if need[p[0], q[0]] and (of[q] != of[p] if len(group) == 2 else q > p)]
+            xa, ia = x[mine], ids[mine]
+            if len(group) == 1 and need[p[0], p[0]]:
+                m = K.max_sq(xa, ia, xa, ia, triangle=True, best=m)
+            if rest:
+                other = np.concatenate([parts[q] for q in rest])
+                m = K.max_sq(xa, ia, x[other], ids[other], triangle=False, best=m)
+        return pd.DataFrame({"m2": [m]}, dtype="float64")
+
+    keyed = table.join(F.broadcast(sent.select("block", "cuts").distinct()), "block").withColumn(
+        "cut", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int"))
+    rows = (keyed.join(F.broadcast(sent.select("block", "cut", "tiles")), ["block", "cut"])
+            .select("block", "cut", "id", "v", F.explode("tiles").alias("tile")))
+    tiles = by_task(rows, n_tiles, F.col("tile"))
+    got = tiles.groupBy("task").applyInPandas(tile, "m2 double").agg(F.max("m2").alias("m2")).first()["m2"]
+    return max(best, float(np.sqrt(got))) if got is not None else best
 
 
 def max_pairwise_distance_balls(points: DataFrame, n_pivots: int | None = None, rings: int = RINGS,
                                 block_rows: int = MAX_BLOCK_ROWS, counted: bool = False) -> DataFrame:
-    """``(max_dist)``; ``counted`` adds ``n_tiles`` shipped and ``all_tiles`` of the same cuts.
+    """``(max_dist)``; ``counted`` adds ``n_tiles``, pairs of cuts compared, and ``all_tiles``, all of them.
 
     0.0 for fewer than two points; points with a NaN coordinate are left out, infinite
     coordinates count (their ball is infinite).
@@ -108,18 +145,22 @@ def max_pairwise_distance_balls(points: DataFrame, n_pivots: int | None = None,
     balls = _balls(table)
     n_tiles = all_tiles = 0
     if len(balls):
-        cuts = {int(b): -(-int(n) // block_rows) for b, n in zip(balls["block"], balls["n"])}
+        dim = len(balls["c"].iat[0])
+        group_rows = min(max(block_rows, -(-int(balls["n"].sum()) // MANY_BLOCKS)), 4 * block_rows,
+                         max(block_rows, DEFAULT_BLOCK_BYTES // max(8, 8 * dim)))
+        groups = _Groups([int(b) for b in balls["block"]], [int(n) for n in balls["n"]], block_rows, group_rows)
         far = np.stack(balls["far"])
-        at = np.arange(len(far))
-        best = max(best, np.sqrt(K.max_sq(far, at, far, at, triangle=True) or 0.0))
-        c, r, name = np.stack(balls["c"]), balls["r"].to_numpy(), balls["block"].to_numpy()
+        # a good first distance: from the farthest point of every block to all points
+        m2 = max_sq_to_set(table, np.arange(len(far)), far).agg(F.max("m2").alias("m2")).first()["m2"]
+        best = max(best, float(np.sqrt(m2 or 0.0)))
+        c, r, cuts = np.stack(balls["c"]), balls["r"].to_numpy(), np.array(groups.cuts)
         i, j = np.triu_indices(len(balls))
         with np.errstate(invalid="ignore"):
             bound = np.sqrt(K.exact_pairs(c, c, i, j)) + r[i] + r[j]
         bound = np.where(np.isnan(bound), np.inf, bound)
         bound = bound * (1 + 1e-9) + 1e-12                       # rounding: keep, never drop
         # a block with itself: any two of its points are at most two radii apart
-        size = np.array([cuts[name[a]] * cuts[name[b]] for a, b in zip(i, j)])
+        size = cuts[i] * cuts[j]
         all_tiles = int(size.sum())
         order = np.argsort(-bound, kind="stable")
         start, step = 0, FIRST_PAIRS
@@ -127,9 +168,11 @@ def max_pairwise_distance_balls(points: DataFrame, n_pivots: int | None = None,
             batch = [x for x in order[start:start + step] if bound[x] >= best]
             if not batch:
                 break
-            best = max(best, _max_of_pairs(table, [(int(name[i[x]]), int(name[j[x]])) for x in batch], cuts))
+            need = np.zeros((len(balls), len(balls)), bool)
+            need[i[batch], j[batch]] = need[j[batch], i[batch]] = True
+            best = _max_of_pairs(table, groups, need, best)
             n_tiles += int(size[batch].sum())
-            start, step = start + step, step * 2
+            start, step = start + step, step * BATCH_GROWTH
     out, schema = (float(best),), "max_dist double"
     if counted:
         out, schema = (*out, n_tiles, all_tiles), schema + ", n_tiles long, all_tiles long"

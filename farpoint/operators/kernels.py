@@ -125,11 +125,10 @@ def _fast_sq(xa, xb, triangle=False):
     return scale * scale, 2.5 * err, chunks()
 
 
-def _max_sq_masked(xa, ida, xb, idb, triangle):
+def _max_sq_masked(xa, ida, xb, idb, triangle, best):
     """``max_sq`` in double precision, for any coordinates and a triangle of two sets."""
     na, nb = np.einsum("ij,ij->i", xa, xa), np.einsum("ij,ij->i", xb, xb)
     tol = _tol(na, nb)
-    best = None
     for s, e in _row_chunks(len(ida), len(idb)):
         g = _gram_sq(xa[s:e], na[s:e], xb, nb)
         valid = ~np.isnan(g)
@@ -148,16 +147,15 @@ def _max_sq_masked(xa, ida, xb, idb, triangle):
     return best
 
 
-def max_sq(xa, ida, xb, idb, triangle: bool) -> float | None:
-    """Largest squared distance over pairs (a, b); ``triangle``: only ida < idb.
+def max_sq(xa, ida, xb, idb, triangle: bool, best: float | None = None) -> float | None:
+    """Largest squared distance over pairs (a, b), or ``best`` if that is larger; ``triangle``: only ida < idb.
 
-    NaN distances are ignored; ``None`` when there is no pair.
+    NaN distances are ignored; ``None`` when there is no pair (and no ``best``).
     """
     if len(ida) == 0 or len(idb) == 0:
-        return None
+        return best
     if (triangle and xa is not xb) or not (_fast_rows(xa).all() and _fast_rows(xb).all()):
-        return _max_sq_masked(xa, ida, xb, idb, triangle)
-    best = None
+        return _max_sq_masked(xa, ida, xb, idb, triangle, best)
     unit, tol, chunks = _fast_sq(xa, xb, triangle)
     for s, e, t, u, g in chunks:
         m = g.max()

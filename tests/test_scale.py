@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pandas as pd
 
-from farpoint.operators import diversity, pairwise
+from farpoint.operators import ball_tiles, diversity, pairwise
 from farpoint.operators import kernels as K
 
 
@@ -110,3 +110,23 @@ def test_partners_of_both_sides_are_exact(monkeypatch):
             assert K.max_sq(xa, ia, xb, ib, triangle=False) == (max(best) if best else None)
             at = np.arange(90)
             assert K.max_sq(x, at, x, at, triangle=True) == max(d for _, d in brute_partners(x, at, x, at).values())
+
+
+def test_ball_tiles_send_a_row_once_per_group(spark, monkeypatch):
+    """Points on a sphere: no pair of blocks can be dropped, and still no row is sent once per block."""
+    x = np.random.default_rng(6).normal(size=(4000, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    sent, send = [], ball_tiles.by_task
+
+    def spy(rows, n, number):
+        sent.append((rows.count(), n))
+        return send(rows, n, number)
+
+    monkeypatch.setattr(ball_tiles, "by_task", spy)
+    got = ball_tiles.max_pairwise_distance_balls(frame(spark, range(4000), x), n_pivots=60, rings=3, block_rows=100,
+                                                 counted=True).first()
+    at = np.arange(4000)
+    assert got["max_dist"] == np.sqrt(K.max_sq(x, at, x, at, triangle=True))
+    assert got["all_tiles"] > 60 * 60 / 2 and got["n_tiles"] > got["all_tiles"] / 2
+    groups = pairwise.MANY_BLOCKS + 6                   # groups are of whole blocks, not all full
+    assert sum(n for n, _ in sent) < 4000 * 2 * groups and max(t for _, t in sent) <= groups * (groups + 1) / 2
