@@ -47,6 +47,41 @@ def test_agrees_with_sql(spark, hot):
         assert sorted(map(tuple, got)) == sorted(want)
 
 
+def broadcast_rows(df):
+    """Rows of every broadcast in the plan that ran."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        p = todo.pop()
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(p.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(p.plan())
+        else:
+            if name == "BroadcastExchangeExec":
+                out.append(p.metrics().get("numOutputRows").get().value())
+            todo += [p.children().apply(k) for k in range(p.children().size())]
+    return out
+
+
+def test_broadcasts_do_not_grow_with_the_words(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 5000), "en", "s%d" % (i % 3)) for i in range(40)]
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(limit)
+    spark.conf.set(limit, "200k")               # less than the slots or the blocks, once they are counted
+    try:
+        got = mixing.mix_sources(frame(spark, rows))
+        words = sum(r["size"] for r in got.collect())
+    finally:
+        spark.conf.set(limit, was)
+    assert words == 40 * 5000
+    few = mixing.CELLS + 3 + len(rows)          # cells and their sources, or a row of each document
+    assert few < words // mixing.BLOCK_WORDS / 2
+    sizes = broadcast_rows(got)
+    assert sizes and max(sizes) <= few
+
+
 def test_points_of_far_slots(spark):
     at = [0, 1, 12345, (1 << 31) - 1, 1 << 31, (1 << 32) - 1, 1 << 32, (1 << 40) + 77, (1 << 52) + 3]
     got = spark.createDataFrame([(x,) for x in at], "slot bigint").select(
